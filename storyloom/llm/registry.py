@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, exact_dedup
+from . import byte_bpe, exact_dedup, minhash, mixing, sstable
 
 _MODULES = {
+    "op2_source_mixing": mixing,
     "op4_exact_dedup": exact_dedup,
+    "op5_sstable": sstable,
     "op6_byte_bpe": byte_bpe,
+    "op9_minhash": minhash,
 }
 
 
