@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, exact_dedup, katz, langid, minhash, mixing, sstable, toxicity
+from . import byte_bpe, exact_dedup, katz, langid, minhash, mixing, pivot_topk, quotes, sstable, toxicity
 
 _MODULES = {
+    "op1_quote_linking": quotes,
     "op2_source_mixing": mixing,
     "op3_toxicity": toxicity,
     "op4_exact_dedup": exact_dedup,
     "op5_sstable": sstable,
     "op6_byte_bpe": byte_bpe,
     "op7_language_id": langid,
+    "op8_pivot_topk": pivot_topk,
     "op9_minhash": minhash,
     "op10_katz": katz,
 }
