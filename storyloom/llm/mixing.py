@@ -174,6 +174,7 @@ def mix(docs: DataFrame, targets: dict | None = None, share: float = SHARE, repe
         full = min(repeats, amount // row.words) if row.words else 0
         plan.append((row.pattern, float(sum(targets.get(s, 0) for s in row.s)), sum(sizes[s] for s in row.s), int(full), int(amount - full * row.words) if full < repeats else 0))
     shown = spark.createDataFrame(plan, "pattern string, target double, source_size long, full int, need long")
+    shown = F.broadcast(shown) if len(plan) <= 10_000 else shown  # a row per pattern
     # full: repetitions that every document of the pattern has; need: words of the next repetition
     slim = slim.join(shown, "pattern").withColumn("b", F.substring("h", 1, DIGITS))
     docs = docs.join(shown, "pattern").withColumn("h", _seeded(seed)).withColumn("b", F.substring("h", 1, DIGITS))
