@@ -49,7 +49,7 @@ def radix_groups(docs: DataFrame, first: int = FIRST_DIGIT, widening: int = WIDE
             state.groupBy("grp", digit.alias("digit")).agg(F.count("*").alias("n")).where("n > 1").select("grp", "digit", F.monotonically_increasing_id().alias("next")),
             f"radix-groups-{level}",
         )
-        known = state.withColumn("digit", digit).join(groups, ["grp", "digit"], "left")
+        known = state.withColumn("digit", digit).join(groups.hint("merge"), ["grp", "digit"], "left")
         open_ = F.col("next").isNotNull() & (F.octet_length("digit") == width)
         split = materialize(
             known.select(
@@ -73,7 +73,7 @@ def radix_groups(docs: DataFrame, first: int = FIRST_DIGIT, widening: int = WIDE
     first_row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row")))
     heads = shared.groupBy("level", "grp").agg(F.count("*").alias("group_size"), first_row.alias("head"))
     return alone.unionByName(
-        shared.join(heads, ["level", "grp"]).select(
+        shared.join(heads.hint("merge"), ["level", "grp"]).select(
             "doc_id", F.col("head.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("head.row")).alias("kept"), "text_sha256"
         )
     )
