@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -23,47 +23,95 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PART = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: A part that ends in one of these is not a safe place to split: they may belong to a run of white space.
 UNSURE = frozenset("\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u200b\u2028\u2029\u202f\u205f\u3000\ufeff" + "".join(map(chr, range(0x2000, 0x200B))))
-CACHED_PARTS = 200_000
+CACHED_PARTS = 400_000
+JOINED_PARTS = 5_000
+SPACES = frozenset(" \t\n\r")
 CACHED_CHARS = 64
 #: Rows of a batch go on in groups of about so many bytes.
 OUT_BYTES = 8 << 20
 
 
 class PartEncoder:
-    """Encodes texts part by part. ``encode_many`` maps strings to lists of ids."""
+    """Encodes texts part by part. ``encode`` maps a string to ids, ``lengths`` has the bytes that each id stands for.
 
-    def __init__(self, encode_many: Callable[[list[str]], Iterable[list[int]]]):
-        self.encode_many = encode_many
+    Parts that are new go through joined to long strings, which costs one call for many; the ids are cut at the
+    parts' ends by their bytes. Parts are joined only where the join is a safe place to split.
+    """
+
+    def __init__(self, encode: Callable[[str], np.ndarray], lengths: np.ndarray):
+        self.encode, self.lengths = encode, lengths
         self.cache: dict[str, bytes] = {}
         self.unsure: set[str] = set()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(ids, dtype="<u4").tobytes() for ids in self.encode_many(texts)]
+    def _plain(self, text: str) -> bytes:
+        return np.asarray(self.encode(text), dtype="<u4").tobytes()
+
+    def _joined(self, parts: list[str]) -> list[bytes]:
+        out, at = [], 0
+        while at < len(parts):
+            some = parts[at : at + JOINED_PARTS]
+            ids = np.asarray(self.encode("".join(some)), dtype="<u4")
+            ends = np.cumsum(np.fromiter((len(x.encode()) for x in some), np.int64, len(some)))
+            told = np.cumsum(self.lengths[ids])
+            cuts = np.searchsorted(told, ends)
+            if not (len(told) and (told[np.minimum(cuts, len(told) - 1)] == ends).all()):
+                raise ValueError("ids do not end where parts do")
+            data, cuts = ids.tobytes(), ((cuts + 1) * 4).tolist()
+            out += [data[i:j] for i, j in zip([0, *cuts], cuts)]
+            at += len(some)
+        return out
 
-    def __call__(self, text: str) -> bytes:
-        """Ids of ``text`` as little-endian unsigned 32-bit integers."""
-        parts = PART.findall(text)
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        split = [PART.findall(x) for x in texts]
+        parts = set().union(*split)
         found = self.cache
-        try:
-            out = b"".join(map(found.__getitem__, parts))
-        except KeyError:
-            if len(found) > CACHED_PARTS:
-                found.clear()
-            new = [x for x in set(parts) if x not in found]
-            self.unsure.update(x for x in new if x[-1] in UNSURE)
-            got = dict(zip(new, self._encode(new)))
-            found.update((k, v) for k, v in got.items() if len(k) <= CACHED_CHARS)
-            out = b"".join([found[x] if x in found else got[x] for x in parts])
+        if len(found) > CACHED_PARTS:
+            found.clear()
+        new = list(parts.difference(found))
+        self.unsure.update(x for x in new if x[-1] in UNSURE)
+        easy = [x for x in new if x[0] in SPACES and x[-1] not in SPACES and x[-1] not in UNSURE]
+        found.update(zip(easy, self._joined(easy)))
+        found.update((x, self._plain(x)) for x in new if x not in found)
+        out = [b"".join(map(found.__getitem__, x)) for x in split]
+        for x in new:
+            if len(x) > CACHED_CHARS:
+                del found[x]
         if self.unsure and not self.unsure.isdisjoint(parts):
-            return self._encode([text])[0]
+            out = [y if self.unsure.isdisjoint(x) else self._plain(t) for t, x, y in zip(texts, split, out)]
         return out
 
+    def __call__(self, text: str) -> bytes:
+        return self.many([text])[0]
+
+    def stream(self, rows: Iterator[tuple[int | None, str]]) -> Iterator[tuple[int | None, bytes]]:
+        """Identifier and ids of each (identifier, text), in groups of about OUT_BYTES of text."""
+        held, size = [], 0
+        for row in rows:
+            held.append(row)
+            size += len(row[1])
+            if size > OUT_BYTES // 4:
+                yield from zip([i for i, _ in held], self.many([t for _, t in held]))
+                held, size = [], 0
+        yield from zip([i for i, _ in held], self.many([t for _, t in held]))
+
+
+def rank_table(ranks: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines()) if a}
+
 
 def encoding(ranks: bytes, pattern: str):
     import tiktoken
 
-    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines()) if a}
-    return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=rank_table(ranks), special_tokens={})
+
+
+def part_encoder(ranks: bytes, pattern: str) -> PartEncoder:
+    enc, table = encoding(ranks, pattern), rank_table(ranks)
+    lengths = np.zeros(max(table.values()) + 1, np.int64)
+    for token, number in table.items():
+        lengths[number] = len(token)
+    return PartEncoder(lambda text: enc.encode_to_numpy(text, disallowed_special=()), lengths)
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -91,9 +139,8 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers
     schema = pa.schema([("doc_id", pa.int64()), ("token_bytes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoding(shared.value, pattern)
-        part = PartEncoder(lambda texts: map(enc.encode_ordinary, texts))
-        yield from _batches(((i.as_py(), part(t)) for b in batches for i, t in zip(b.column(0), kernels.strings(b.column(1)))), schema)
+        part = part_encoder(shared.value, pattern)
+        yield from _batches(part.stream((i.as_py(), t) for b in batches for i, t in zip(b.column(0), kernels.strings(b.column(1)))), schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, token_bytes binary")
 
