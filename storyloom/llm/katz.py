@@ -8,7 +8,7 @@ mark, and each document ends with an end token.
 
 No task and no executor holds the model. Tables are partitioned by hashes, as packed sorted arrays:
 
-* chunks: some two million tokens of whole documents, as places in the chunk's own sorted list of words;
+* chunks: some half a million tokens of whole documents, as places in the chunk's own sorted list of words;
 * unigrams: each chunk asks for the training counts of its distinct words, which are summed by word;
 * bigrams: each chunk asks for its distinct pairs, dealt out by history (pairs of very common histories by
   their second word), which are summed by pair and by history.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import kernels
 from .scratch import materialize, new_path
 
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 500_000
 MAX_DISCOUNTED = 5
 #: A word with more than 1 / (HOT_PARTS * partitions) of all tokens is common enough to be dealt out by its followers.
 HOT_PARTS = 4
@@ -85,7 +85,7 @@ class Chunk:
     def __init__(self, arrays: list[np.ndarray]):
         deltas, self.stream, self.sizes, self.doc_id, self.missing, self.held, self.train = arrays
         self.words = np.cumsum(deltas, dtype=np.uint64)
-        self.stream = self.stream.astype(np.int64)
+        self.stream = self.stream.astype(np.int32)
         self.sizes = self.sizes.astype(np.int64)
 
     @staticmethod
@@ -102,19 +102,19 @@ class Chunk:
         end, start = np.searchsorted(self.words, np.array([END, START]))
         full = self.sizes + 1
         close = np.cumsum(full) - 1
-        word = np.full(int(full.sum()), end, np.int64)
+        word = np.full(int(full.sum()), end, np.int32)
         inner = np.ones(len(word), bool)
         inner[close] = False
         word[inner] = self.stream
         history = np.empty_like(word)
         history[1:] = word[:-1]
         history[np.concatenate([[0], close[:-1] + 1])[: len(full)]] = start
-        return history, word, np.repeat(np.arange(len(full)), full)
+        return history, word, np.repeat(np.arange(len(full), dtype=np.int32), full)
 
     def pairs(self, parts: int, hot: np.ndarray) -> tuple[np.ndarray, ...]:
         """Distinct pairs in the order of (part, word, history): part, history, word, training count; and the pair of each token."""
         history, word, doc = self.tokens()
-        code = word << 32 | history
+        code = word.astype(np.int64) << 32 | history
         distinct, which = np.unique(code, return_inverse=True)
         count = np.bincount(which[self.held[doc] == 0], minlength=len(distinct))
         h, w = distinct & 0xFFFFFFFF, distinct >> 32
