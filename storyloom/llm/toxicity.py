@@ -23,8 +23,8 @@ ORDERS = (4, 5, 6)
 BITS = 18
 BLOCKS = 64
 LOTS = 512
-MAX_FIT_ROWS = 20_000
-MAX_FEATURES = 8192
+MAX_FIT_ROWS = 10_000
+MAX_FEATURES = 4096
 #: Likelihood-ratio statistic above which a feature's counts are taken to depend on the class.
 EVIDENCE = 16.0
 THRESHOLD = 0.7
@@ -138,9 +138,10 @@ def log_count_ratios(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray,
 
 def _fit(rows: list[np.ndarray], labels: np.ndarray, n: int) -> tuple[np.ndarray, float]:
     """Logistic regression with a ridge by accelerated gradient steps; rows: (feature, value) pairs of each document."""
-    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.concatenate([r["f"] for r in rows]) if rows else np.zeros(0, np.int64)
-    val = np.concatenate([r["v"] for r in rows]) if rows else np.zeros(0)
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    pairs = np.concatenate([*rows, np.zeros(0, _PAIRS)])
+    col, val = pairs["f"].copy(), pairs["v"].copy()
+    rows = [None] * len(rows)
     w, b, vw, vb = np.zeros(n), 0.0, np.zeros(n), 0.0
     norms = np.bincount(doc, val * val, len(rows))
     rate = 4 / (1 + (norms.mean() if len(rows) else 0) * 4)
@@ -178,13 +179,15 @@ def train(labelled: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> Model:
     fitted = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "toxic int, found binary").collect()  # at most about max_fit_rows
     place = np.zeros(1 << BITS, np.int64)
     place[chosen] = np.arange(len(chosen))
-    pairs = []
-    for row in sorted((r.toxic, r.found) for r in fitted):
-        b = np.frombuffer(row[1], _PAIRS)
-        item = np.zeros(len(b), [("f", np.int64), ("v", float)])
+    fitted = sorted((r.toxic, bytes(r.found)) for r in fitted)
+    labels, pairs = np.array([t for t, _ in fitted], float), []
+    for _, body in fitted:
+        b = np.frombuffer(body, _PAIRS)
+        item = np.zeros(len(b), _PAIRS)
         item["f"], item["v"] = place[b["f"]], ratio[b["f"]] * b["v"]
         pairs.append(item)
-    w, bias = _fit(pairs, np.array(sorted(r.toxic for r in fitted), float), len(chosen))
+    del fitted
+    w, bias = _fit(pairs, labels, len(chosen))
     weights[chosen] = w * ratio[chosen]
     return Model(weights, bias)
 
