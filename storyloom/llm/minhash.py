@@ -6,10 +6,13 @@
 3. Representatives that share a band key meet in a bucket. A bucket is compared as a star: one hub with all
    others, never all pairs. The packed planes give an estimate that is corrected for chance matches of
    low bits; pairs well below the threshold end there, others are confirmed on whole sets.
-4. Confirmed links are merged into components. A bucket whose members are in one component is settled. In
-   the others, members of different components are compared next (small buckets at once, large ones by
-   further hubs, four times as many each round), until every pair of a bucket has been compared or
-   is in one component. So a group of near copies costs one star, and no link is lost to a cap.
+4. Confirmed links are merged into components. A bucket whose members are in one component is settled. Small
+   open buckets are compared in pairs of different components. Large ones are first dealt out by pairs of set
+   sizes, where a member goes only to sizes that it could be linked with: its shingles that some other
+   open member has are all that any intersection can hold. That is exact, and takes from a large group
+   the members with many changes of their own. What is still open is compared by further hubs, eight times as
+   many each round, until every pair of a bucket has been compared or is in one component. So a group of
+   near copies costs one star, and no link is lost to a cap.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from .scratch import forget, materialize
 
 MINIMA = 192
 SMALL_BUCKET = 48
-FIRST_HUBS = 8
+FIRST_HUBS = 64
 #: Standard deviations of the estimate below the threshold at which a pair is still confirmed on whole sets.
 SLACK = 5
 PLANES = MINIMA // 64
@@ -147,6 +150,46 @@ def _likely(pairs: DataFrame, planes: DataFrame, percent: int) -> DataFrame:
     return ordered.join(x, "a").join(y, "b").where(F.lit(MINIMA) - differ >= least_matches(percent)).select("a", "b")
 
 
+def shared_shingles(sets: DataFrame) -> DataFrame:
+    """node and common: how many of its shingles another row of ``sets`` (node, shingles) has too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = np.frombuffer(x.as_buffer(), np.int64)
+                yield pa.record_batch([pa.array(np.full(len(x), node)), pa.array(x)], names=["node", "shingle"])
+
+    each = sets.select("node", "shingles").mapInArrow(run, "node long, shingle long")
+    alone = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    return sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).join(alone, "node", "left").select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
+
+
+def _by_sizes(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows (hub, rep) of large buckets, dealt out by the pairs of set sizes at which a member can have a link: key, rep, side (bit 1: the smaller size, bit 2: the larger)."""
+    nodes = rows.select(F.col("rep").alias("node")).distinct()
+    known = materialize(shared_shingles(sets.join(nodes, "node", "left_semi")), "minhash-common")
+    rows = rows.join(known, rows.rep == known.node).select("hub", "rep", "size", "common")
+    other = rows.select("hub", F.col("size").alias("z")).distinct()
+    met = rows.join(other, "hub").where((F.least("size", "z") * 100 >= F.greatest("size", "z") * percent) & (F.col("common") * (100 + percent) >= (F.col("size") + F.col("z")) * percent))
+    side = F.when(F.col("size") < F.col("z"), 1).when(F.col("size") > F.col("z"), 2).otherwise(3)
+    return met.select(F.xxhash64("hub", F.least("size", "z"), F.greatest("size", "z")).alias("key"), "rep", side.alias("side")).distinct()
+
+
+def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of buckets that have members on either side and in more than one component, with component and the bucket's number of rows."""
+    now = rows.join(labels, rows.rep == labels.node, "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
+    sizes = now.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.bit_or("side").alias("sides"))
+    return now.join(sizes.where("lo < hi AND sides = 3").select("key", "n"), "key")
+
+
+def _small_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs of different components and sides in buckets of at most SMALL_BUCKET rows."""
+    small = rows.where(F.col("n") <= SMALL_BUCKET)
+    x = small.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("side").alias("sa"))
+    y = small.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("side").alias("sb"))
+    return x.join(y, "key").where("a < b AND ca <> cb AND (sa | sb) = 3").select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -177,27 +220,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     spread = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select("doc_id", "a")
     same = placed.join(spread, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
     links = materialize(links.unionByName(same), "minhash-links")
-    left = members.where("rep <> hub").select("key", "rep")
-    hubs, round_ = FIRST_HUBS, 0
+    labels = connected(links)
+    # every bucket's hub has been compared; of the others, pairs of different components are left
+    rest = members.where("rep <> hub").select("key", "rep", "hub", F.lit(3).alias("side"))
+    open_ = materialize(_open(rest, labels), "minhash-open")
+    large = open_.where(F.col("n") > SMALL_BUCKET).select("hub", "rep").distinct()
+    left = materialize(_by_sizes(large, sets, percent), "minhash-sized")
+    pairs, round_, hubs = _small_pairs(open_), 0, FIRST_HUBS
     while True:
-        labels = connected(links.select("a", "b"))
-        now = left.join(labels, left.rep == labels.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-        sizes = now.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key", "n")
-        open_ = materialize(now.join(sizes, "key").select("key", "rep", "component", "n"), f"minhash-open-{round_}")
+        more = materialize(confirm(_likely(pairs, planes, percent), sets, percent), f"minhash-links-{round_}")
+        if not more.isEmpty():
+            known = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            labels = connected(known.unionByName(more))
+        forget(open_)
+        open_ = materialize(_open(left, labels), f"minhash-open-{round_}")
         if open_.isEmpty():
             break
-        small = open_.where(F.col("n") <= SMALL_BUCKET)
-        x, y = small.select("key", F.col("rep").alias("a"), F.col("component").alias("ca")), small.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"))
-        pairs = x.join(y, "key").where("a < b AND ca <> cb").select("a", "b")
         large = open_.where(F.col("n") > SMALL_BUCKET)
-        per = large.groupBy("key", "component").agg(F.count("*").alias("c"), F.min("rep").alias("hub"))
-        chosen = per.withColumn("r", F.row_number().over(W.partitionBy("key").orderBy("c", "hub"))).where(F.col("r") <= hubs).select("key", "hub", F.col("component").alias("ch"))
-        pairs = pairs.unionByName(large.join(chosen, "key").where("component <> ch").select(F.col("hub").alias("a"), F.col("rep").alias("b")))
-        more = confirm(_likely(pairs, planes, percent), sets, percent)
-        links = materialize(links.unionByName(more), f"minhash-links-{round_}")
-        left = materialize(large.join(chosen.select("key", F.col("hub").alias("rep")), ["key", "rep"], "left_anti").select("key", "rep"), f"minhash-left-{round_}")
-        forget(open_)
-        hubs, round_ = hubs * 4, round_ + 1
+        per = large.groupBy("key", "component").agg(F.count("*").alias("c"), F.min(F.struct("rep", "side")).alias("hub"))
+        chosen = per.withColumn("r", F.row_number().over(W.partitionBy("key").orderBy("c", "hub"))).where(F.col("r") <= hubs)
+        chosen = chosen.select("key", F.col("hub.rep").alias("hub"), F.col("hub.side").alias("hs"), F.col("component").alias("ch"))
+        met = large.join(chosen, "key").where("component <> ch AND (side | hs) = 3").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+        pairs = _small_pairs(open_).unionByName(met)
+        left = materialize(large.join(chosen.select("key", F.col("hub").alias("rep")), ["key", "rep"], "left_anti").select("key", "rep", "side"), f"minhash-left-{round_}")
+        round_, hubs = round_ + 1, hubs * 8
 
     named = classes.select("set_a", "set_b", "rep")
     return (
