@@ -1,4 +1,659 @@
-"""The registered queries."""
+"""The registered queries over the driver's tables, each with the SQL that gives the same rows where SQL can.
+
+Tables stand in for transcripts: ``conversations`` for cues (conv_id: episode, turn: index), ``events`` for timed words
+(user_id: episode), ``documents`` and ``embeddings`` for the passage library, ``benchmark`` for queries.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import audit, search, segments, spans, store
+from ..sources import pages, subtitles
 
 QUERIES: dict = {}
 ORACLE: dict = {}
+WORD = r"[^\p{L}\p{N}]+"
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLE[name] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def words(spark: SparkSession, d: str) -> DataFrame:
+    """events as words: ep, pos, text, start and end in seconds since the first event of all; a word lasts value seconds, at most 5."""
+    e = table(spark, d, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    seconds = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '2024-01-01 00:00:00', ts)") / 1e6
+    start = F.bround(seconds / 600, 3)
+    pos = F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id"))
+    return e.select(F.col("user_id").alias("ep"), pos.alias("pos"), F.col("event_type").alias("text"), start.alias("start"), (start + F.bround(F.least("value", F.lit(50.0)) / 10, 3)).alias("end"))
+
+
+WORDS_SQL = """
+words AS (
+  SELECT user_id AS ep, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)::INT AS pos, event_type AS text, start, start + round_even(least(value, 50.0) / 10, 3) AS "end"
+  FROM (SELECT *, round_even(date_diff('microsecond', TIMESTAMP '2024-01-01 00:00:00', ts) / 1e6 / 600, 3) AS start FROM events))"""
+
+
+def cues(spark: SparkSession, d: str) -> DataFrame:
+    """conversations as cues: two cues a minute, each as long as its text at 10 characters a second, at most 30 seconds."""
+    c = table(spark, d, "conversations")
+    start = F.col("turn") * 30.0
+    return c.select(F.col("conv_id").alias("ep"), (F.col("turn") + 1).cast("int").alias("idx"), start.alias("start"), (start + F.least(F.length("text") / 10.0, F.lit(30.0))).alias("end"), "text")
+
+
+CUES_SQL = """
+cues AS (
+  SELECT conv_id AS ep, (turn + 1)::INT AS idx, turn * 30.0::DOUBLE AS start, turn * 30.0::DOUBLE + least(len(text) / 10.0, 30.0)::DOUBLE AS "end", text FROM conversations)"""
+
+
+# --- search ----------------------------------------------------------------------------------------
+
+GRAMS_SQL = """
+chars AS (SELECT doc_id AS id, regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g') AS s FROM documents),
+lists AS (SELECT id, CASE WHEN len(s) > 1 THEN list_transform(list_zip(string_split(s, '')[:-2], string_split(s, '')[2:]), lambda p: p[1] || p[2])
+  WHEN len(s) = 1 THEN [s] ELSE [] END AS g FROM chars),
+qchars AS (SELECT item_id AS query_id, regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g') AS s FROM benchmark WHERE item_id < 5),
+q AS (SELECT DISTINCT query_id, unnest(CASE WHEN len(s) > 1 THEN list_transform(list_zip(string_split(s, '')[:-2], string_split(s, '')[2:]), lambda p: p[1] || p[2])
+  WHEN len(s) = 1 THEN [s] ELSE [] END) AS term FROM qchars)"""
+
+BM25_SQL = f"""
+WITH {GRAMS_SQL},
+st AS (SELECT count(*) AS n, avg(len(g)) AS mean FROM lists),
+tf AS (SELECT id, len(g) AS l, unnest(g) AS term FROM lists),
+tc AS (SELECT id, l, term, count(*) AS tf FROM tf WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tc GROUP BY 1),
+sc AS (SELECT query_id, id, round(sum(ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l / mean))), 6) AS score
+  FROM tc JOIN df USING (term) JOIN q USING (term), st GROUP BY 1, 2)
+SELECT query_id, id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM sc) WHERE rank <= 10"""
+
+
+def _questions(spark, d) -> DataFrame:
+    return table(spark, d, "benchmark").where("item_id < 5").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+
+
+@query("bm25_topk", BM25_SQL)
+def bm25_topk(spark, d):
+    """Five questions (the search's queries) against all documents."""
+    return search.bm25(table(spark, d, "documents"), _questions(spark, d))
+
+
+@query("term_document_frequency", """
+WITH t AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{L}\\p{N}]+')) AS term FROM documents)
+SELECT term, count(*) AS df, round(ln(((SELECT count(*) FROM documents) - count(*) + 0.5) / (count(*) + 0.5) + 1), 6) AS idf FROM t WHERE term <> '' GROUP BY 1""")
+def term_document_frequency(spark, d):
+    docs = table(spark, d, "documents")
+    terms = docs.select(F.explode(F.array_distinct(F.split(T.ascii_lower(F.col("text")), WORD))).alias("term")).where("term <> ''")
+    n = docs.agg(F.count("*").alias("n"))
+    counts = terms.groupBy("term").agg(F.count("*").alias("df"))
+    return counts.crossJoin(F.broadcast(n)).select("term", "df", F.round(F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1), 6).alias("idf"))
+
+
+VEC_SQL = """
+sims AS (SELECT q.vec_id AS query_id, v.vec_id AS id, round(1 - list_cosine_similarity(list_transform(q.embedding, lambda x: x::DOUBLE), list_transform(v.embedding, lambda x: x::DOUBLE)), 6) AS distance
+  FROM embeddings q, embeddings v WHERE q.vec_id < 5),
+near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id)::INT AS rank FROM sims)"""
+
+
+@query("vector_nearest", f"WITH {VEC_SQL} SELECT * FROM near WHERE rank <= 10")
+def vector_nearest(spark, d):
+    """Five query vectors against all."""
+    e = table(spark, d, "embeddings")
+    return search.nearest(e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), e.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")))
+
+
+@query("hybrid_search", BM25_SQL.replace("SELECT query_id, id, score, rank FROM (", f", lex AS (SELECT query_id, id, rank FROM (") + ")," + VEC_SQL.lstrip().replace("WITH", "") + """,
+l AS (SELECT query_id, 0 AS list, rank, id FROM near WHERE rank <= 10 UNION ALL SELECT query_id, 1, rank, id FROM lex),
+f AS (SELECT query_id, id, round(sum(1 / (10 + rank)), 9) AS score, min((list, rank)) AS first FROM l GROUP BY 1, 2)
+SELECT query_id, id, score, place FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, first)::INT AS place FROM f) WHERE place <= 10""")
+def hybrid_search(spark, d):
+    """Words and vectors fused; document and vector identifiers are one space here."""
+    return search.hybrid(bm25_topk(spark, d), vector_nearest(spark, d))
+
+
+@query("rrf_fusion", """
+WITH d AS (SELECT lang AS query_id, doc_id AS id, n_chars, quality FROM documents LEFT JOIN labels USING (doc_id)),
+l AS (SELECT query_id, 0 AS list, id, row_number() OVER (PARTITION BY query_id ORDER BY n_chars DESC, id) AS rank FROM d
+  UNION ALL SELECT query_id, 1, id, row_number() OVER (PARTITION BY query_id ORDER BY quality DESC NULLS LAST, id) FROM d),
+f AS (SELECT query_id, id, round(sum(1 / (60 + rank)), 9) AS score, min((list, rank)) AS first FROM l WHERE rank <= 50 GROUP BY 1, 2)
+SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, first)::INT AS place FROM f""")
+def rrf_fusion(spark, d):
+    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").select(F.col("lang").alias("query_id"), F.col("doc_id").alias("id"), "n_chars", "quality")
+    a = search.top_k(docs, "query_id", [F.desc("n_chars"), F.col("id")], 50).select("query_id", F.lit(0).alias("list"), "rank", "id")
+    b = search.top_k(docs, "query_id", [F.desc_nulls_last("quality"), F.col("id")], 50).select("query_id", F.lit(1).alias("list"), "rank", "id")
+    return search.fuse(a.unionByName(b))
+
+
+@query("fetch_in_order", """
+WITH w AS (SELECT user_id, list(event_id ORDER BY value DESC, event_id) AS ids FROM events GROUP BY 1)
+SELECT user_id, pos, event_id, event_type FROM (SELECT user_id, unnest(ids) AS event_id, unnest(range(len(ids)))::INT AS pos FROM w) JOIN events e USING (user_id, event_id)""")
+def fetch_in_order(spark, d):
+    e = table(spark, d, "events")
+    wanted = e.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("value")).alias("v"), "event_id"))), lambda x: x["event_id"]).alias("ids"))
+    return wanted.select("user_id", F.posexplode("ids").alias("pos", "event_id")).join(e.select("user_id", "event_id", "event_type"), ["user_id", "event_id"])
+
+
+# --- lookups and joins over cues --------------------------------------------------------------------
+
+
+@query("grep_any_term", """
+SELECT conv_id, turn FROM conversations WHERE contains(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), 'that the') OR contains(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), 'de la')""")
+def grep_any_term(spark, d):
+    return spans.grep(table(spark, d, "conversations"), "text", ["That The", "de la"]).select("conv_id", "turn")
+
+
+@query("grep_literal_percent", "SELECT doc_id FROM documents WHERE contains(text, '%%%')")
+def grep_literal_percent(spark, d):
+    return spans.grep(table(spark, d, "documents"), "text", ["%%%"]).select("doc_id")
+
+
+@query("time_context", f"""
+WITH {WORDS_SQL}, c AS (SELECT ep, (min(start) + max(start)) / 2 AS mid FROM words GROUP BY 1),
+m AS (SELECT ep, pos, text, mid, start FROM words JOIN c USING (ep) WHERE start BETWEEN mid - 300 AND mid + 300)
+SELECT ep, pos, text, coalesce(start = max(CASE WHEN start < mid + 1 THEN start END) OVER (PARTITION BY ep, mid), false) AS current FROM m""")
+def time_context(spark, d):
+    w = words(spark, d)
+    at = w.groupBy("ep").agg(((F.min("start") + F.max("start")) / 2).alias("at"))
+    return spans.time_context(w, at, "ep", "start", 300).select("ep", "pos", "text", "current")
+
+
+@query("neighbour_context", """
+SELECT conv_id, turn, coalesce(string_agg(role, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn RANGE BETWEEN 3 PRECEDING AND 1 PRECEDING), '') AS before,
+  coalesce(string_agg(role, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn RANGE BETWEEN 1 FOLLOWING AND 3 FOLLOWING), '') AS after FROM conversations""")
+def neighbour_context(spark, d):
+    return spans.neighbours(table(spark, d, "conversations"), "conv_id", "turn", "role").select("conv_id", "turn", "before", "after")
+
+
+@query("span_text", """
+WITH s AS (SELECT conv_id, turn AS lo, turn + 2 AS hi FROM conversations WHERE turn % 2 = 0)
+SELECT s.conv_id, lo, hi, string_agg(text, chr(10) ORDER BY turn) AS text, count(*) AS n FROM s JOIN conversations c ON s.conv_id = c.conv_id AND turn BETWEEN lo AND hi GROUP BY 1, 2, 3""")
+def span_text(spark, d):
+    c = table(spark, d, "conversations")
+    wanted = c.where("turn % 2 = 0").select("conv_id", F.col("turn").alias("lo"), (F.col("turn") + 2).alias("hi"))
+    return spans.span_text(wanted, c, "conv_id", "turn", "text")
+
+
+@query("cross_row_match", """
+WITH n AS (SELECT conv_id, turn, translate(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS n FROM conversations),
+o AS (SELECT *, coalesce(sum(len(n)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM n),
+a AS (SELECT conv_id, strpos(string_agg(n, '' ORDER BY turn), 'thatthe') - 1 AS p FROM n GROUP BY 1)
+SELECT conv_id, turn FROM o JOIN a USING (conv_id) WHERE p >= 0 AND s < p + 7 AND s + len(n) > p""")
+def cross_row_match(spark, d):
+    return spans.match_across(table(spark, d, "conversations"), "thatthe", "conv_id", "turn", "text").select("conv_id", "turn")
+
+
+@query("nearest_row", f"""
+WITH {WORDS_SQL}, c AS (SELECT ep, floor((min(start) + max("end")) * 500) / 1000 AS mid FROM words GROUP BY 1)
+SELECT ep, mid AS "at", pos, text FROM words JOIN c USING (ep)
+QUALIFY row_number() OVER (PARTITION BY ep ORDER BY CASE WHEN start <= mid AND mid < "end" THEN 0 ELSE 1 END, abs(start - mid), start) = 1""")
+def nearest_row(spark, d):
+    w = words(spark, d)
+    at = w.groupBy("ep").agg((F.floor((F.min("start") + F.max("end")) * 500) / 1000).alias("at"))
+    return spans.nearest_row(w, at, "ep", "start", "end").select("ep", "at", "pos", "text")
+
+
+@query("interval_overlap", f"""
+WITH {WORDS_SQL}, v AS (SELECT ep, pos, start AS b0, "end" AS b1 FROM words WHERE text = 'view')
+SELECT w.ep, w.pos, count(*) AS n FROM words w JOIN v ON w.ep = v.ep AND start <= b1 AND b0 <= "end" WHERE w.text = 'click' GROUP BY 1, 2""")
+def interval_overlap(spark, d):
+    w = words(spark, d)
+    a = w.where("text = 'click'").select("ep", "pos", F.col("start").alias("a0"), F.col("end").alias("a1"))
+    b = w.where("text = 'view'").select("ep", F.col("start").alias("b0"), F.col("end").alias("b1"))
+    return spans.overlaps(a, b, "ep", 60.0).groupBy("ep", "pos").agg(F.count("*").alias("n"))
+
+
+@query("number_range_join", """
+WITH r AS (SELECT n_nationkey, n_nationkey * 2 AS lo, n_nationkey * 2 + 3 AS hi FROM nation)
+SELECT p_partkey, n_nationkey FROM part JOIN r ON p_size BETWEEN lo AND hi""")
+def number_range_join(spark, d):
+    r = table(spark, d, "nation").select("n_nationkey", (F.col("n_nationkey") * 2).alias("lo"), (F.col("n_nationkey") * 2 + 3).alias("hi"))
+    return spans.contained(table(spark, d, "part").select("p_partkey", "p_size"), r, "p_size", "lo", "hi", 8).select("p_partkey", "n_nationkey")
+
+
+@query("equi_join", """
+SELECT o_orderkey, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW')""")
+def equi_join(spark, d):
+    o = table(spark, d, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "5-LOW"))
+    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return o.join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name", "n_name")
+
+
+@query("left_join_digest", "SELECT d.doc_id, md5(text) AS digest, quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def left_join_digest(spark, d):
+    return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").select("doc_id", F.md5("text").alias("digest"), "quality")
+
+
+@query("existence_semi_join", "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) ORDER BY doc_id")
+def existence_semi_join(spark, d):
+    return table(spark, d, "documents").join(table(spark, d, "labels").where("quality = 1"), "doc_id", "left_semi").select("doc_id", "lang").orderBy("doc_id")
+
+
+@query("pending_anti_join", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def pending_anti_join(spark, d):
+    return store.pending(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id")
+
+
+@query("stale_digest", """
+SELECT d.doc_id, md5('model' || chr(10) || text) AS digest FROM documents d LEFT JOIN labels l USING (doc_id)
+WHERE md5('model' || chr(10) || text) IS DISTINCT FROM CASE WHEN quality = 1 THEN md5('model' || chr(10) || text) WHEN quality = 0 THEN 'old' END""")
+def stale_digest(spark, d):
+    now = table(spark, d, "documents").select("doc_id", store.doc_digest("model", F.col("text")).alias("digest"))
+    old = now.join(table(spark, d, "labels"), "doc_id").select("doc_id", F.when(F.col("quality") == 1, F.col("digest")).otherwise("old").alias("digest"))
+    return store.changed(now, old, "doc_id", "digest")
+
+
+# --- segments, runs, validation ---------------------------------------------------------------------
+
+
+@query("gap_segments", f"""
+WITH {WORDS_SQL},
+f AS (SELECT *, CASE WHEN start - max("end") OVER (PARTITION BY ep ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 20 THEN 1 ELSE 0 END AS f FROM words),
+s AS (SELECT *, sum(f) OVER (PARTITION BY ep ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS segment FROM f)
+SELECT ep, segment::BIGINT AS segment, count(*) AS n, round(min(start), 3) AS first, round(max("end"), 3) AS last FROM s GROUP BY 1, 2""")
+def gap_segments(spark, d):
+    s = segments.gap_segments(words(spark, d), "ep", "start", "end", 20.0)
+    return s.groupBy("ep", "segment").agg(F.count("*").alias("n"), F.round(F.min("start"), 3).alias("first"), F.round(F.max("end"), 3).alias("last"))
+
+
+@query("session_segments", """
+WITH f AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 6 HOUR THEN 1 ELSE 0 END AS f FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM f)
+SELECT user_id, min(ts) AS first, count(*) AS n FROM s GROUP BY user_id, s""")
+def session_segments(spark, d):
+    e = table(spark, d, "events")
+    return e.groupBy("user_id", F.session_window("ts", "6 hours")).agg(F.min("ts").alias("first"), F.count("*").alias("n")).select("user_id", "first", "n")
+
+
+@query("collapse_runs", """
+WITH f AS (SELECT *, CASE WHEN event_type = lag(event_type) OVER w THEN 0 ELSE 1 END AS f FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+r AS (SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY event_id) AS run FROM f),
+n AS (SELECT *, count(*) OVER (PARTITION BY user_id, run) AS size, row_number() OVER (PARTITION BY user_id, run ORDER BY event_id) AS k FROM r)
+SELECT user_id, event_id, run::BIGINT AS run, size FROM n WHERE k <= 2""")
+def collapse_runs(spark, d):
+    return segments.collapse_runs(table(spark, d, "events"), "user_id", "event_id", "event_type", 2).select("user_id", "event_id", "run", "size")
+
+
+@query("collapse_repeats")
+def collapse_repeats(spark, d):
+    """A backreference, which the oracle's engine has not; covered by tests."""
+    return table(spark, d, "documents").select("doc_id", F.md5(segments.collapse_repeats(F.col("text"), 6)).alias("digest"))
+
+
+WIDTH_SQL = "(len(text) + len(regexp_replace(text, '[^WIDE]', '', 'g'))) / 2.0".replace("WIDE", T.wide_class())
+
+
+@query("display_width", f"SELECT doc_id, {WIDTH_SQL}::DOUBLE AS width FROM documents")
+def display_width(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.display_width(F.col("text")).cast("double").alias("width"))
+
+
+@query("validate_cues", f"""
+WITH {CUES_SQL}, l AS (SELECT ep, max("end") - 1 AS seconds FROM cues GROUP BY 1),
+r AS (SELECT *, row_number() OVER w AS n, lead(start) OVER w AS nxt, ("end" - start) AS s, {WIDTH_SQL} AS width FROM cues JOIN l USING (ep) WINDOW w AS (PARTITION BY ep ORDER BY idx)),
+x AS (SELECT ep, idx, unnest(list_filter([
+  CASE WHEN trim(text) = '' THEN 'empty' END, CASE WHEN start >= "end" THEN 'interval' END, CASE WHEN "end" > nxt THEN 'overlap' END,
+  CASE WHEN (n = 1 AND start < 0) OR (nxt IS NULL AND "end" > seconds) THEN 'bounds' END,
+  CASE WHEN list_max(list_transform(string_split(text, chr(10)), lambda y: (len(y) + len(regexp_replace(y, '[^WIDE]', '', 'g'))) / 2.0)) > 20 THEN 'line_width' END,
+  CASE WHEN s < 0.5 OR s > 12 THEN 'duration' END, CASE WHEN s > 0 AND width / s > 9 THEN 'speed' END, CASE WHEN idx <> n THEN 'index' END], lambda z: z IS NOT NULL)) AS rule FROM r)
+SELECT ep, idx, rule FROM x""".replace("WIDE", T.wide_class()))
+def validate_cues(spark, d):
+    c = cues(spark, d)
+    return segments.validate(c, c.groupBy("ep").agg((F.max("end") - 1).alias("seconds")))
+
+
+@query("coverage", """
+WITH w AS (SELECT conv_id AS ep, sum(len(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g'))) AS w, sum(CASE WHEN role = 'user' THEN len(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) END) AS c FROM conversations GROUP BY 1)
+SELECT ep, coalesce(least(1.0, coalesce(c, 0) / nullif(w, 0)), 1.0)::DOUBLE AS coverage FROM w""")
+def coverage(spark, d):
+    c = cues(spark, d)
+    user = table(spark, d, "conversations").where("role = 'user'").select(F.col("conv_id").alias("ep"), "text")
+    return segments.coverage(c, user)
+
+
+@query("srt_timestamp", f"""
+WITH {WORDS_SQL}, m AS (SELECT ep, pos, round_even(start * 1000, 0)::BIGINT AS ms FROM words)
+SELECT ep, pos, printf('%02d:%02d:%02d,%03d', ms // 3600000, ms // 60000 % 60, ms // 1000 % 60, ms % 1000) AS stamp FROM m""")
+def srt_timestamp(spark, d):
+    return words(spark, d).select("ep", "pos", T.srt_timestamp(F.col("start")).alias("stamp"))
+
+
+SRT_SQL = f"""{CUES_SQL}, b AS (
+  SELECT ep, idx, list_transform([start, "end"], lambda t: printf('%02d:%02d:%02d,%03d', round_even(t * 1000, 0)::BIGINT // 3600000, round_even(t * 1000, 0)::BIGINT // 60000 % 60, round_even(t * 1000, 0)::BIGINT // 1000 % 60, round_even(t * 1000, 0)::BIGINT % 1000)) AS t, text FROM cues),
+s AS (SELECT ep, string_agg(idx || chr(10) || t[1] || ' --> ' || t[2] || chr(10) || text, chr(10) || chr(10) ORDER BY idx) || chr(10) AS srt FROM b GROUP BY 1)"""
+
+
+@query("srt_render", f"WITH {SRT_SQL} SELECT ep, srt FROM s")
+def srt_render(spark, d):
+    return subtitles.render_srt(cues(spark, d), "ep")
+
+
+@query("srt_round_trip", f"""WITH {CUES_SQL} SELECT ep, idx, round(start, 3) AS start, round(round_even("end" * 1000, 0) / 1000, 3) AS "end", text FROM cues""")
+def srt_round_trip(spark, d):
+    out = subtitles.parse_srt(subtitles.render_srt(cues(spark, d), "ep"), "ep", "srt")
+    return out.select("ep", "idx", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), "text")
+
+
+@query("words_from_json", f"WITH {WORDS_SQL} SELECT ep, (pos - 1)::INT AS pos, text, round(start, 3) AS start FROM words")
+def words_from_json(spark, d):
+    """Word lists written as JSON, one per episode, and parsed again."""
+    w = words(spark, d)
+    lists = w.groupBy("ep").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text", "start", "end"))), lambda x: F.struct(x["text"].alias("text"), x["start"].alias("start"), x["end"].alias("end")))).alias("json"))
+    return subtitles.parse_words(lists, "ep", "json").select("ep", "pos", "text", F.round("start", 3).alias("start"))
+
+
+@query("cue_pipeline")
+def cue_pipeline(spark, d):
+    return segments.cue_pipeline(words(spark, d))
+
+
+@query("merge_short_cues")
+def merge_short_cues(spark, d):
+    return segments.merge_short(segments.raw_segments(words(spark, d)))
+
+
+@query("punctuated_cues")
+def punctuated_cues(spark, d):
+    w = words(spark, d)
+    marks = F.when(F.col("text") == "error", "。").when(F.col("text") == "view", "，").otherwise("")
+    texts = w.groupBy("ep").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.concat("text", marks).alias("t")))), lambda x: x["t"]), "").alias("text"))
+    return segments.punctuated_cues(w, texts)
+
+
+@query("text_chunks")
+def text_chunks(spark, d):
+    return segments.chunks(words(spark, d), 200, 400, 5.0)
+
+
+@query("drop_phrases")
+def drop_phrases(spark, d):
+    return segments.drop_phrases(words(spark, d), ["click view", "Error, purchase"])
+
+
+# --- text functions ----------------------------------------------------------------------------------
+
+
+@query("slugify", """
+WITH s AS (SELECT page_id, regexp_replace(regexp_replace(url, '[\\p{P}\\p{S}\\p{C}\\p{Z}]+', '-', 'g'), '^-+|-+$', '', 'g') AS s FROM pages)
+SELECT page_id, coalesce(nullif(regexp_replace(left(s, 80), '-+$', ''), ''), 'untitled') AS slug FROM s""")
+def slugify(spark, d):
+    return table(spark, d, "pages").select("page_id", T.slugify(F.col("url")).alias("slug"))
+
+
+@query("glossary_replace", """
+WITH a AS (SELECT doc_id, text, replace(text, 'tion', 'sion') AS b FROM documents)
+SELECT doc_id, md5(replace(b, 'ing', 'in')) AS digest, ((len(text) - len(replace(text, 'tion', ''))) // 4 + (len(b) - len(replace(b, 'ing', ''))) // 3)::INT AS n FROM a""")
+def glossary_replace(spark, d):
+    text, n = T.replace_terms(F.col("text"), [("ing", "in"), ("tion", "sion")], passes=1)
+    return table(spark, d, "documents").select("doc_id", F.md5(text).alias("digest"), n.alias("n"))
+
+
+@query("full_width_marks")
+def full_width_marks(spark, d):
+    """Look-behind, which the oracle's engine has not; covered by tests."""
+    return table(spark, d, "documents").select("doc_id", F.md5(T.full_width(T.clean_spaces(F.col("text")))).alias("digest"))
+
+
+@query("fold_text")
+def fold_text(spark, d):
+    n = table(spark, d, "conversations").select("conv_id", "turn", T.normalized("text").alias("n"))
+    return n.select("conv_id", "turn", "n.norm", F.size("n.at").alias("size"))
+
+
+@query("sequence_ratio")
+def sequence_ratio(spark, d):
+    """Similarity of each turn to the one before, where their lengths allow a ratio of a half."""
+    c = table(spark, d, "conversations").withColumn("before", F.lag("text").over(W.partitionBy("conv_id").orderBy("turn")))
+    near = c.where((F.length("text") <= 400) & (F.least(F.length("text"), F.length("before")) * 3 >= F.greatest(F.length("text"), F.length("before"))))
+    return near.select("conv_id", "turn", F.round(T.similarity_ratio("before", "text"), 6).alias("ratio"))
+
+
+@query("edit_budget")
+def edit_budget(spark, d):
+    c = table(spark, d, "conversations").where("length(text) <= 400").select("conv_id", "turn", T.edit_budget("text", T.ascii_lower(F.col("text"))).alias("b"))
+    return c.select("conv_id", "turn", "b.deleted", "b.inserted")
+
+
+@query("leak_ngrams", """
+WITH q AS (SELECT item_id, translate(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS q FROM benchmark),
+a AS (SELECT doc_id % (SELECT count(*) FROM benchmark) AS item_id, doc_id, translate(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS a FROM documents)
+SELECT doc_id, item_id, len(q) >= 12 AND len(list_filter(range(1, greatest(len(q) - 10, 1)), lambda i: contains(a, substr(q, i, 12)))) > 0 AS leaks FROM a JOIN q USING (item_id)""")
+def leak_ngrams(spark, d):
+    """Each document against the benchmark item that its number falls to."""
+    b = table(spark, d, "benchmark")
+    n = b.count()
+    docs = table(spark, d, "documents").withColumn("item_id", F.col("doc_id") % n)
+    return docs.join(b.select("item_id", F.col("text").alias("q")), "item_id").select("doc_id", "item_id", T.leak(F.col("q"), F.col("text"), 12).alias("leaks"))
+
+
+@query("clock_text", f"""WITH {WORDS_SQL} SELECT ep, pos, floor(floor(start) / 60)::BIGINT || ':' || lpad((floor(start)::BIGINT % 60)::VARCHAR, 2, '0') AS clock FROM words""")
+def clock_text(spark, d):
+    return words(spark, d).select("ep", "pos", T.clock_text(F.col("start")).alias("clock"))
+
+
+# --- pages and names -----------------------------------------------------------------------------------
+
+
+@query("html_rows", """
+WITH m AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS h, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages)
+SELECT page_id, unnest(range(len(h)))::INT AS pos, unnest(h) AS href, unnest(t) AS label FROM m""")
+def html_rows(spark, d):
+    return pages.html_rows(table(spark, d, "pages"), "page_id", "html", '<a href="([^"]*)">([^<]*)</a>', ["href", "label"])
+
+
+@query("url_parts", """
+SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS path, regexp_extract(url, '[?&]page=(\\d+)', 1) AS page FROM pages""")
+def url_parts(spark, d):
+    return table(spark, d, "pages").select("page_id", *pages.url_parts(F.col("url")))
+
+
+@query("single_source", """
+WITH f AS (SELECT page_id, list_distinct(regexp_extract_all(html, '<a href="/([a-z]+)">', 1)) AS f FROM pages)
+SELECT page_id, CASE WHEN len(f) = 1 THEN f[1] END AS id, len(f) = 1 AS ok FROM f""")
+def single_source(spark, d):
+    found, error = pages.single_source(F.col("html"), ['<a href="/([a-z]+)">'])
+    return table(spark, d, "pages").select("page_id", found.alias("id"), error.isNull().alias("ok"))
+
+
+@query("unescape_titles", """
+SELECT page_id, replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&') AS title FROM pages""")
+def unescape_titles(spark, d):
+    return table(spark, d, "pages").select("page_id", pages.unescape(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
+
+
+# --- audit, evaluation, tables ---------------------------------------------------------------------------
+
+
+@query("audit_rollup", """SELECT l_returnflag, l_linestatus, l_quantity, count(*) AS n FROM lineitem WHERE l_discount > 0.02 GROUP BY 1, 2, 3 ORDER BY n DESC, 1, 2, 3 LIMIT 30""")
+def audit_rollup(spark, d):
+    return audit.rollup(table(spark, d, "lineitem").where("l_discount > 0.02"), ["l_returnflag", "l_linestatus", "l_quantity"], 30)
+
+
+@query("row_counts", "SELECT 'documents' AS name, count(*) AS n FROM documents UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'conversations', count(*) FROM conversations")
+def row_counts(spark, d):
+    one = lambda n: table(spark, d, n).agg(F.lit(n).alias("name"), F.count("*").alias("n"))
+    return one("documents").unionByName(one("events")).unionByName(one("conversations"))
+
+
+@query("hit_at_k_mrr", """
+WITH r AS (SELECT lang, CASE WHEN quality IS NULL THEN NULL ELSE 1 + n_chars % 40 END AS rank FROM documents LEFT JOIN labels USING (doc_id))
+SELECT coalesce(lang, 'all') AS lang, count(*) AS n, round(avg(CASE WHEN rank <= 1 THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS hit_1, round(avg(CASE WHEN rank <= 5 THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS hit_5,
+  round(avg(CASE WHEN rank <= 10 THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS hit_10, round(avg(CASE WHEN rank <= 30 THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS hit_30, round(avg(coalesce(1 / rank, 0)), 6)::DOUBLE AS mrr
+FROM r GROUP BY ROLLUP (lang)""")
+def hit_at_k_mrr(spark, d):
+    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    return audit.hit_rates(docs.select("lang", F.when(F.col("quality").isNotNull(), 1 + F.col("n_chars") % 40).alias("rank")), "lang")
+
+
+@query("stratified_sample", """
+WITH o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('7:' || doc_id), doc_id) AS k FROM documents)
+SELECT doc_id, source FROM o WHERE k = 1 ORDER BY md5('8:' || doc_id), doc_id LIMIT 10""")
+def stratified_sample(spark, d):
+    return audit.stratified_sample(table(spark, d, "documents").select("doc_id", "source"), "source", "doc_id", 10, 7)
+
+
+@query("accept_spans", """
+WITH s AS (SELECT conv_id, turn AS pos, turn // 2 * 2 AS lo, turn // 2 * 2 + turn % 3 AS hi, CASE WHEN turn % 5 = 4 THEN NULL ELSE turn % 4 + 2 END AS score, [role] AS tags FROM conversations),
+g AS (SELECT s.*, (SELECT count(*) FROM conversations c WHERE c.conv_id = s.conv_id AND c.turn BETWEEN lo AND hi) AS n FROM s),
+m AS (SELECT *, CASE WHEN NOT (lo <= hi AND hi - lo < 8 AND n = hi - lo + 1 AND tags[1] IN ('user', 'assistant')) THEN 'rejected' WHEN score IS NULL OR score < 3 THEN 'low' ELSE 'ok' END AS status FROM g)
+SELECT conv_id, pos, lo, hi, CASE WHEN status = 'ok' AND row_number() OVER (PARTITION BY conv_id, lo, hi, status ORDER BY pos) > 1 THEN 'repeated' ELSE status END AS status FROM m""")
+def accept_spans(spark, d):
+    c = table(spark, d, "conversations")
+    lo = F.floor(F.col("turn") / 2) * 2
+    s = c.select("conv_id", F.col("turn").alias("pos"), lo.alias("lo"), (lo + F.col("turn") % 3).alias("hi"), F.when(F.col("turn") % 5 != 4, F.col("turn") % 4 + 2).alias("score"), F.array("role").alias("tags"))
+    return audit.accept_spans(s, c, "conv_id", "turn", ["user", "assistant"]).select("conv_id", "pos", "lo", "hi", "status")
+
+
+@query("vote_join", """
+WITH d AS (SELECT doc_id AS row_id, regexp_split_to_array(trim(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS u FROM documents),
+b AS (SELECT item_id AS ref_id, regexp_split_to_array(trim(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ')[1:12] AS u FROM benchmark),
+du AS (SELECT row_id, len(u) AS l, unnest(u) AS unit, unnest(range(len(u))) AS i FROM d), bu AS (SELECT ref_id, len(u) AS n, unnest(u) AS unit, unnest(range(len(u))) AS j FROM b WHERE len(u) >= 4),
+v AS (SELECT row_id, ref_id, i - j AS p, n, count(*) AS votes FROM du JOIN bu USING (unit) WHERE i - j >= 0 AND i - j + n <= l GROUP BY ALL HAVING count(*) * 2 >= n)
+SELECT row_id, ref_id, p::INT AS "at", votes FROM v QUALIFY row_number() OVER (PARTITION BY row_id, ref_id ORDER BY votes DESC, p) = 1""")
+def vote_join(spark, d):
+    """Twelve-word references from the benchmark against all documents."""
+    units = lambda c: F.split(F.trim(F.regexp_replace(T.ascii_lower(F.col(c)), WORD, " ")), " ")
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("row_id"), units("text").alias("units"))
+    refs = table(spark, d, "benchmark").select(F.col("item_id").alias("ref_id"), F.slice(units("text"), 1, 12).alias("units"))
+    return audit.best_window(audit.votes(rows, refs)).select("row_id", "ref_id", "at", "votes")
+
+
+@query("homophone_groups", """
+WITH d AS (SELECT regexp_split_to_array(trim(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS u FROM documents),
+w AS (SELECT unnest(flatten(list_transform([1, 2], lambda k: list_transform(range(1, greatest(len(u) - k + 2, 1)), lambda i: u[i:i + k - 1])))) AS r FROM d),
+c AS (SELECT array_to_string(list_transform(r, lambda x: regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '^zh', 'z'), '^ch', 'c'), '^sh', 's'), 'ing$', 'in'), 'eng$', 'en')), ' ') AS sound,
+  array_to_string(r, ' ') AS text, count(*) AS n FROM w GROUP BY 1, 2),
+t AS (SELECT sound, arg_max(text, (n, text)) AS major, max(n) AS major_n FROM c GROUP BY 1 HAVING count(*) > 1)
+SELECT sound, text, n, major, major_n, round(major_n / (major_n + n), 3) AS score FROM c JOIN t USING (sound) WHERE major_n >= 10 AND n <= 3 AND major_n >= 10 * n AND text <> major""")
+def homophone_groups(spark, d):
+    """Words and pairs of words of all documents, by merged sounds."""
+    rows = table(spark, d, "documents").select(F.split(F.trim(F.regexp_replace(T.ascii_lower(F.col("text")), WORD, " ")), " ").alias("units"))
+    return audit.minorities(audit.spellings(rows, T.sound_key, (1, 2)))
+
+
+@query("nested_drop", """
+WITH t AS (SELECT DISTINCT page_id AS k, unnest(regexp_extract_all(url, '[a-z]+', 0)) AS t FROM pages)
+SELECT k, t FROM t a WHERE NOT EXISTS (SELECT 1 FROM t b WHERE a.k = b.k AND contains(b.t, a.t) AND (len(b.t) > len(a.t)))""")
+def nested_drop(spark, d):
+    t = table(spark, d, "pages").select(F.col("page_id").alias("k"), F.explode(F.regexp_extract_all("url", F.lit("[a-z]+"), F.lit(0))).alias("t")).distinct()
+    return audit.drop_nested(t, "k", "t", "t")
+
+
+@query("first_wins", "SELECT user_id, event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1")
+def first_wins(spark, d):
+    return audit.first_wins(table(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id")
+
+
+@query("union_and_difference", """
+SELECT c_nationkey AS nation FROM customer UNION ALL SELECT s_nationkey FROM supplier EXCEPT ALL SELECT n_nationkey FROM nation""")
+def union_and_difference(spark, d):
+    both = table(spark, d, "customer").select(F.col("c_nationkey").alias("nation")).unionByName(table(spark, d, "supplier").select(F.col("s_nationkey").alias("nation")))
+    return both.exceptAll(table(spark, d, "nation").select(F.col("n_nationkey").alias("nation")))
+
+
+@query("latest_upsert", """
+WITH b AS (SELECT user_id, event_type, value, event_id, 0 AS n FROM events WHERE event_id % 2 = 0 UNION ALL SELECT user_id, event_type, value + 1, event_id, 1 FROM events WHERE event_id % 3 = 0)
+SELECT user_id, event_type, value, event_id FROM b QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC, n DESC) = 1""")
+def latest_upsert(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_type", "value", "event_id")
+    return store.upsert(e.where("event_id % 2 = 0"), e.where("event_id % 3 = 0").withColumn("value", F.col("value") + 1), ["user_id", "event_type"], "event_id")
+
+
+@query("insert_missing", """
+SELECT doc_id, quality FROM labels UNION ALL SELECT doc_id, -1 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def insert_missing(spark, d):
+    return store.insert_missing(table(spark, d, "labels").select("doc_id", "quality"), table(spark, d, "documents").select("doc_id", F.lit(-1).alias("quality")), ["doc_id"])
+
+
+@query("replace_partition", """
+SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderpriority NOT IN (SELECT o_orderpriority FROM orders WHERE o_orderpriority LIKE '1%') UNION ALL SELECT o_orderkey, 'N' FROM orders WHERE o_orderpriority LIKE '1%' AND o_orderkey % 2 = 0""")
+def replace_partition(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    new = o.where("o_orderpriority LIKE '1%' AND o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("N"))
+    return store.replace_partition(o, new, "o_orderpriority").select("o_orderkey", "o_orderstatus")
+
+
+@query("retention_keep_n", """
+WITH f AS (SELECT event_id, 'backup-' || strftime(ts, '%Y-%m-%d') || '.db' AS name FROM events)
+SELECT name, count(*) AS n FROM f WHERE name NOT IN (SELECT DISTINCT name FROM f ORDER BY 1 DESC LIMIT 8) GROUP BY 1""")
+def retention_keep_n(spark, d):
+    f = table(spark, d, "events").select(F.concat(F.lit("backup-"), F.date_format("ts", "yyyy-MM-dd"), F.lit(".db")).alias("name"))
+    return store.retired(f, "name", r"^backup-\d{4}-\d\d-\d\d\.db$", 8).groupBy("name").agg(F.count("*").alias("n"))
+
+
+@query("keyset_page", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey > 500 ORDER BY o_orderkey LIMIT 2000")
+def keyset_page(spark, d):
+    """One page of a keyed read: the limit is the feature."""
+    return store.page(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 500, 2000)
+
+
+@query("grouped_lookup", "SELECT source, count(*) AS n, md5(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS ids FROM documents GROUP BY 1")
+def grouped_lookup(spark, d):
+    g = store.lookup_lists(table(spark, d, "documents"), "source", "doc_id")
+    return g.select("source", F.size("items").cast("long").alias("n"), F.md5(F.array_join(F.transform("items", lambda x: x["doc_id"].cast("string")), ",")).alias("ids"))
+
+
+@query("failure_breaker", """
+WITH r AS (SELECT user_id, event_id, event_type = 'error' AS bad FROM events),
+s AS (SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS s FROM r),
+n AS (SELECT *, sum(CASE WHEN bad THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, s ORDER BY event_id) AS n FROM s),
+t AS (SELECT *, min(CASE WHEN n >= 3 THEN event_id END) OVER (PARTITION BY user_id) AS stop FROM n)
+SELECT user_id, event_id FROM t WHERE stop IS NULL OR event_id <= stop""")
+def failure_breaker(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_id", (F.col("event_type") == "error").alias("bad"))
+    return store.breaker(e, "user_id", "event_id", "bad").select("user_id", "event_id")
+
+
+@query("token_cost", "SELECT lang, round(sum(n_chars / 1e6 * 0.14 + len(source) / 1e6 * 0.28), 6) AS cost FROM documents GROUP BY 1")
+def token_cost(spark, d):
+    return store.token_cost(table(spark, d, "documents").withColumn("answer", F.length("source")), ["lang"], "n_chars", "answer")
+
+
+@query("chunk_plan", f"""
+WITH {WORDS_SQL}, l AS (SELECT ep, max("end") AS total, ceil(max("end") / 1000)::INT AS n FROM words GROUP BY 1),
+g AS (SELECT ep, total, unnest(range(1, n)) * total / n AS target FROM l),
+c AS (SELECT DISTINCT g.ep, total, arg_min(w.start, (abs(w.start - target), w.start)) AS cut FROM g JOIN words w USING (ep) GROUP BY g.ep, total, target)
+SELECT ep, round(cut, 3) AS lo, round(lead(cut, 1, total) OVER (PARTITION BY ep ORDER BY cut), 3) AS hi FROM (SELECT * FROM c UNION SELECT ep, total, 0.0 FROM l)""")
+def chunk_plan(spark, d):
+    """Parts of at most about 1000 seconds, each ideal cut moved to the nearest word start."""
+    w = words(spark, d)
+    total = w.groupBy("ep").agg(F.max("end").alias("total"))
+    n = F.ceil(F.col("total") / 1000)
+    goals = total.where(n > 1).select("ep", "total", F.explode(F.transform(F.sequence(F.lit(1), (n - 1).cast("int")), lambda i: i * F.col("total") / n)).alias("target"))
+    cuts = goals.join(w, "ep").groupBy("ep", "total", "target").agg(F.min_by("start", F.struct(F.abs(F.col("start") - F.col("target")), "start")).alias("cut")).select("ep", "total", "cut")
+    cuts = cuts.unionByName(total.select("ep", "total", F.lit(0.0).alias("cut"))).distinct()
+    return cuts.select("ep", F.round("cut", 3).alias("lo"), F.round(F.coalesce(F.lead("cut").over(W.partitionBy("ep").orderBy("cut")), "total"), 3).alias("hi"))
+
+
+@query("frame_times", f"""
+WITH {WORDS_SQL} SELECT ep, pos, list_transform(range(6), lambda i: CASE WHEN "end" - start > 3.0 THEN floor((start + ("end" - start) * (i + 0.5::DOUBLE) / 6) * 100 + 0.5::DOUBLE) / 100 ELSE floor(greatest((start + "end") / 2 + (i - 2.5::DOUBLE) * 0.5::DOUBLE, 0) * 100 + 0.5::DOUBLE) / 100 END) AS times FROM words""")
+def frame_times(spark, d):
+    """Six times half a second apart around a word's middle, or the middles of six parts of a long one."""
+    long_ = F.col("end") - F.col("start") > 3.0
+    cut = lambda x: F.floor(x * 100 + 0.5) / 100
+    at = lambda i: F.when(long_, cut(F.col("start") + (F.col("end") - F.col("start")) * (i + 0.5) / 6)).otherwise(cut(F.greatest((F.col("start") + F.col("end")) / 2 + (i - 2.5) * 0.5, F.lit(0.0))))
+    return words(spark, d).select("ep", "pos", F.transform(F.sequence(F.lit(0), F.lit(5)), at).alias("times"))
+
+
+@query("offset_merge", f"""WITH {WORDS_SQL} SELECT ep, pos, round_even(start + ep * 1000.0, 3) AS start FROM words""")
+def offset_merge(spark, d):
+    return words(spark, d).select("ep", "pos", F.bround(F.col("start") + F.col("ep") * 1000.0, 3).alias("start"))
+
+
+@query("windowed_counts", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def windowed_counts(spark, d):
+    from ..streaming.incremental import windowed_counts as counts
+
+    return counts(table(spark, d, "events"), "ts", "event_type").select(F.col("window.start").alias("hour"), "event_type", "n")
