@@ -119,7 +119,7 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.nda
     out = np.zeros(n, U64)
     for k in range(width):
         step = np.zeros(n, U64)
-        step[: n - k] = hashes[k:]
+        step[: max(0, n - k)] = hashes[k:]
         live = k < length
         out = np.where(live, mix(out * U64(0x2545F4914F6CDD1D) + step + U64(k + 1)), out)
     sizes = np.where(counts >= width, counts - width + 1, (counts > 0).astype(np.int64))
