@@ -215,7 +215,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     not held out. No labels at all give every document the same score.
     """
     marks = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    training = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text").join(marks, "doc_id")
+    training = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text").join(marks.hint("merge"), "doc_id")  # one plan at every size
     model = train(training)
     return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -223,7 +223,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows whose text scores at least ``threshold``; the score is made next to the row, without a join."""
     marks = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = train(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text").join(marks, "doc_id"))
+    model = train(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text").join(marks.hint("merge"), "doc_id"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
