@@ -7,12 +7,13 @@
    others, never all pairs. The packed planes give an estimate that is corrected for chance matches of
    low bits; pairs well below the threshold end there, others are confirmed on whole sets.
 4. Confirmed links are merged into components. A bucket whose members are in one component is settled. Small
-   open buckets are compared in pairs of different components. Large ones are first dealt out by pairs of set
-   sizes, where a member goes only to sizes that it could be linked with: its shingles that some other
-   open member has are all that any intersection can hold. That is exact, and takes from a large group
-   the members with many changes of their own. What is still open is compared by further hubs, eight times as
-   many each round, until every pair of a bucket has been compared or is in one component. So a group of
-   near copies costs one star, and no link is lost to a cap.
+   open buckets are compared in pairs of different components. Large ones are dealt out anew, exactly: of two
+   members with a link that are not both linked to the hub, one has so many shingles that a hub lacks that
+   the other must share one of these, so that they meet at a rare shingle. Members for which the sizes
+   leave another way are also dealt out by pairs of set sizes, to sizes that they could be linked with:
+   their shingles that some other open member has are all that an intersection can hold. What is still
+   open is compared by further hubs, eight times as many each round, until every pair of a bucket has been
+   compared or is in one component. So a group of near copies costs one star, and no link is lost to a cap.
 """
 
 from __future__ import annotations
@@ -164,15 +165,48 @@ def shared_shingles(sets: DataFrame) -> DataFrame:
     return sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).join(alone, "node", "left").select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
 
 
-def _by_sizes(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Rows (hub, rep) of large buckets, dealt out by the pairs of set sizes at which a member can have a link: key, rep, side (bit 1: the smaller size, bit 2: the larger)."""
+def _beyond_hub(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """hub, rep and shingle of each row (hub, rep) for each shingle that the hub lacks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for hub, rep, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                own = np.setdiff1d(np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64), assume_unique=True)
+                yield pa.record_batch([pa.array(np.full(len(own), hub)), pa.array(np.full(len(own), rep)), pa.array(own)], names=["hub", "rep", "shingle"])
+
+    own = sets.select(F.col("node").alias("rep"), F.col("shingles").alias("x"))
+    center = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("y"))
+    return rows.join(own, "rep").join(center, "hub").select("hub", "rep", "x", "y").mapInArrow(run, "hub long, rep long, shingle long")
+
+
+def _dealt_anew(rows: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows (hub, rep, component) of large buckets as smaller ones: key, rep, side.
+
+    Let b be a member that is not in the hub's component, and a one that it has a link with. Their intersection holds at
+    least percent * (|a| + |b|) / (100 + percent) shingles. If b has more shingles that the hub lacks than its size
+    less that number, a has one of them: the pair meets at (hub, shingle). Otherwise, for some size of a, b is loose, and
+    the rows of these two sizes stay together (side: bit 1 for the smaller size, bit 2 for the larger).
+    """
+    beyond = materialize(_beyond_hub(rows.select("hub", "rep"), sets), "minhash-beyond")
+    shared = beyond.groupBy("hub", "shingle").agg(F.count("*").alias("n")).where("n > 1").select("hub", "shingle")
+    meeting = beyond.join(shared, ["hub", "shingle"]).select(F.xxhash64("hub", "shingle").alias("key"), "rep", F.lit(3).alias("side"))
     nodes = rows.select(F.col("rep").alias("node")).distinct()
     known = materialize(shared_shingles(sets.join(nodes, "node", "left_semi")), "minhash-common")
-    rows = rows.join(known, rows.rep == known.node).select("hub", "rep", "size", "common")
+    lacking = beyond.groupBy("hub", "rep").agg(F.count("*").alias("lacking"))
+    center = labels.select(F.col("node").alias("hub"), F.col("component").alias("center"))
+    rows = rows.join(center, "hub", "left").join(known, rows.rep == known.node).join(lacking, ["hub", "rep"], "left")
+    rows = rows.select("hub", "rep", "size", "common", F.coalesce("lacking", F.lit(0)).alias("lacking"), (F.col("component") != F.coalesce("center", "hub")).alias("outside"))
     other = rows.select("hub", F.col("size").alias("z")).distinct()
+    least = F.ceil((F.col("size") + F.col("z")) * percent / (100 + percent))
     met = rows.join(other, "hub").where((F.least("size", "z") * 100 >= F.greatest("size", "z") * percent) & (F.col("common") * (100 + percent) >= (F.col("size") + F.col("z")) * percent))
-    side = F.when(F.col("size") < F.col("z"), 1).when(F.col("size") > F.col("z"), 2).otherwise(3)
-    return met.select(F.xxhash64("hub", F.least("size", "z"), F.greatest("size", "z")).alias("key"), "rep", side.alias("side")).distinct()
+    met = met.select(
+        F.xxhash64("hub", F.least("size", "z"), F.greatest("size", "z")).alias("key"),
+        "rep",
+        F.when(F.col("size") < F.col("z"), 1).when(F.col("size") > F.col("z"), 2).otherwise(3).alias("side"),
+        (F.col("outside") & (F.col("lacking") <= F.col("size") - least)).alias("loose"),
+    )
+    loose = met.where("loose").select("key").distinct()
+    return meeting.unionByName(met.join(loose, "key", "left_semi").select("key", "rep", "side")).distinct()
 
 
 def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -224,8 +258,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # every bucket's hub has been compared; of the others, pairs of different components are left
     rest = members.where("rep <> hub").select("key", "rep", "hub", F.lit(3).alias("side"))
     open_ = materialize(_open(rest, labels), "minhash-open")
-    large = open_.where(F.col("n") > SMALL_BUCKET).select("hub", "rep").distinct()
-    left = materialize(_by_sizes(large, sets, percent), "minhash-sized")
+    # a large bucket's hub is from here on the node with most links of its most frequent component, near to most members
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+    degrees = labels.join(ends.groupBy("node").agg(F.count("*").alias("d")), "node")
+    centers = degrees.groupBy("component").agg(F.max_by("node", F.struct(F.col("d"), -F.col("node"))).alias("center"))
+    large = open_.where(F.col("n") > SMALL_BUCKET).select("key", "rep", "component")
+    main = large.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("component", F.struct(F.col("c"), -F.col("component"))).alias("main"))
+    hub_of = main.join(centers, main.main == centers.component, "left").select("key", F.coalesce("center", "main").alias("hub"))
+    large = large.join(hub_of, "key").select("hub", "rep", "component").distinct()
+    left = materialize(_dealt_anew(large, labels, sets, percent), "minhash-dealt")
     pairs, round_, hubs = _small_pairs(open_), 0, FIRST_HUBS
     while True:
         more = materialize(confirm(_likely(pairs, planes, percent), sets, percent), f"minhash-links-{round_}")
