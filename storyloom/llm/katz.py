@@ -8,7 +8,7 @@ mark, and each document ends with an end token.
 
 No task and no executor holds the model. Tables are partitioned by hashes, as packed sorted arrays:
 
-* chunks: some half a million tokens of whole documents, as places in the chunk's own sorted list of words;
+* chunks: some million tokens of whole documents, as places in the chunk's own sorted list of words;
 * unigrams: each chunk asks for the training counts of its distinct words, which are summed by word;
 * bigrams: each chunk asks for its distinct pairs, dealt out by history (pairs of very common histories by
   their second word), which are summed by pair and by history.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import kernels
 from .scratch import materialize, new_path
 
-CHUNK_TOKENS = 500_000
+CHUNK_TOKENS = 1_000_000
 MAX_DISCOUNTED = 5
 #: A word with more than 1 / (HOT_PARTS * partitions) of all tokens is common enough to be dealt out by its followers.
 HOT_PARTS = 4
@@ -142,6 +142,7 @@ def chunks(docs: DataFrame, size: int = CHUNK_TOKENS) -> DataFrame:
 
         def close() -> pa.RecordBatch:
             body = Chunk.build(*(np.concatenate(x) for x in zip(*held)))
+            kernels.release()
             return pa.record_batch([pa.array([number], pa.int64()), pa.array([body], pa.binary())], names=["chunk", "body"])
 
         for batch in batches:
@@ -267,6 +268,7 @@ def bigram_counts(packed: DataFrame, unigram_answers: DataFrame, uni: Unigrams,
         for number, body in zip(left.column("chunk").to_pylist(), left.column("body")):
             c = Chunk(unpack(body.as_py()))
             rows += _ask_pairs(c, number, _answered(right), parts, hot)
+        kernels.release()
         return _rows(rows, ["chunk", "part", "body"])
 
     def add(table: pa.Table) -> pa.Table:
@@ -289,12 +291,17 @@ def bigram_counts(packed: DataFrame, unigram_answers: DataFrame, uni: Unigrams,
         part = table.column("part")[0].as_py()
         rows = [(STATS, part, pack([np.array([c.sum(), len(c), *small], np.int64), owners[common], *(x[common] for x in sums)]))]
         at = 0
-        for number, hs, (*_, n) in zip(table.column("chunk").to_pylist(), lists, asked):
+        for number, hs, (*_, spot, n) in zip(table.column("chunk").to_pylist(), lists, asked):
             place = np.minimum(np.searchsorted(owners, hs), max(0, len(owners) - 1))
             known = owners[place] == hs if len(owners) else np.zeros(len(hs), bool)
             own = [np.where(known, x[place], 0) if len(owners) else np.zeros(len(hs), x.dtype) for x in sums]
-            rows.append((number, part, pack([_narrow(total[which[at : at + len(n)]]), *(_narrow(x) for x in own[:-1]), own[-1]])))
+            counts = total[which[at : at + len(n)]]
+            # the share is for backing off, which only histories of unseen pairs do
+            needed = np.zeros(len(hs), bool)
+            needed[spot[counts == 0]] = True
+            rows.append((number, part, pack([_narrow(counts), *(_narrow(x) for x in own[:-1]), np.where(needed, own[-1], 0)])))
             at += len(n)
+        kernels.release()
         return _rows(rows, ["chunk", "part", "body"])
 
     asked = packed.groupBy("chunk").cogroup(unigram_answers.where(F.col("chunk") != STATS).groupBy("chunk")).applyInArrow(ask, ANSWER)
@@ -396,6 +403,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 pa.array(c.doc_id, mask=c.missing.astype(bool)), pa.array(c.held.astype(bool)), pa.array(n_tokens), pa.array(n_known.astype(np.int64)),
                 pa.array(np.full(n, uni.tokens)), pa.array(base), pa.array(score),
             ], names=[x.split()[0] for x in RESULT.split(", ")]))
+        kernels.release()
         return pa.concat_tables(out)
 
     both = answers.withColumn("kind", F.lit(1)).unionByName(pairs.withColumn("kind", F.lit(2))).where(F.col("chunk") != STATS)

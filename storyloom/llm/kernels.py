@@ -6,6 +6,7 @@ run of bytes other than space and ``\\t``..``\\r`` (0x09-0x0D), with A-Z lower-c
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,13 @@ _POWERS = np.multiply.accumulate(np.concatenate([[U64(1)], np.full(_STEP - 1, _B
 _FAR = (_POWERS[-1:] * _BASE)[0]
 
 
+def release() -> None:
+    """Gives freed memory back to the system, where the C library can; idle Python workers keep it otherwise."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers whose bits all depend on all bits of the input."""
     x = x ^ (x >> U64(33))
