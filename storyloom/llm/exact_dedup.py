@@ -71,7 +71,8 @@ def radix_groups(docs: DataFrame, first: int = FIRST_DIGIT, widening: int = WIDE
     alone = ended.where("grp is null").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     shared = ended.where("grp is not null")
     first_row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row")))
-    heads = shared.groupBy("level", "grp").agg(F.count("*").alias("group_size"), first_row.alias("head"))
+    # written, so that the join below has a plain exchange on either side and a large group is split
+    heads = materialize(shared.groupBy("level", "grp").agg(F.count("*").alias("group_size"), first_row.alias("head")), "radix-heads")
     return alone.unionByName(
         shared.join(heads.hint("merge"), ["level", "grp"]).select(
             "doc_id", F.col("head.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("head.row")).alias("kept"), "text_sha256"
