@@ -186,11 +186,13 @@ def mix(docs: DataFrame, targets: dict | None = None, share: float = SHARE, repe
     edge = slim.join(last, "pattern").where("b = edge").groupBy("pattern", "room", "h").agg(F.sum("size").alias("w"))
     # of the edge bucket, documents that fit go in; the one that crosses the amount only if that comes nearer
     run = F.sum("w").over(W.partitionBy("pattern").orderBy("h"))
-    edge = edge.withColumn("upto", run).where("upto <= room OR (upto - w < room AND upto - room < room - upto + w)").select(F.col("pattern").alias("p"), F.col("h").alias("eh"))
-    docs = docs.join(edge, (docs.pattern == edge.p) & (docs.h == edge.eh) & (docs.b == docs.edge), "left")
-    extra = (F.col("need") > 0) & ((F.col("b") < F.col("edge")) | F.col("eh").isNotNull())
+    inside = edge.withColumn("upto", run).where("upto <= room OR (upto - w < room AND upto - room < room - upto + w)")
+    cut = inside.groupBy(F.col("pattern").alias("p")).agg(F.max("h").alias("cut"))
+    cut = F.broadcast(cut) if len(plan) <= 10_000 else cut  # a row per pattern
+    docs = docs.join(cut, docs.pattern == cut.p, "left")
+    extra = (F.col("need") > 0) & ((F.col("b") < F.col("edge")) | ((F.col("b") == F.col("edge")) & F.coalesce(F.col("h") <= F.col("cut"), F.lit(False))))
     times = F.col("full") + F.when(extra, 1).otherwise(0)
-    return docs.withColumn("taken", F.col("size") * times).withColumn("repeats", F.when(F.col("size") > 0, times).otherwise(0)).drop("pattern", "full", "need", "h", "b", "edge", "room", "p", "eh")
+    return docs.withColumn("taken", F.col("size") * times).withColumn("repeats", F.when(F.col("size") > 0, times).otherwise(0)).drop("pattern", "full", "need", "h", "b", "edge", "room", "p", "cut")
 
 
 def repeat_rows(docs: DataFrame) -> DataFrame:
