@@ -19,9 +19,9 @@ def rows(df, *order):
 
 
 def test_absorbed():
-    assert segments.absorbed([(0, 1, "這是一句。"), (1, 2, "海"), (2.5, 4, "綿寶寶來了")]) == [(0, 1, "這是一句。"), (1, 4, "海綿寶寶來了")]
-    assert segments.absorbed([(0, 1, "這是一句"), (1, 2, "海"), (9, 10, "綿寶寶來了")]) == [(0, 2, "這是一句海"), (9, 10, "綿寶寶來了")]
-    assert segments.absorbed([(0, 1, "海")]) == [(0, 1, "海")]
+    assert segments.absorbed([(0, 1, "這是一句。"), (1, 2, "紅"), (2.5, 4, "色蘋果來了")]) == [(0, 1, "這是一句。"), (1, 4, "紅色蘋果來了")]
+    assert segments.absorbed([(0, 1, "這是一句"), (1, 2, "紅"), (9, 10, "色蘋果來了")]) == [(0, 2, "這是一句紅"), (9, 10, "色蘋果來了")]
+    assert segments.absorbed([(0, 1, "紅")]) == [(0, 1, "紅")]
     assert segments.absorbed([]) == []
 
 
@@ -110,8 +110,8 @@ def test_collapse_repeats_and_strip(spark):
 
 
 def test_bm25_and_fuse(spark):
-    docs = spark.createDataFrame([(1, "海綿寶寶"), (2, "派大星"), (3, "海綿"), (4, None), (5, "")], "doc_id long, text string")
-    q = spark.createDataFrame([(0, "海綿海綿")], "query_id int, query string")
+    docs = spark.createDataFrame([(1, "紅色蘋果"), (2, "白玉米"), (3, "紅色"), (4, None), (5, "")], "doc_id long, text string")
+    q = spark.createDataFrame([(0, "紅色紅色")], "query_id int, query string")
     assert [r.id for r in search.bm25(docs, q).orderBy("rank").collect()] == [3, 1]
     lists = spark.createDataFrame([(0, 0, 1, 1), (0, 0, 2, 2), (0, 0, 3, 3), (0, 1, 1, 3), (0, 1, 2, 1)], "query_id int, list int, rank int, id int")
     assert [r.id for r in search.fuse(lists).orderBy("place").collect()] == [1, 3, 2]
@@ -158,8 +158,8 @@ def test_minorities(spark):
 def test_nested_and_fragments(spark):
     df = spark.createDataFrame([(1, "abc", 0), (1, "bc", 1), (1, "abc", 2), (2, "bc", 3)], "k int, t string, o int")
     assert rows(audit.drop_nested(df, "k", "t", "o"), "o") == [(1, "abc", 0), (2, "bc", 3)]
-    q = spark.createDataFrame([("他說蟹堡", "「蟹堡」應為", "蟹保"), ("已是蟹保", "無", "蟹保"), ("其他", "無", "蟹保")], "t string, d string, s string")
-    assert [r[0] for r in q.select(audit.quoted_fragment("t", "d", "s")).collect()] == ["蟹堡", None, "其他"]
+    q = spark.createDataFrame([("他說咖啡", "「咖啡」應為", "咖非"), ("已是咖非", "無", "咖非"), ("其他", "無", "咖非")], "t string, d string, s string")
+    assert [r[0] for r in q.select(audit.quoted_fragment("t", "d", "s")).collect()] == ["咖啡", None, "其他"]
 
 
 def test_hit_rates(spark):
@@ -189,8 +189,8 @@ def test_partitions_and_dump(spark, tmp_path):
 def test_breaker_and_retention(spark):
     df = spark.createDataFrame([(1, i, i in (2, 3, 4, 6)) for i in range(8)], "k int, i int, bad boolean")
     assert [r.i for r in store.breaker(df, "k", "i", "bad").orderBy("i").collect()] == [0, 1, 2, 3, 4]
-    files = spark.createDataFrame([("bob-2024-01-01.db",), ("bob-2024-01-02.db",), ("other",)], "name string")
-    assert rows(store.retired(files, "name", r"^bob-\d{4}-\d\d-\d\d\.db$", 1), "name") == [("bob-2024-01-01.db",)]
+    files = spark.createDataFrame([("copy-2024-01-01.db",), ("copy-2024-01-02.db",), ("other",)], "name string")
+    assert rows(store.retired(files, "name", r"^copy-\d{4}-\d\d-\d\d\.db$", 1), "name") == [("copy-2024-01-01.db",)]
 
 
 def test_srt_round_trip(spark, tmp_path):
@@ -203,8 +203,8 @@ def test_srt_round_trip(spark, tmp_path):
 
 
 def test_pages(spark):
-    df = spark.createDataFrame([(1, "* '''Bob:''' [[Sponge|Hello]] ''you''\n* '''Pat''': Hi")], "k int, w string")
-    assert rows(pages.transcript_lines(df, "k", "w"), "pos") == [(1, 0, "Bob", "Hello you"), (1, 1, "Pat", "Hi")]
+    df = spark.createDataFrame([(1, "* '''Ann:''' [[Page|Hello]] ''you''\n* '''Pat''': Hi")], "k int, w string")
+    assert rows(pages.transcript_lines(df, "k", "w"), "pos") == [(1, 0, "Ann", "Hello you"), (1, 1, "Pat", "Hi")]
     names = spark.createDataFrame([("x_S1_ep12_(a_b).mp4",), ("y",)], "n string")
     assert [tuple(r) for r in names.select(*pages.episode_name(F.col("n"))).collect()] == [(1, 12, "a／b"), (None, None, None)]
     found, error = pages.single_source(F.col("n"), [r"id=(\w+)"])
@@ -215,9 +215,9 @@ def test_pages(spark):
 def test_dimensions(spark, tmp_path):
     import pytest
 
-    (tmp_path / "g.yml").write_text("terms:\n- {correct: 蟹堡, wrong: [蟹保], whisper_hint: true}\n- {correct: abc}\n")
+    (tmp_path / "g.yml").write_text("terms:\n- {correct: 咖啡, wrong: [咖非], whisper_hint: true}\n- {correct: abc}\n")
     terms = dimensions.glossary(spark, str(tmp_path / "g.yml"))
-    assert [(r.pos, r.correct, r.wrong) for r in terms.orderBy("pos").collect()] == [(0, "蟹堡", ["蟹保"]), (1, "abc", [])]
+    assert [(r.pos, r.correct, r.wrong) for r in terms.orderBy("pos").collect()] == [(0, "咖啡", ["咖非"]), (1, "abc", [])]
     assert dimensions.hint_terms(terms, 5).count() == 1 and dimensions.hint_terms(terms, 3).count() == 0
     (tmp_path / "t.yml").write_text("a: [x, x]\n")
     with pytest.raises(ValueError):
