@@ -65,6 +65,11 @@ def bigrams(text) -> Column:
     return F.when(n > 1, pairs).otherwise(chars)
 
 
+def words(text) -> Column:
+    """Runs of letters and digits, A-Z in lower case."""
+    return F.filter(F.split(ascii_lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
 def clean_spaces(text) -> Column:
     """White-space runs as one space, trimmed, and no space between two wide characters."""
     wide = wide_class()

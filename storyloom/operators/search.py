@@ -16,15 +16,16 @@ def term_frequencies(docs: DataFrame, id_: str, text: str) -> DataFrame:
     return docs.select(F.col(id_).alias("id"), F.explode(bigrams(F.col(text))).alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
 
 
-def bm25(docs: DataFrame, queries: DataFrame, id_: str = "doc_id", text: str = "text", k: int = 10) -> DataFrame:
+def bm25(docs: DataFrame, queries: DataFrame, id_: str = "doc_id", text: str = "text", k: int = 10, terms_of=bigrams) -> DataFrame:
     """query_id, id, score and rank of the k best documents of each query (query_id, query).
 
     Documents without a term of the query are absent; ties go to the smaller id. Only documents' terms that some
     query has are grouped: queries' distinct terms are joined right after the split into terms, so that the
-    counts of other terms are never shuffled. Lengths come from the split itself.
+    counts of other terms are never shuffled. Lengths come from the split itself. ``terms_of`` maps a text column to an
+    array of terms: pairs of characters, or words.
     """
-    wanted = queries.select("query_id", F.explode(F.array_distinct(bigrams(F.col("query")))).alias("term"))
-    grams = docs.select(F.col(id_).alias("id"), bigrams(F.col(text)).alias("grams"))
+    wanted = queries.select("query_id", F.explode(F.array_distinct(terms_of(F.col("query")))).alias("term"))
+    grams = docs.select(F.col(id_).alias("id"), terms_of(F.col(text)).alias("grams"))
     stats = grams.agg(F.count("*").alias("n"), F.avg(F.size("grams")).alias("mean"))
     terms = wanted.select("term").distinct()
     found = grams.select("id", F.size("grams").alias("len"), F.explode("grams").alias("term")).join(terms, "term", "left_semi")
@@ -43,7 +44,9 @@ def top_k(rows: DataFrame, by: str, order: list, k: int) -> DataFrame:
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, id, distance and rank of the k vectors (id, v) with the least cosine distance to each query (query_id, q)."""
-    met = vectors.join(F.broadcast(queries)) if queries.limit(1001).count() <= 1000 else vectors.join(queries, F.size("v") == F.size("q"))
+    # each query meets each vector of its dimension: the query set is stated, and small sets are broadcast
+    few = queries.limit(1001).count() <= 1000
+    met = vectors.join(F.broadcast(queries) if few else queries, F.size("v") == F.size("q"))
     scored = met.select("query_id", "id", F.round(cosine_distance(F.col("q"), F.col("v")), 6).alias("distance"))
     return top_k(scored, "query_id", [F.col("distance"), F.col("id")], k)
 

@@ -62,16 +62,10 @@ cues AS (
 
 # --- search ----------------------------------------------------------------------------------------
 
-GRAMS_SQL = """
-chars AS (SELECT doc_id AS id, regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g') AS s FROM documents),
-lists AS (SELECT id, CASE WHEN len(s) > 1 THEN list_transform(list_zip(string_split(s, '')[:-2], string_split(s, '')[2:]), lambda p: p[1] || p[2])
-  WHEN len(s) = 1 THEN [s] ELSE [] END AS g FROM chars),
-qchars AS (SELECT item_id AS query_id, regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g') AS s FROM benchmark WHERE item_id < 5),
-q AS (SELECT DISTINCT query_id, unnest(CASE WHEN len(s) > 1 THEN list_transform(list_zip(string_split(s, '')[:-2], string_split(s, '')[2:]), lambda p: p[1] || p[2])
-  WHEN len(s) = 1 THEN [s] ELSE [] END) AS term FROM qchars)"""
-
+WORDS_OF = "list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
 BM25_SQL = f"""
-WITH {GRAMS_SQL},
+WITH lists AS (SELECT doc_id AS id, {WORDS_OF} AS g FROM documents),
+q AS (SELECT DISTINCT item_id AS query_id, unnest({WORDS_OF}) AS term FROM benchmark),
 st AS (SELECT count(*) AS n, avg(len(g)) AS mean FROM lists),
 tf AS (SELECT id, len(g) AS l, unnest(g) AS term FROM lists),
 tc AS (SELECT id, l, term, count(*) AS tf FROM tf WHERE term IN (SELECT term FROM q) GROUP BY ALL),
@@ -81,38 +75,41 @@ sc AS (SELECT query_id, id, round(sum(ln((n - df + 0.5) / (df + 0.5) + 1) * tf *
 SELECT query_id, id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank FROM sc) WHERE rank <= 10"""
 
 
-def _questions(spark, d) -> DataFrame:
-    return table(spark, d, "benchmark").where("item_id < 5").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
-
-
 @query("bm25_topk", BM25_SQL)
 def bm25_topk(spark, d):
-    """Five questions (the search's queries) against all documents."""
-    return search.bm25(table(spark, d, "documents"), _questions(spark, d))
+    """Every benchmark text as a query, by words, against all documents."""
+    questions = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return search.bm25(table(spark, d, "documents"), questions, terms_of=T.words)
 
 
 @query("term_document_frequency", """
-WITH t AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{L}\\p{N}]+')) AS term FROM documents)
+WITH c AS (SELECT doc_id, string_split(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g'), '') AS c FROM documents),
+t AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(c) > 1 THEN list_transform(list_zip(c[:-2], c[2:]), lambda p: p[1] || p[2]) ELSE c END) AS term FROM c)
 SELECT term, count(*) AS df, round(ln(((SELECT count(*) FROM documents) - count(*) + 0.5) / (count(*) + 0.5) + 1), 6) AS idf FROM t WHERE term <> '' GROUP BY 1""")
 def term_document_frequency(spark, d):
+    """Pairs of characters, with their inverse document frequency."""
     docs = table(spark, d, "documents")
-    terms = docs.select(F.explode(F.array_distinct(F.split(T.ascii_lower(F.col("text")), WORD))).alias("term")).where("term <> ''")
+    terms = docs.select(F.explode(F.array_distinct(T.bigrams(F.col("text")))).alias("term"))
     n = docs.agg(F.count("*").alias("n"))
     counts = terms.groupBy("term").agg(F.count("*").alias("df"))
     return counts.crossJoin(F.broadcast(n)).select("term", "df", F.round(F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1), 6).alias("idf"))
 
 
 VEC_SQL = """
-sims AS (SELECT q.vec_id AS query_id, v.vec_id AS id, round(1 - list_cosine_similarity(list_transform(q.embedding, lambda x: x::DOUBLE), list_transform(v.embedding, lambda x: x::DOUBLE)), 6) AS distance
-  FROM embeddings q, embeddings v WHERE q.vec_id < 5),
+parts AS (SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings),
+means AS (SELECT label, i, avg(x) AS x FROM parts GROUP BY 1, 2),
+centers AS (SELECT label AS query_id, list(x ORDER BY i) AS q FROM means GROUP BY 1),
+sims AS (SELECT query_id, vec_id AS id, round(1 - list_cosine_similarity(q, list_transform(embedding, lambda x: x::DOUBLE)), 6) AS distance FROM centers, embeddings),
 near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id)::INT AS rank FROM sims)"""
 
 
 @query("vector_nearest", f"WITH {VEC_SQL} SELECT * FROM near WHERE rank <= 10")
 def vector_nearest(spark, d):
-    """Five query vectors against all."""
+    """The mean vector of each label as a query against all vectors."""
     e = table(spark, d, "embeddings")
-    return search.nearest(e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), e.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")))
+    means = e.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    centers = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("q"))
+    return search.nearest(e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), centers.select(F.col("label").alias("query_id"), "q"))
 
 
 @query("hybrid_search", BM25_SQL.replace("SELECT query_id, id, score, rank FROM (", f", lex AS (SELECT query_id, id, rank FROM (") + ")," + VEC_SQL.lstrip().replace("WITH", "") + """,
@@ -120,7 +117,7 @@ l AS (SELECT query_id, 0 AS list, rank, id FROM near WHERE rank <= 10 UNION ALL
 f AS (SELECT query_id, id, round(sum(1 / (10 + rank)), 9) AS score, min((list, rank)) AS first FROM l GROUP BY 1, 2)
 SELECT query_id, id, score, place FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, first)::INT AS place FROM f) WHERE place <= 10""")
 def hybrid_search(spark, d):
-    """Words and vectors fused; document and vector identifiers are one space here."""
+    """Words and vectors fused; numbers of queries, documents and vectors are one space each here."""
     return search.hybrid(bm25_topk(spark, d), vector_nearest(spark, d))
 
 
@@ -178,11 +175,11 @@ def neighbour_context(spark, d):
 
 
 @query("span_text", """
-WITH s AS (SELECT conv_id, turn AS lo, turn + 2 AS hi FROM conversations WHERE turn % 2 = 0)
+WITH s AS (SELECT conv_id, turn AS lo, turn + 2 AS hi FROM conversations)
 SELECT s.conv_id, lo, hi, string_agg(text, chr(10) ORDER BY turn) AS text, count(*) AS n FROM s JOIN conversations c ON s.conv_id = c.conv_id AND turn BETWEEN lo AND hi GROUP BY 1, 2, 3""")
 def span_text(spark, d):
     c = table(spark, d, "conversations")
-    wanted = c.where("turn % 2 = 0").select("conv_id", F.col("turn").alias("lo"), (F.col("turn") + 2).alias("hi"))
+    wanted = c.select("conv_id", F.col("turn").alias("lo"), (F.col("turn") + 2).alias("hi"))
     return spans.span_text(wanted, c, "conv_id", "turn", "text")
 
 
@@ -414,16 +411,18 @@ def fold_text(spark, d):
 
 @query("sequence_ratio")
 def sequence_ratio(spark, d):
-    """Similarity of each turn to the one before, where their lengths allow a ratio of a half."""
-    c = table(spark, d, "conversations").withColumn("before", F.lag("text").over(W.partitionBy("conv_id").orderBy("turn")))
-    near = c.where((F.length("text") <= 400) & (F.least(F.length("text"), F.length("before")) * 3 >= F.greatest(F.length("text"), F.length("before"))))
-    return near.select("conv_id", "turn", F.round(T.similarity_ratio("before", "text"), 6).alias("ratio"))
+    """Similarity of each page's address to the one before."""
+    p = table(spark, d, "pages").select("page_id", "url", F.regexp_extract("url", "/([a-z]{2})/", 1).alias("lang"))
+    near = p.withColumn("before", F.lag("url").over(W.partitionBy("lang").orderBy("page_id")))
+    return near.select("page_id", F.round(T.similarity_ratio("before", "url"), 6).alias("ratio"))
 
 
 @query("edit_budget")
 def edit_budget(spark, d):
-    c = table(spark, d, "conversations").where("length(text) <= 400").select("conv_id", "turn", T.edit_budget("text", T.ascii_lower(F.col("text"))).alias("b"))
-    return c.select("conv_id", "turn", "b.deleted", "b.inserted")
+    """What folding a title's letters and entities adds and takes away."""
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    b = table(spark, d, "pages").select("page_id", T.edit_budget(title, T.ascii_lower(pages.unescape(title))).alias("b"))
+    return b.select("page_id", "b.deleted", "b.inserted")
 
 
 @query("leak_ngrams", """
@@ -518,15 +517,15 @@ def accept_spans(spark, d):
 
 @query("vote_join", """
 WITH d AS (SELECT doc_id AS row_id, regexp_split_to_array(trim(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS u FROM documents),
-b AS (SELECT item_id AS ref_id, regexp_split_to_array(trim(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ')[1:12] AS u FROM benchmark),
+b AS (SELECT item_id AS ref_id, regexp_split_to_array(trim(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS u FROM benchmark),
 du AS (SELECT row_id, len(u) AS l, unnest(u) AS unit, unnest(range(len(u))) AS i FROM d), bu AS (SELECT ref_id, len(u) AS n, unnest(u) AS unit, unnest(range(len(u))) AS j FROM b WHERE len(u) >= 4),
 v AS (SELECT row_id, ref_id, i - j AS p, n, count(*) AS votes FROM du JOIN bu USING (unit) WHERE i - j >= 0 AND i - j + n <= l GROUP BY ALL HAVING count(*) * 2 >= n)
 SELECT row_id, ref_id, p::INT AS "at", votes FROM v QUALIFY row_number() OVER (PARTITION BY row_id, ref_id ORDER BY votes DESC, p) = 1""")
 def vote_join(spark, d):
-    """Twelve-word references from the benchmark against all documents."""
+    """Whole benchmark texts as references against all documents."""
     units = lambda c: F.split(F.trim(F.regexp_replace(T.ascii_lower(F.col(c)), WORD, " ")), " ")
     rows = table(spark, d, "documents").select(F.col("doc_id").alias("row_id"), units("text").alias("units"))
-    refs = table(spark, d, "benchmark").select(F.col("item_id").alias("ref_id"), F.slice(units("text"), 1, 12).alias("units"))
+    refs = table(spark, d, "benchmark").select(F.col("item_id").alias("ref_id"), units("text").alias("units"))
     return audit.best_window(audit.votes(rows, refs)).select("row_id", "ref_id", "at", "votes")
 
 
@@ -564,11 +563,11 @@ def union_and_difference(spark, d):
 
 
 @query("latest_upsert", """
-WITH b AS (SELECT user_id, event_type, value, event_id, 0 AS n FROM events WHERE event_id % 2 = 0 UNION ALL SELECT user_id, event_type, value + 1, event_id, 1 FROM events WHERE event_id % 3 = 0)
+WITH b AS (SELECT user_id, event_type, value, event_id, 0 AS n FROM events UNION ALL SELECT user_id, event_type, value + 1, event_id, 1 FROM events WHERE event_type = 'click')
 SELECT user_id, event_type, value, event_id FROM b QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC, n DESC) = 1""")
 def latest_upsert(spark, d):
     e = table(spark, d, "events").select("user_id", "event_type", "value", "event_id")
-    return store.upsert(e.where("event_id % 2 = 0"), e.where("event_id % 3 = 0").withColumn("value", F.col("value") + 1), ["user_id", "event_type"], "event_id")
+    return store.upsert(e, e.where("event_type = 'click'").withColumn("value", F.col("value") + 1), ["user_id", "event_type"], "event_id")
 
 
 @query("insert_missing", """
@@ -578,10 +577,10 @@ def insert_missing(spark, d):
 
 
 @query("replace_partition", """
-SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderpriority NOT IN (SELECT o_orderpriority FROM orders WHERE o_orderpriority LIKE '1%') UNION ALL SELECT o_orderkey, 'N' FROM orders WHERE o_orderpriority LIKE '1%' AND o_orderkey % 2 = 0""")
+SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderpriority NOT IN (SELECT o_orderpriority FROM orders WHERE o_orderpriority LIKE '1%') UNION ALL SELECT o_orderkey, 'N' FROM orders WHERE o_orderpriority LIKE '1%' AND o_orderstatus = 'F'""")
 def replace_partition(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    new = o.where("o_orderpriority LIKE '1%' AND o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("N"))
+    new = o.where("o_orderpriority LIKE '1%' AND o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("N"))
     return store.replace_partition(o, new, "o_orderpriority").select("o_orderkey", "o_orderstatus")
 
 
