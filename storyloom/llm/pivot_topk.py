@@ -43,11 +43,11 @@ def quantised(vectors: DataFrame, scale: int = 1024) -> DataFrame:
 
 
 def choose_pivots(rows: np.ndarray, n: int = PIVOTS) -> np.ndarray:
-    """Rows far from each other, the first one given and each next one farthest from those before."""
+    """Rows far from each other, the first one given and each next one farthest from those before; fewer than n where fewer vectors differ, so that no row comes twice."""
     rows = rows.astype(float)
     chosen = [0]
     far = ((rows - rows[0]) ** 2).sum(1)
-    while len(chosen) < min(n, len(rows)):
+    while len(chosen) < min(n, len(rows)) and far.max() > 0:
         chosen.append(int(far.argmax()))
         far = np.minimum(far, ((rows - rows[chosen[-1]]) ** 2).sum(1))
     return np.array(chosen)

@@ -321,6 +321,19 @@ def test_topk_edges(spark, monkeypatch):
     assert pivot_topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_topk_with_few_distinct_vectors(spark):
+    rng, rows = random.Random(8), []
+    for dim, (n, distinct) in enumerate([(15, 12), (40, 2), (24, 7), (40, 11), (30, 12)], 3):
+        kinds = [[rng.choice([-1.0, 0.0, 0.5, 1.0]) * rng.randint(1, 3) for _ in range(dim)] for _ in range(distinct)]
+        rows += [(dim * 100 + i, kinds[i] if i < distinct else rng.choice(kinds)) for i in range(n)]
+    got = defaultdict(list)
+    for r in pivot_topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.lit(True)).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    for q, v in rows:
+        scores = sorted((-sum(math.floor(1024 * a) * math.floor(1024 * b) for a, b in zip(v, c)), i) for i, c in rows if i != q and len(c) == len(v))
+        assert got[q] == [(i, -s) for s, i in scores[:10]]
+
+
 # --- op9 ---------------------------------------------------------------------------------------------
 
 
