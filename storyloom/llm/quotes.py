@@ -3,7 +3,8 @@
 A line's quote level is the number of ``>`` marks it begins with. Consecutive lines of one level form a
 passage. Passages are normalised (lower case, runs of white space as one space, trimmed) and hashed. What a
 message says itself (level 0) is hashed likewise: as a whole, by run between quotes, by paragraph and by line.
-A quoted passage links to the first turn of its conversation that has the same hash and comes earlier. A
+A quoted passage links to the first turn of its conversation that has the same hash and comes earlier; the query
+links a passage that has none, such as a trimmed quote, to the first turn that says all its parts. A
 message replies to its outermost quote, the latest turn if there are several. Quotes and the "wrote:" line before
 them are then left out, and each conversation is put in reply order: thread by thread, in a thread by
 depth, then by turn, so that a message never comes before the one it replies to.
@@ -44,14 +45,19 @@ def passages(messages: DataFrame) -> DataFrame:
     return lines.groupBy("mid", "conv_id", "turn", "run").agg(F.first("depth").alias("depth"), joined.alias("text"))
 
 
-def originals(runs: DataFrame) -> DataFrame:
-    """conv_id, hash and first turn of all that messages say themselves."""
+def units(runs: DataFrame) -> DataFrame:
+    """conv_id, turn and hash of all that messages say themselves."""
     own = runs.where("depth = 0")
     whole = own.groupBy("mid", "conv_id", "turn").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("run", "text"))), lambda x: x["text"]), "\n").alias("text"))
     parts = F.array_distinct(F.concat(F.array("text"), F.split("text", r"\n[ \t]*\n"), F.split("text", r"\n")))
     units = own.select("conv_id", "turn", F.explode(parts).alias("unit")).unionByName(whole.select("conv_id", "turn", F.col("text").alias("unit")))
     units = units.select("conv_id", "turn", _norm(F.col("unit")).alias("unit")).where("unit <> ''")
-    return units.groupBy("conv_id", F.sha2("unit", 256).alias("hash")).agg(F.min("turn").alias("source_turn"))
+    return units.select("conv_id", "turn", F.sha2("unit", 256).alias("hash"))
+
+
+def originals(runs: DataFrame) -> DataFrame:
+    """conv_id, hash and first turn of all that messages say themselves."""
+    return units(runs).groupBy("conv_id", "hash").agg(F.min("turn").alias("source_turn"))
 
 
 def links(runs: DataFrame) -> DataFrame:
@@ -62,6 +68,40 @@ def links(runs: DataFrame) -> DataFrame:
     return joined.select("mid", "conv_id", "turn", "run", "depth", "hash", F.when(F.col("source_turn") < F.col("turn"), F.col("source_turn")).alias("source_turn"))
 
 
+def link_parts(runs: DataFrame, found: DataFrame) -> DataFrame:
+    """``found`` (links) where a passage without a source also links to the first turn that says all its paragraphs, each as a paragraph or line by line, if that turn comes earlier.
+
+    Passages of the same lines are looked up once per conversation. Turns to be tried are those that say the
+    passage's rarest paragraph or that paragraph's rarest line; all its parts are then looked up by turn.
+    """
+    open_ = found.where("source_turn IS NULL AND turn IS NOT NULL AND conv_id IS NOT NULL")
+    if open_.isEmpty():
+        return found
+    lines = F.transform(F.split("text", "\n"), _norm)
+    rest = runs.join(open_.select("mid", "run"), ["mid", "run"]).where(F.size(F.filter(lines, lambda x: x != "")) > 1)
+    rest = materialize(rest.select("mid", "run", "conv_id", F.sha2(F.array_join(lines, "\n"), 256).alias("form"), "text"), "quote-forms")
+    parts = rest.dropDuplicates(["conv_id", "form"]).select("conv_id", "form", F.posexplode(F.split("text", r"\n[ \t]*\n")).alias("part", "text"))
+    own = F.transform(F.filter(F.array_distinct(lines), lambda x: x != ""), lambda x: F.struct(F.lit(False).alias("whole"), F.sha2(x, 256).alias("hash")))
+    all_ = F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.sha2(_norm(F.col("text")), 256).alias("hash"))), own)
+    parts = materialize(parts.where(_norm(F.col("text")) != "").select("conv_id", "form", "part", F.inline(all_)), "quote-parts")
+    wanted = parts.select("conv_id", "hash").distinct()
+    said = materialize(units(runs).where("turn IS NOT NULL").distinct().join(wanted, ["conv_id", "hash"], "left_semi"), "quote-units")
+    known = said.groupBy("conv_id", "hash").agg(F.count("*").alias("n"))
+    rated = parts.join(known, ["conv_id", "hash"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    line = F.min(F.when(~F.col("whole"), F.struct("n", "hash")))
+    rated = rated.groupBy("conv_id", "form", "part").agg(F.min(F.when(F.col("whole"), F.struct("n", "hash"))).alias("a"), line.alias("b"))
+    rarest = rated.groupBy("conv_id", "form").agg(F.min(F.struct((F.col("a.n") + F.col("b.n")).alias("n"), "a", "b")).alias("r")).where("r.n > 0")
+    anchors = rarest.select("conv_id", "form", F.explode(F.array_distinct(F.array("r.a.hash", "r.b.hash"))).alias("hash"))
+    tried = materialize(anchors.join(said, ["conv_id", "hash"]).select("conv_id", "form", "turn").distinct(), "quote-tried")
+    met = tried.join(parts, ["conv_id", "form"]).join(said.withColumn("found", F.lit(True)), ["conv_id", "hash", "turn"], "left").withColumn("found", F.col("found").isNotNull())
+    held = F.bool_or(F.col("whole") & F.col("found")) | F.bool_and(F.col("whole") | F.col("found"))
+    held = met.groupBy("conv_id", "form", "turn", "part").agg(held.alias("held")).groupBy("conv_id", "form", "turn").agg(F.bool_and("held").alias("held"))
+    first = held.where("held").groupBy("conv_id", "form").agg(F.min("turn").alias("by_parts"))
+    more = rest.select("mid", "run", "conv_id", "form").join(first, ["conv_id", "form"]).select("mid", "run", "by_parts")
+    earlier = F.when(F.col("by_parts") < F.col("turn"), F.col("by_parts"))
+    return materialize(found.join(more, ["mid", "run"], "left").withColumn("source_turn", F.coalesce("source_turn", earlier)).drop("by_parts"), "quote-links")
+
+
 def threads(replies: DataFrame) -> DataFrame:
     """conv_id, turn, root_turn, reply_depth of every reply (conv_id, turn, parent_turn), by doubling the way to the root each round."""
     state = materialize(replies.select("conv_id", "turn", F.col("parent_turn").alias("root_turn"), F.lit(1).cast("long").alias("reply_depth")), "threads")
@@ -80,18 +120,20 @@ def threads(replies: DataFrame) -> DataFrame:
             return state
 
 
-def link_quotes(messages: DataFrame) -> DataFrame:
+def link_quotes(messages: DataFrame, parts: bool = False) -> DataFrame:
     """One row per row of ``messages`` (conv_id, turn, role, text): conv_id, turn, role, body, n_quotes, n_linked, parent_turn, root_turn, reply_depth, position.
 
     body is the text without quotes, trimmed; n_quotes counts passages, n_linked those whose original is
     known. A message that quotes nothing known is the root of its own thread (parent_turn null, reply_depth
     0). Rows that share conv_id and turn are one message for replies and keep a row each. A null text is
     empty; a null conv_id or turn links to nothing; blank passages do not count; position is from 1 in each
-    conversation, ties by role and body. An empty table gives no rows.
+    conversation, ties by role and body. An empty table gives no rows. With ``parts``, trimmed quotes are linked too
+    (``link_parts``); without, links are those of ``ORACLE``, which knows whole passages alone.
     """
     rows = materialize(messages.select("conv_id", "turn", "role", "text", F.monotonically_increasing_id().alias("mid")), "quote-messages")
     runs = materialize(passages(rows), "quote-passages")
     found = materialize(links(runs), "quote-links")
+    found = link_parts(runs, found) if parts else found
     per = found.groupBy("mid").agg(F.count("*").alias("n_quotes"), F.count("source_turn").alias("n_linked"))
     known = found.where("source_turn IS NOT NULL")
     replies = known.groupBy("conv_id", "turn").agg(F.max_by("source_turn", F.struct(-F.col("depth"), F.col("source_turn"))).alias("parent_turn"))
@@ -108,7 +150,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_quotes(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"))
+    return link_quotes(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"), parts=True)
 
 
 ORACLE = r"""

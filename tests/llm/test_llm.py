@@ -115,6 +115,38 @@ def test_nested_quote_is_linked_and_removed(spark):
     assert got[2].n_quotes == got[2].n_linked == 2
 
 
+def test_trimmed_quotes_against_brute_force(spark, tmp_path):
+    rng, rows, expected = random.Random(11), [], {}
+    norm = lambda x: " ".join(x.lower().split())
+    for conv in range(15):
+        said = []
+        for turn in range(10):
+            body = [[" ".join(rng.choice("alpha Beta gamma delta eps zeta".split()) for _ in range(rng.choice([1, 1, 3, 4]))) for _ in range(rng.randint(1, 5))] for _ in range(rng.randint(1, 3))]
+            quoted = []
+            if said and rng.random() < 0.9:
+                lines = "\n\n".join("\n".join(p) for p in rng.choice(said)).split("\n")
+                at = rng.randrange(len(lines))
+                quoted = lines[at : at + rng.randint(1, 6)] + ["never said"] * (rng.random() < 0.1)
+            parts = [p for p in re.split("\n\n", "\n".join(quoted)) if norm(p)]
+            parent = None
+            for t, earlier in enumerate(said):
+                has = {norm(x) for p in earlier for x in ["\n".join(p), *p]} | {norm("\n".join("\n".join(p) for p in earlier))}
+                if parts and all(norm(p) in has or all(norm(x) in has for x in p.split("\n") if x) for p in parts):
+                    whole = [u for u, e in enumerate(said) if norm("\n".join(quoted)) in {norm(x) for p in e for x in ["\n".join(p), *p]} | {norm("\n".join("\n".join(p) for p in e))}]
+                    parent = whole[0] if whole else t
+                    break
+            said.append(body)
+            expected[conv, turn] = (int(bool(parts)), int(parent is not None), parent)
+            rows.append((conv, turn, "user", "\n".join(["> " + x.upper() for x in quoted] + ["\n\n".join("\n".join(p) for p in body)])))
+    rows.append((99, 0, "user", "one\ntwo\nthree\nfour\nfive"))
+    rows += [(99, 1, "user", "> two\n> three\nyes"), (99, 2, "user", "> five\n> six\nno")]
+    expected |= {(99, 0): (0, 0, None), (99, 1): (1, 1, 0), (99, 2): (1, 0, None)}
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.conv_id, r.turn): (r.n_quotes, r.n_linked, r.parent_turn) for r in registry.queries()["op1_quote_linking"](spark, str(tmp_path)).collect()}
+    assert got == expected
+    assert sum(linked for _, linked, _ in got.values()) > 60
+
+
 def test_position_spans_partitions(spark):
     df = spark.createDataFrame([(1, i % 50) for i in range(500)] + [(2, 1), (None, 3)], "g long, x long")
     placed = ordering.with_position(df.repartition(5), "g", ["x"]).where("g = 1").orderBy("position").collect()
