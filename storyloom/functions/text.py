@@ -9,7 +9,7 @@ from difflib import SequenceMatcher
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -178,6 +178,26 @@ def leak(query, answer, chars: int = 4) -> Column:
     return F.pandas_udf(_leaks, "boolean")(fold_(query), fold_(answer), F.lit(chars))
 
 
+def leaked(answer, queries: DataFrame, id_: str, text: str, chars: int = 4) -> Column:
+    """The sorted numbers of all queries of which any ``chars`` letters or digits in a row occur so in the answer; none of a null answer.
+
+    The queries' windows, the small side, are broadcast; an answer's distinct windows meet them at once.
+    """
+    fold_ = lambda c: ascii_lower(letters_and_digits(c))
+    where: dict[str, set] = {}
+    for i, q in queries.where(F.col(id_).isNotNull() & F.col(text).isNotNull()).select(id_, fold_(F.col(text))).collect():
+        for k in range(len(q) - chars + 1):
+            where.setdefault(q[k : k + chars], set()).add(i)
+    shared = queries.sparkSession.sparkContext.broadcast(where)
+
+    def run(answers: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = shared.value
+        for batch in answers:
+            yield pd.Series([sorted(set().union(*(known[w] for w in {a[k : k + chars] for k in range(len(a) - chars + 1)} if w in known))) for a in batch.fillna("")], dtype=object)
+
+    return F.pandas_udf(run, f"array<{queries.schema[id_].dataType.simpleString()}>")(fold_(answer))
+
+
 def _ratios(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Twice the matched characters over all characters, matched in the Ratcliff-Obershelp way without a popularity rule; null if one is null."""
     for a, b in pairs:

@@ -437,6 +437,12 @@ def leak_ngrams(spark, d):
     return docs.join(b.select("item_id", F.col("text").alias("q")), "item_id").select("doc_id", "item_id", T.leak(F.col("q"), F.col("text"), 12).alias("leaks"))
 
 
+@query("leak_pairs")
+def leak_pairs(spark, d):
+    """Each document with all benchmark items of which it holds 12 letters or digits in a row; covered by tests, as leak_ngrams' SQL tests one item a document."""
+    return table(spark, d, "documents").select("doc_id", T.leaked(F.col("text"), table(spark, d, "benchmark"), "item_id", "text", 12).alias("items"))
+
+
 @query("clock_text", f"""WITH {WORDS_SQL} SELECT ep, pos, floor(floor(start) / 60)::BIGINT || ':' || lpad((floor(start)::BIGINT % 60)::VARCHAR, 2, '0') AS clock FROM words""")
 def clock_text(spark, d):
     return words(spark, d).select("ep", "pos", T.clock_text(F.col("start")).alias("clock"))

@@ -40,6 +40,17 @@ def test_query(spark, views, name):
     assert rows == sorted((tuple(plain(r[i]) for i in order) for r in rel.fetchall()), key=repr)
 
 
+def test_leaks_of_all_items(spark, tmp_path):
+    items = [(7, "The quick brown Fox jumps"), (100, "over the lazy dog, again and again"), (101, None), (102, "short"), (103, "1234 5678 9012")]
+    docs = [(0, "x quick, brown fox! y"), (1, "the LAZY dog again; quickbrownfox"), (2, None), (3, "quick brown"), (4, "short 123456789012")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r["items"] for r in catalogue.QUERIES["leak_pairs"](spark, str(tmp_path)).collect()}
+    plain = lambda x: "".join(c for c in (x or "").lower() if c.isalnum())
+    brute = {d: [i for i, q in items if any(plain(q)[k : k + 12] in plain(a) for k in range(len(plain(q)) - 11))] for d, a in docs}
+    assert got == brute and got[1] == [7, 100]
+
+
 def test_entry_has_queries():
     import __spark_entry__ as entry
 
