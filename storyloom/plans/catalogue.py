@@ -76,10 +76,10 @@ SELECT query_id, id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY
 
 
 @query("bm25_topk", BM25_SQL)
-def bm25_topk(spark, d):
+def bm25_topk(spark, d, k=10):
     """Every benchmark text as a query, by words, against all documents."""
     questions = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
-    return search.bm25(table(spark, d, "documents"), questions, terms_of=T.words)
+    return search.bm25(table(spark, d, "documents"), questions, k=k, terms_of=T.words)
 
 
 @query("term_document_frequency", """
@@ -104,12 +104,12 @@ near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, i
 
 
 @query("vector_nearest", f"WITH {VEC_SQL} SELECT * FROM near WHERE rank <= 10")
-def vector_nearest(spark, d):
+def vector_nearest(spark, d, k=10):
     """The mean vector of each label as a query against all vectors."""
     e = table(spark, d, "embeddings")
     means = e.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
     centers = means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("q"))
-    return search.nearest(e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), centers.select(F.col("label").alias("query_id"), "q"))
+    return search.nearest(e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), centers.select(F.col("label").alias("query_id"), "q"), k)
 
 
 @query("hybrid_search", BM25_SQL.replace("SELECT query_id, id, score, rank FROM (", f", lex AS (SELECT query_id, id, rank FROM (") + ")," + VEC_SQL.lstrip().replace("WITH", "") + """,
@@ -121,6 +121,12 @@ def hybrid_search(spark, d):
     return search.hybrid(bm25_topk(spark, d), vector_nearest(spark, d))
 
 
+@query("hybrid_candidates")
+def hybrid_candidates(spark, d):
+    """hybrid_search with 100 candidates of each list before the fusion, where hybrid_search and its SQL take 10; covered by tests."""
+    return search.hybrid(bm25_topk(spark, d, 100), vector_nearest(spark, d, 100))
+
+
 @query("rrf_fusion", """
 WITH d AS (SELECT lang AS query_id, doc_id AS id, n_chars, quality FROM documents LEFT JOIN labels USING (doc_id)),
 l AS (SELECT query_id, 0 AS list, id, row_number() OVER (PARTITION BY query_id ORDER BY n_chars DESC, id) AS rank FROM d

@@ -1,6 +1,7 @@
 """Every registered query over the smallest tables, against its SQL in DuckDB."""
 
 import datetime
+import math
 
 import duckdb
 import pytest
@@ -40,6 +41,20 @@ def test_query(spark, views, name):
     assert rows == sorted((tuple(plain(r[i]) for i in order) for r in rel.fetchall()), key=repr)
 
 
+def test_hybrid_finds_items_beyond_rank_ten(spark, tmp_path):
+    docs = [(i, "x" + " pad" * (i + 1)) for i in range(40)]
+    vectors = [(11 if (j, sign) == (5, 1) else 100 + 2 * j + (sign > 0), 0, [math.cos(0.05 * j + 0.1), sign * math.sin(0.05 * j + 0.1)]) for j in range(20) for sign in (-1, 1)]
+    spark.createDataFrame([(0, "x")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(vectors, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    near = [i for i, _, v in sorted(vectors, key=lambda r: (round(1 - r[2][0], 6), r[0]))]
+    score = {i: sum(1 / (11 + order.index(i)) for order in ([i for i, _ in docs], near) if i in order) for i in {*near, *(i for i, _ in docs)}}
+    got = {r.id: r.score for r in catalogue.QUERIES["hybrid_candidates"](spark, str(tmp_path)).collect()}
+    assert max(got, key=got.get) == 11 and len(got) == 10
+    assert sorted(got.values()) == pytest.approx(sorted(score.values())[-10:], abs=1e-8)
+    assert 11 not in {r.id for r in catalogue.QUERIES["hybrid_search"](spark, str(tmp_path)).collect()}
+
+
 def test_leaks_of_all_items(spark, tmp_path):
     items = [(7, "The quick brown Fox jumps"), (100, "over the lazy dog, again and again"), (101, None), (102, "short"), (103, "1234 5678 9012")]
     docs = [(0, "x quick, brown fox! y"), (1, "the LAZY dog again; quickbrownfox"), (2, None), (3, "quick brown"), (4, "short 123456789012")]
