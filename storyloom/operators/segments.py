@@ -7,7 +7,8 @@ Words: ep, pos, text, start, end. Cues: ep, idx, start, end, text (times in seco
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -46,6 +47,54 @@ def collapse_repeats(text, longest: int = 6):
     return F.regexp_replace(text, rf"(.)\1{{{longest},}}", "".join(["$1"] * longest))
 
 
+def _runs(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """First and last content character of each text, the lengths of its first and last run, and whether it is one run; n is 0 without content."""
+    for batch in texts:
+        out = []
+        for t in batch.fillna(""):
+            runs = [(c, len(list(g))) for c, g in groupby(c for c in t if fold(c)[0])]
+            out.append((runs[0][0], runs[0][1], runs[-1][0], runs[-1][1], len(runs) == 1) if runs else (None, 0, None, 0, False))
+        yield pd.DataFrame(out, columns=["a", "n", "z", "m", "one"])
+
+
+def _shortened(rows: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """Texts without the content characters past the limit of a run, of which ``carry`` came before, and how many went."""
+    for texts, carries, longest in rows:
+        out = []
+        for t, run, most in zip(texts.fillna(""), carries, longest):
+            kept, last, gone = [], None, 0
+            for c in t:
+                if fold(c)[0]:
+                    run = run + 1 if last in (None, c) else 1
+                    last = c
+                    if run > most:
+                        gone += 1
+                        continue
+                kept.append(c)
+            out.append(("".join(kept), gone))
+        yield pd.DataFrame(out, columns=["text", "dropped"])
+
+
+def collapse_word_repeats(words: DataFrame, longest: int = 6) -> DataFrame:
+    """Words whose run of one character, over words too, stays ``longest`` long; adds dropped (characters) and content (whether any is left).
+
+    Punctuation and spaces stay and do not break a run. Only words with content are kept by ``content``; the others
+    stay as rows, so that an episode's dropped characters can be summed. Runs over words are islands of words that are one run each.
+    """
+    w = W.partitionBy("ep").orderBy("pos")
+    r = words.withColumn("_r", F.pandas_udf(_runs, "a string, n long, z string, m long, one boolean")("text"))
+    full = r.where("_r.n > 0").withColumns({"_z": F.lag("_r.z").over(w), "_m": F.lag("_r.m").over(w), "_one": F.lag("_r.one").over(w)})
+    same = F.coalesce(F.col("_z") == F.col("_r.a"), F.lit(False))
+    full = full.withColumn("_base", F.when(same & ~F.col("_one"), F.col("_m")).otherwise(0)).withColumn("_new", F.when(same & F.col("_one"), 0).otherwise(1))
+    full = full.withColumn("_island", F.sum("_new").over(w))
+    own = W.partitionBy("ep", "_island").orderBy("pos")
+    before = F.coalesce(F.sum("_r.n").over(own.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + F.first("_base").over(own.rowsBetween(W.unboundedPreceding, 0))
+    carried = full.select(*words.columns, before.alias("_carry")).unionByName(r.where("_r.n = 0").select(*words.columns, F.lit(0).cast("long").alias("_carry")))
+    short = F.pandas_udf(_shortened, "text string, dropped long")("text", "_carry", F.lit(longest))
+    out = carried.withColumn("_s", short).withColumn("text", F.col("_s.text")).withColumn("dropped", F.col("_s.dropped"))
+    return out.select(*words.columns, "dropped").withColumn("content", F.pandas_udf(_runs, "a string, n long, z string, m long, one boolean")("text")["n"] > 0)
+
+
 def reindex(cues: DataFrame) -> DataFrame:
     return cues.withColumn("idx", F.row_number().over(W.partitionBy("ep").orderBy("start", "end", "idx")))
 

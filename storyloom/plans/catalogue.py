@@ -295,6 +295,13 @@ def collapse_repeats(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(segments.collapse_repeats(F.col("text"), 6)).alias("digest"))
 
 
+@query("collapse_word_repeats")
+def collapse_word_repeats(spark, d):
+    """Runs over the turns of a conversation; words without content are left out, their dropped characters counted; covered by tests."""
+    c = table(spark, d, "conversations").select(F.col("conv_id").alias("ep"), F.col("turn").alias("pos"), "text")
+    return segments.collapse_word_repeats(c).select("ep", "pos", F.when(F.col("content"), F.md5("text")).alias("digest"), "dropped")
+
+
 WIDTH_SQL = "(len(text) + len(regexp_replace(text, '[^WIDE]', '', 'g'))) / 2.0".replace("WIDE", T.wide_class())
 
 

@@ -106,6 +106,26 @@ def test_collapse_repeats_and_strip(spark):
     assert rows(segments.strip_leading(cues).select("idx", "text"), "idx") == [(1, "好")]
 
 
+def test_collapse_repeats_over_words(spark):
+    rng = random.Random(4)
+    eps = {0: ["a"] * 8, 1: ["xaaa,", "!", "aa a", None, "aaab", "bb…b"], 2: ["，", "好好好好", "好 好。好好", "好x"]}
+    eps |= {e: ["".join(rng.choice("aaaaaab,. ") for _ in range(rng.randint(0, 6))) for _ in range(12)] for e in range(3, 40)}
+    words = spark.createDataFrame([(e, i, t) for e, ts in eps.items() for i, t in enumerate(ts)], "ep long, pos long, text string")
+    got = {(r.ep, r.pos): (r.text, r.dropped, r.content) for r in segments.collapse_word_repeats(words.repartition(3)).collect()}
+    for e, ts in eps.items():
+        last, run = "", 0
+        for i, t in enumerate(ts):
+            kept, gone = "", 0
+            for c in t or "":
+                if c in ",. !…，。":
+                    kept += c
+                    continue
+                run, last = run + 1 if c == last else 1, c
+                kept, gone = (kept, gone + 1) if run > 6 else (kept + c, gone)
+            assert got[e, i] == (kept, gone, any(c not in ",. !…，。" for c in kept))
+    assert [got[0, i][1:] for i in (5, 6, 7)] == [(0, True), (1, False), (1, False)]
+
+
 # --- search, spans, audit ------------------------------------------------------------------------------
 
 
