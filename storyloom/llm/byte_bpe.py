@@ -2,12 +2,13 @@
 
 Long texts are split where white space follows something else: no match of the pattern crosses such a
 place, so that the parts are encoded separately with the same result. Parts that come again (most words
-do) are encoded once per task. Decoding gives raw bytes, since a token may end inside a character.
+do) are encoded once per Python worker, as long as they are remembered. Decoding gives raw bytes, since a token may end inside a character.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -23,7 +24,8 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PART = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: A part that ends in one of these is not a safe place to split: they may belong to a run of white space.
 UNSURE = frozenset("\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u200b\u2028\u2029\u202f\u205f\u3000\ufeff" + "".join(map(chr, range(0x2000, 0x200B))))
-CACHED_PARTS = 400_000
+#: Parts of a generation; two are kept.
+CACHED_PARTS = 250_000
 JOINED_PARTS = 5_000
 SPACES = frozenset(" \t\n\r")
 CACHED_CHARS = 64
@@ -35,13 +37,18 @@ class PartEncoder:
     """Encodes texts part by part. ``encode`` maps a string to ids, ``lengths`` has the bytes that each id stands for.
 
     Parts that are new go through joined to long strings, which costs one call for many; the ids are cut at the
-    parts' ends by their bytes. Parts are joined only where the join is a safe place to split.
+    parts' ends by their bytes. Parts are joined only where the join is a safe place to split. ``added`` are tokens,
+    by their text, that are found before anything else; what stands between them is encoded by itself.
+    Parts are remembered in two generations: when the newer one is full, the older one goes.
     """
 
-    def __init__(self, encode: Callable[[str], np.ndarray], lengths: np.ndarray):
+    def __init__(self, encode: Callable[[str], np.ndarray], lengths: np.ndarray, added: dict[str, int] | None = None):
         self.encode, self.lengths = encode, lengths
         self.cache: dict[str, bytes] = {}
-        self.unsure: set[str] = set()
+        self.older: dict[str, bytes] = {}
+        self.added = {text: np.array([number], "<u4").tobytes() for text, number in (added or {}).items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
 
     def _plain(self, text: str) -> bytes:
         return np.asarray(self.encode(text), dtype="<u4").tobytes()
@@ -61,26 +68,42 @@ class PartEncoder:
             at += len(some)
         return out
 
-    def many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [PART.findall(x) for x in texts]
-        parts = set().union(*split)
+    def _remember(self, parts: set[str]) -> dict[str, bytes]:
+        """The ids of ``parts``, in the newer generation."""
+        if len(self.cache) > CACHED_PARTS:
+            self.older, self.cache = self.cache, {}
         found = self.cache
-        if len(found) > CACHED_PARTS:
-            found.clear()
-        new = list(parts.difference(found))
-        self.unsure.update(x for x in new if x[-1] in UNSURE)
+        missing = parts.difference(found)
+        again = missing.intersection(self.older)
+        found.update((x, self.older[x]) for x in again)
+        new = list(missing.difference(again))
         easy = [x for x in new if x[0] in SPACES and x[-1] not in SPACES and x[-1] not in UNSURE]
         found.update(zip(easy, self._joined(easy)))
         found.update((x, self._plain(x)) for x in new if x not in found)
+        return found
+
+    def _many(self, texts: list[str]) -> list[bytes]:
+        split = [PART.findall(x) for x in texts]
+        parts = set().union(*split)
+        unsure = {x for x in parts if x[-1] in UNSURE}
+        if unsure:
+            split = [x if unsure.isdisjoint(x) else _rejoined(x) for x in split]
+            parts = set().union(*split)
+        found = self._remember(parts)
         out = [b"".join(map(found.__getitem__, x)) for x in split]
-        for x in new:
+        for x in parts:
             if len(x) > CACHED_CHARS:
                 del found[x]
-        if self.unsure and not self.unsure.isdisjoint(parts):
-            out = [y if self.unsure.isdisjoint(x) else self._plain(t) for t, x, y in zip(texts, split, out)]
         return out
 
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        if self.special is None:
+            return self._many(texts)
+        cut = [self.special.split(x) if self.special.search(x) else [x] for x in texts]  # text, added token, text ...
+        between = iter(self._many([y for x in cut for y in x[::2]]))
+        return [b"".join(self.added[y] if k % 2 else next(between) for k, y in enumerate(x)) for x in cut]
+
     def __call__(self, text: str) -> bytes:
         return self.many([text])[0]
 
@@ -96,6 +119,29 @@ class PartEncoder:
         yield from zip([i for i, _ in held], self.many([t for _, t in held]))
 
 
+def _rejoined(parts: list[str]) -> list[str]:
+    """Parts joined to the one after where they end in a character that is no safe place to split."""
+    out, held = [], ""
+    for x in parts:
+        held += x
+        if x[-1] not in UNSURE:
+            out.append(held)
+            held = ""
+    return [*out, held] if held else out
+
+
+_ENCODERS: dict[tuple, PartEncoder] = {}
+
+
+def worker_encoder(build: Callable[..., PartEncoder], *args) -> PartEncoder:
+    """The encoder that ``build`` makes of ``args`` (bytes and strings), kept with its parts for the worker's next tasks."""
+    key = (build.__module__, build.__name__, *(hashlib.sha256(a if isinstance(a, bytes) else a.encode()).digest() for a in args))
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = build(*args)
+    return _ENCODERS[key]
+
+
 def rank_table(ranks: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines()) if a}
 
@@ -139,7 +185,7 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers
     schema = pa.schema([("doc_id", pa.int64()), ("token_bytes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = part_encoder(shared.value, pattern)
+        part = worker_encoder(part_encoder, shared.value, pattern)
         yield from _batches(part.stream((i.as_py(), t) for b in batches for i, t in zip(b.column(0), kernels.strings(b.column(1)))), schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, token_bytes binary")

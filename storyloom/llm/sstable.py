@@ -20,7 +20,7 @@ import bisect
 import os
 import struct
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels
-from .byte_bpe import PartEncoder
+from .byte_bpe import PartEncoder, worker_encoder
 from .scratch import materialize, new_path
 
 MAGIC = b"SLSST001"
@@ -234,18 +234,20 @@ def open_shard(path: str) -> Shard:
     return Shard(store.open_input_file(at))
 
 
-def tokenizers_encoder(vocabulary: bytes) -> Callable[[str], bytes]:
-    """Text to ids with the tokenizers library; strings of special tokens are ordinary text."""
+def tokenizers_encoder(vocabulary: bytes) -> PartEncoder:
+    """Text to ids as the tokenizers library gives them; its added tokens are found in the text, as the library does."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(vocabulary.decode())
-    tokenizer.encode_special_tokens = True
     vocabulary_ids = tokenizer.get_vocab()
     lengths = np.zeros(max(vocabulary_ids.values()) + 1, np.int64)
     for token, number in vocabulary_ids.items():
         lengths[number] = len(token)  # one character stands for one byte
-    return PartEncoder(lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, lengths)
+    added = tokenizer.get_added_tokens_decoder()
+    if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+        raise ValueError("added tokens that take spaces or words with them are not supported")
+    return PartEncoder(lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, lengths, {t.content: n for n, t in added.items()})
 
 
 def write_shards(docs: DataFrame, folder: str | None = None, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
@@ -266,7 +268,7 @@ def write_shards(docs: DataFrame, folder: str | None = None, vocabulary: str = V
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = None
-        encode = tokenizers_encoder(shared.value)
+        encode = worker_encoder(tokenizers_encoder, shared.value)
         for doc_id, body in encode.stream((i.as_py(), t) for b in batches for i, t in zip(b.column(0), kernels.strings(b.column(1)))):
             if writer is None:
                 name = f"shard-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.sst"
