@@ -31,11 +31,12 @@ def connected(links: DataFrame) -> DataFrame:
     split. Each round is written to the shared folder.
     """
     a, b = links.columns
-    edges = materialize(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "components")
+    edges, written = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")), False
     while True:
         turned = materialize(_small_star(_large_star(edges)).distinct(), "components")
-        forget(edges)
-        edges = turned
+        if written:
+            forget(edges)
+        edges, written = turned, True
         # done when every node hangs on one node that hangs on none
         ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("n"), F.lit(0).alias("up")))
         if ends.groupBy("n").agg(F.sum("up").alias("ups"), F.min("up").alias("least")).where("ups > 1 OR (ups = 1 AND least = 0)").isEmpty():

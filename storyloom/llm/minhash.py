@@ -4,16 +4,16 @@
    key folds ``rows`` whole minima; of each minimum the two low bits are kept, packed in bit planes.
 2. Documents with the same set form a class, of which one representative goes on.
 3. Representatives that share a band key meet in a bucket. A bucket is compared as a star: one hub with all
-   others, never all pairs. The packed planes give an estimate that is corrected for chance matches of
+   members, never all pairs. The packed planes give an estimate that is corrected for chance matches of
    low bits; pairs well below the threshold end there, others are confirmed on whole sets.
 4. Confirmed links are merged into components. A bucket whose members are in one component is settled. Small
-   open buckets are compared in pairs of different components. Large ones are dealt out anew, exactly: of two
-   members with a link that are not both linked to the hub, one has so many shingles that a hub lacks that
-   the other must share one of these, so that they meet at a rare shingle. Members for which the sizes
-   leave another way are also dealt out by pairs of set sizes, to sizes that they could be linked with:
-   their shingles that some other open member has are all that an intersection can hold. What is still
-   open is compared by further hubs, eight times as many each round, until every pair of a bucket has been
-   compared or is in one component. So a group of near copies costs one star, and no link is lost to a cap.
+   open buckets are compared in pairs of different components. Large ones are dealt out anew, exactly, relative
+   to their hub: let x have no link with the hub and a link with y. Then x and y share a shingle that the hub
+   lacks; or else y has fewer shingles of its own than it lacks of the hub's, and x and y lack a common one
+   (see ``_dealt``). So both meet at such a shingle, in a bucket that holds those alone who differ from the hub
+   in the same place. What is still large and open is compared by further hubs, eight times as many each
+   round, until every pair of a bucket has been compared or is in one component. So a group of near copies
+   costs one star, and no link is lost to a cap.
 """
 
 from __future__ import annotations
@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 
 from . import kernels
 from .components import connected
-from .scratch import forget, materialize
+from .scratch import materialize, unused
 
 MINIMA = 192
 SMALL_BUCKET = 48
-FIRST_HUBS = 64
+FIRST_HUBS = 128
 #: Standard deviations of the estimate below the threshold at which a pair is still confirmed on whole sets.
 SLACK = 5
 PLANES = MINIMA // 64
@@ -112,101 +112,145 @@ def features(docs: DataFrame, width: int, rows: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """node and shingles (sorted 64-bit hashes, packed) of each row."""
+    """node, planes and shingles (sorted 64-bit hashes, packed) of rows with doc_id, text and planes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, sets in _sets(batch.column(1), width):
-                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "shingles"])
+                rest = [batch.column(k).slice(lo, hi - lo) for k in (0, 2)]
+                yield pa.record_batch([*rest, pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "planes", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("node"), "text").mapInArrow(run, "node long, shingles binary")
+    return docs.select(F.col("doc_id").cast("long").alias("node"), "text", "planes").mapInArrow(run, "node long, planes array<long>, shingles binary")
+
+
+def _matches(pa_, pb) -> F.Column:
+    """How many of the low-bit pairs of two rows' planes are equal."""
+    differ = [F.bit_count(pa_[i].bitwiseXOR(pb[i]).bitwiseOR(pa_[i + PLANES].bitwiseXOR(pb[i + PLANES]))) for i in range(PLANES)]
+    return F.lit(MINIMA) - sum(differ)
+
+
+def _side(sets: DataFrame, node: str, *columns: str) -> DataFrame:
+    """``node`` and columns of the sets, as ``node`` and names that end in it."""
+    return sets.select(F.col("node").alias(node), *[F.col(c).alias(f"{c}_{node}") for c in columns])
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union; x and y sorted and without repeats."""
+    if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(both) - shared)
+
+
+def _numbers(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint64)
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b) those whose whole sets have 100 * intersection >= percent * union."""
+    """Of the pairs (a, b) those, as a < b, whose low bits leave the threshold within reach and whose whole sets are linked.
+
+    The packed planes go first, so that sets are sent for likely pairs alone. The lesser number, a hub more often
+    than not, gets its set in the last join, after which no row moves.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)):
-                    both = np.concatenate([x, y])
-                    both.sort(kind="stable")
-                    shared = int((both[1:] == both[:-1]).sum())
-                    keep[i] = 100 * shared >= percent * (len(both) - shared)
-            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
-
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
-
-
-def _likely(pairs: DataFrame, planes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs a < b whose packed low bits leave the threshold within reach."""
-    x = planes.select(F.col("rep").alias("a"), F.col("planes").alias("pa"))
-    y = planes.select(F.col("rep").alias("b"), F.col("planes").alias("pb"))
-    differ = sum(F.bit_count(F.col("pa")[i].bitwiseXOR(F.col("pb")[i]).bitwiseOR(F.col("pa")[i + PLANES].bitwiseXOR(F.col("pb")[i + PLANES]))) for i in range(PLANES))
+            keep = [_linked(_numbers(x), _numbers(y), percent) for x, y in zip(batch.column(2), batch.column(3))]
+            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
     ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return ordered.join(x, "a").join(y, "b").where(F.lit(MINIMA) - differ >= least_matches(percent)).select("a", "b")
+    likely = ordered.join(_side(sets, "a", "planes"), "a").join(_side(sets, "b", "planes"), "b")
+    likely = likely.where(_matches(F.col("planes_a"), F.col("planes_b")) >= least_matches(percent)).select("a", "b")
+    whole = likely.join(_side(sets, "b", "shingles"), "b").join(_side(sets, "a", "shingles"), "a")
+    return whole.select("a", "b", "shingles_a", "shingles_b").mapInArrow(run, "a long, b long")
 
 
-def shared_shingles(sets: DataFrame) -> DataFrame:
-    """node and common: how many of its shingles another row of ``sets`` (node, shingles) has too."""
+def _dealt(own: np.ndarray, hub: np.ndarray, percent: int) -> tuple[bool, list[tuple[np.ndarray, int, int]]]:
+    """Whether a member's set is linked with its hub's; and where the member is dealt to: shingles, sign, side.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                x = np.frombuffer(x.as_buffer(), np.int64)
-                yield pa.record_batch([pa.array(np.full(len(x), node)), pa.array(x)], names=["node", "shingle"])
+    Write n for the hub's size, t for percent / 100; for a member x, u(x) for its shingles beyond the hub's and a(x) for
+    those of the hub that it lacks; x is outside if it has no link with the hub. Let x be outside and linked with y.
 
-    each = sets.select("node", "shingles").mapInArrow(run, "node long, shingle long")
-    alone = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
-    return sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size")).join(alone, "node", "left").select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
+    Beyond (sign 0): x and y have at least t / (1 + t) * (|x| + |y|) shingles in common, with |y| >= t * |x|, and at most
+    n - a(x) of these are the hub's. So they share at least r(x) shingles beyond it, and if they share any at all, then
+    one of the first u(x) - r(x) + 1 of x (r(x) at least 1) in the order of hashes, which is one of the first ones of y too.
 
+    Lacking (sign 1): if they share none, the link says a(x) + a(y) + t * (u(x) + u(y)) - (1 - t) * n <= (1 + t) * i, where i
+    counts what both lack. As x is outside, a(x) + t * u(x) - (1 - t) * n = e(x) > 0. So i > (a(y) + t * u(y)) / (1 + t),
+    which i <= a(y) allows only where u(y) < a(y) (y is lean), and i >= e(x) / t. Prefixes as above.
 
-def _beyond_hub(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """hub, rep and shingle of each row (hub, rep) for each shingle that the hub lacks."""
+    Side: 1 for one that is outside, 2 for one that such a one may meet, 3 for both.
+    """
+    beyond, lacking = np.setdiff1d(own, hub, assume_unique=True), np.setdiff1d(hub, own, assume_unique=True)
+    n, u, a = len(hub), len(beyond), len(lacking)
+    excess = 100 * a + percent * u - (100 - percent) * n  # 100 * e
+    outside = excess > 0
+    least = -(-len(own) * percent // 100)
+    r = -(-(len(own) + least) * percent // (100 + percent)) - (n - a)
+    out = [(beyond[: max(0, u - max(r, 1) + 1)], 0, 3 if outside else 2)]
+    lean = u < a
+    if r < 1 and (outside or lean):
+        as_outside = max(1, -(-excess // percent)) if outside else a + 1
+        as_lean = (100 * a + percent * u) // (100 + percent) + 1 if lean else a + 1
+        out.append((lacking[: max(0, a - min(as_outside, as_lean) + 1)], 1, outside + 2 * lean))
+    return not outside, out
+
+
+STAR = "key long, a long, b long, side int"
+
+
+def hubs_of(members: DataFrame) -> DataFrame:
+    """rep, hub and large (whether the bucket is) of each member of each bucket.
+
+    A small bucket's hub is its least member. A large one's need not be a member, but should be near to most members: each
+    member names the least member of its own largest bucket, and of these names the one from the largest bucket counts.
+    So buckets of one group of near copies have one hub, most often the text that the copies were made from.
+    """
+    large = members.where(F.col("n") > SMALL_BUCKET)
+    own = large.groupBy("rep").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("center"), F.max("n").alias("size"), F.collect_list("key").alias("keys"))
+    named = own.select("rep", "center", "size", F.explode("keys").alias("key"))
+    center = named.groupBy("key").agg(F.max_by("center", F.struct("size", -F.col("center"))).alias("hub"))
+    far = named.select("key", "rep").join(center, "key").select("rep", "hub", F.lit(True).alias("large"))
+    return members.where(F.col("n") <= SMALL_BUCKET).select("rep", "hub", F.lit(False).alias("large")).unionByName(far)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for hub, rep, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
-                own = np.setdiff1d(np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64), assume_unique=True)
-                yield pa.record_batch([pa.array(np.full(len(own), hub)), pa.array(np.full(len(own), rep)), pa.array(own)], names=["hub", "rep", "shingle"])
 
-    own = sets.select(F.col("node").alias("rep"), F.col("shingles").alias("x"))
-    center = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("y"))
-    return rows.join(own, "rep").join(center, "hub").select("hub", "rep", "x", "y").mapInArrow(run, "hub long, rep long, shingle long")
+def star(hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of members with their buckets' hubs (key null; a, b), and rows of large buckets as smaller ones (key, a = member, side).
 
+    A member has at most one hub per band, so that its list of hubs is short. Members of large buckets are
+    dealt out in the same pass, which has both sets at hand.
+    """
 
-def _dealt_anew(rows: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Rows (hub, rep, component) of large buckets as smaller ones: key, rep, side.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(keys, a, b, side):
+            return pa.record_batch([pa.array(x, t) for x, t in zip((keys, a, b, side), (pa.int64(), pa.int64(), pa.int64(), pa.int32()))], names=["key", "a", "b", "side"])
 
-    Let b be a member that is not in the hub's component, and a one that it has a link with. Their intersection holds at
-    least percent * (|a| + |b|) / (100 + percent) shingles. If b has more shingles that the hub lacks than its size
-    less that number, a has one of them: the pair meets at (hub, shingle). Otherwise, for some size of a, b is loose, and
-    the rows of these two sizes stay together (side: bit 1 for the smaller size, bit 2 for the larger).
-    """
-    beyond = materialize(_beyond_hub(rows.select("hub", "rep"), sets), "minhash-beyond")
-    shared = beyond.groupBy("hub", "shingle").agg(F.count("*").alias("n")).where("n > 1").select("hub", "shingle")
-    meeting = beyond.join(shared, ["hub", "shingle"]).select(F.xxhash64("hub", "shingle").alias("key"), "rep", F.lit(3).alias("side"))
-    nodes = rows.select(F.col("rep").alias("node")).distinct()
-    known = materialize(shared_shingles(sets.join(nodes, "node", "left_semi")), "minhash-common")
-    lacking = beyond.groupBy("hub", "rep").agg(F.count("*").alias("lacking"))
-    center = labels.select(F.col("node").alias("hub"), F.col("component").alias("center"))
-    rows = rows.join(center, "hub", "left").join(known, rows.rep == known.node).join(lacking, ["hub", "rep"], "left")
-    rows = rows.select("hub", "rep", "size", "common", F.coalesce("lacking", F.lit(0)).alias("lacking"), (F.col("component") != F.coalesce("center", "hub")).alias("outside"))
-    other = rows.select("hub", F.col("size").alias("z")).distinct()
-    least = F.ceil((F.col("size") + F.col("z")) * percent / (100 + percent))
-    met = rows.join(other, "hub").where((F.least("size", "z") * 100 >= F.greatest("size", "z") * percent) & (F.col("common") * (100 + percent) >= (F.col("size") + F.col("z")) * percent))
-    met = met.select(
-        F.xxhash64("hub", F.least("size", "z"), F.greatest("size", "z")).alias("key"),
-        "rep",
-        F.when(F.col("size") < F.col("z"), 1).when(F.col("size") > F.col("z"), 2).otherwise(3).alias("side"),
-        (F.col("outside") & (F.col("lacking") <= F.col("size") - least)).alias("loose"),
-    )
-    loose = met.where("loose").select("key").distinct()
-    return meeting.unionByName(met.join(loose, "key", "left_semi").select("key", "rep", "side")).distinct()
+        for batch in batches:
+            hubs, reps = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            links, found = [], []
+            for hub, rep, large, x, y in zip(hubs, reps, batch.column(2).to_pylist(), batch.column(3), batch.column(4)):
+                x, y = _numbers(x), _numbers(y)
+                if large:
+                    linked, parts = _dealt(x, y, percent)
+                    for shingles, sign, side in parts:
+                        seed = kernels.mix(np.array([(hub * 2 + sign) & (2**64 - 1)], np.uint64))
+                        found.append((_signed(kernels.mix(shingles ^ seed)), np.full(len(shingles), rep), np.full(len(shingles), side, np.int32)))
+                else:
+                    linked = _linked(x, y, percent)
+                if linked:
+                    links.append((hub, rep))
+            yield rows([None] * len(links), [h for h, _ in links], [r for _, r in links], [0] * len(links))
+            if found:
+                keys, a, side = (np.concatenate(x) for x in zip(*found))
+                yield rows(keys, a, a, side)
+
+    lists = hubs.where("rep <> hub").groupBy("rep").agg(F.collect_set(F.struct("hub", "large")).alias("hubs"))
+    pairs = lists.join(_side(sets, "rep", "planes", "shingles"), "rep").select("rep", "planes_rep", "shingles_rep", F.inline("hubs"))
+    whole = pairs.join(_side(sets, "hub", "planes", "shingles"), "hub")
+    whole = whole.where((_matches(F.col("planes_hub"), F.col("planes_rep")) >= least_matches(percent)) | F.col("large"))
+    return whole.select("hub", "rep", "large", "shingles_rep", "shingles_hub").mapInArrow(run, STAR)
 
 
 def _open(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -224,6 +268,17 @@ def _small_pairs(rows: DataFrame) -> DataFrame:
     return x.join(y, "key").where("a < b AND ca <> cb AND (sa | sb) = 3").select("a", "b")
 
 
+def _same_document(owned: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links between the classes in which rows of one doc_id stand, where their texts differ."""
+    own = F.struct("set_a", "set_b")
+    spread = owned.groupBy("doc_id").agg(F.min(own).alias("lo"), F.max(own).alias("hi")).where("lo <> hi").select("doc_id")
+    spread = materialize(spread, "minhash-spread")
+    if spread.isEmpty():
+        return None
+    placed = materialize(owned.join(spread, "doc_id").join(classes.select("set_a", "set_b", "rep"), ["set_a", "set_b"]).select("doc_id", "rep"), "minhash-placed")
+    return placed.join(placed.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -240,49 +295,40 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = materialize(
         owned.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("planes").alias("planes"), F.first("bands").alias("bands")), "minhash-classes"
     )
-    planes = classes.select("rep", "planes")
     keyed = classes.select("rep", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1").select("key", "hub")
-    members = materialize(keyed.join(buckets, "key").select("key", "hub", "rep"), "minhash-members")
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = materialize(shingle_sets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi"), width), "minhash-sets")
-
-    pairs = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-    links = confirm(_likely(pairs, planes, percent), sets, percent)
-    # rows of one doc_id whose texts differ stand in several classes: these belong together
-    placed = owned.join(classes.select("set_a", "set_b", "rep"), ["set_a", "set_b"]).select("doc_id", "rep")
-    spread = placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select("doc_id", "a")
-    same = placed.join(spread, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
-    links = materialize(links.unionByName(same), "minhash-links")
-    labels = connected(links)
+    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
+    members = materialize(keyed.join(buckets, "key").select("key", "hub", "rep", "n"), "minhash-members")
+    wanted = classes.select(F.col("rep").alias("doc_id"), "planes").join(members.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    sets = materialize(shingle_sets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id"), width), "minhash-sets")
+
+    stars = materialize(star(hubs_of(members), sets, percent), "minhash-stars")
+    links = stars.where("key IS NULL").select("a", "b")
+    same = _same_document(owned, classes)
+    labels = connected(links if same is None else links.unionByName(same))
     # every bucket's hub has been compared; of the others, pairs of different components are left
-    rest = members.where("rep <> hub").select("key", "rep", "hub", F.lit(3).alias("side"))
-    open_ = materialize(_open(rest, labels), "minhash-open")
-    # a large bucket's hub is from here on the node with most links of its most frequent component, near to most members
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-    degrees = labels.join(ends.groupBy("node").agg(F.count("*").alias("d")), "node")
-    centers = degrees.groupBy("component").agg(F.max_by("node", F.struct(F.col("d"), -F.col("node"))).alias("center"))
-    large = open_.where(F.col("n") > SMALL_BUCKET).select("key", "rep", "component")
-    main = large.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("component", F.struct(F.col("c"), -F.col("component"))).alias("main"))
-    hub_of = main.join(centers, main.main == centers.component, "left").select("key", F.coalesce("center", "main").alias("hub"))
-    large = large.join(hub_of, "key").select("hub", "rep", "component").distinct()
-    left = materialize(_dealt_anew(large, labels, sets, percent), "minhash-dealt")
-    pairs, round_, hubs = _small_pairs(open_), 0, FIRST_HUBS
+    rest = members.where((F.col("rep") != F.col("hub")) & (F.col("n") <= SMALL_BUCKET) & (F.col("n") > 2)).select("key", "rep", F.lit(3).alias("side"))
+    left = rest.unionByName(stars.where("key IS NOT NULL").select("key", F.col("a").alias("rep"), "side"))
+    round_, hubs = 0, FIRST_HUBS
     while True:
-        more = materialize(confirm(_likely(pairs, planes, percent), sets, percent), f"minhash-links-{round_}")
+        open_ = materialize(_open(left, labels), f"minhash-open-{round_}")
+        largest = open_.agg(F.max("n")).first()[0]
+        if largest is None:
+            break
+        pairs, crowded = _small_pairs(open_), largest > SMALL_BUCKET
+        if crowded:
+            large = open_.where(F.col("n") > SMALL_BUCKET)
+            # members of both sides first: when they have met all others, those of one side are left, and no pair
+            per = large.groupBy("key", "component").agg(F.count("*").alias("c"), F.min(F.struct((-F.col("side")).alias("s"), "rep")).alias("hub"))
+            chosen = per.withColumn("r", F.row_number().over(W.partitionBy("key").orderBy("hub.s", "c", "hub"))).where(F.col("r") <= hubs)
+            chosen = materialize(chosen.select("key", F.col("hub.rep").alias("hub"), (-F.col("hub.s")).alias("hs"), F.col("component").alias("ch")), f"minhash-hubs-{round_}")
+            met = large.join(chosen, "key").where("component <> ch AND (side | hs) = 3").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+            pairs = pairs.unionByName(met)
+        more = materialize(confirm(pairs, sets, percent), f"minhash-links-{round_}")
         if not more.isEmpty():
             known = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
             labels = connected(known.unionByName(more))
-        forget(open_)
-        open_ = materialize(_open(left, labels), f"minhash-open-{round_}")
-        if open_.isEmpty():
+        if not crowded:
             break
-        large = open_.where(F.col("n") > SMALL_BUCKET)
-        per = large.groupBy("key", "component").agg(F.count("*").alias("c"), F.min(F.struct("rep", "side")).alias("hub"))
-        chosen = per.withColumn("r", F.row_number().over(W.partitionBy("key").orderBy("c", "hub"))).where(F.col("r") <= hubs)
-        chosen = chosen.select("key", F.col("hub.rep").alias("hub"), F.col("hub.side").alias("hs"), F.col("component").alias("ch"))
-        met = large.join(chosen, "key").where("component <> ch AND (side | hs) = 3").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-        pairs = _small_pairs(open_).unionByName(met)
         left = materialize(large.join(chosen.select("key", F.col("hub").alias("rep")), ["key", "rep"], "left_anti").select("key", "rep", "side"), f"minhash-left-{round_}")
         round_, hubs = round_ + 1, hubs * 8
 
@@ -297,9 +343,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component; rows with a null doc_id stay."""
-    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, docs.doc_id == kept._id, "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    """``docs`` with one row of each component; all columns stay, whatever their names.
+
+    The row is one with the component's smallest doc_id; where several rows have that doc_id, the one with the
+    least text (null first), so that whole rows that repeat stay once. Rows with a null doc_id all stay. Empty
+    texts are components of their own. An empty table gives no rows.
+    """
+    ids, row, first = unused(docs, "kept_id", "row", "first")
+    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias(ids)).distinct()
+    found = docs.join(kept, docs.doc_id == kept[ids], "left_semi").select("doc_id", F.struct(*[docs[c] for c in docs.columns]).alias(row))
+    order = F.struct(F.col(row)["text"].isNotNull(), F.col(row)["text"])
+    one = found.groupBy("doc_id").agg(F.min_by(row, order).alias(first)).select(f"{first}.*")
+    return one.unionByName(docs.where("doc_id IS NULL"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a new local folder only where it is unset, as in tests."""
+    """``spark.checkpoint.dir`` of the session; a new local folder only where it is unset and Spark runs on this machine alone."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -31,20 +33,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    found = spark.read.schema(schema).parquet(path)
+    found._written_at = path
+    return found
 
 
-def forget(df: DataFrame | None) -> None:
+def forget(df: DataFrame) -> None:
     """Deletes the files of a materialized table that no later step reads."""
-    if df is None:
-        return
     spark = df.sparkSession
-    home = f"{shared_dir(spark)}/storyloom/"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    seen = set()
-    for file in df.inputFiles():
-        folder = file.rsplit("/", 1)[0]
-        if folder not in seen and "/storyloom/" in folder and folder.split("/storyloom/")[0].split(":")[-1].lstrip("/") == home.split("/storyloom/")[0].split(":")[-1].lstrip("/"):
-            seen.add(folder)
-            path = hadoop(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """For each name one like it that is no column of ``df``, in upper or lower case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
