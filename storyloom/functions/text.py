@@ -43,9 +43,16 @@ def wide_class() -> str:
     return "".join(ranges)
 
 
+def wide_count(text) -> Column:
+    """Number of wide characters. What lies below U+1100, where none is wide, goes first and in whole runs."""
+    rest = F.regexp_replace(text, r"[\x{0}-\x{10FF}]+", "")
+    found = F.length(F.regexp_replace(rest, f"[^{wide_class()}]+", ""))
+    return F.when(F.octet_length(text) == F.length(text), 0).otherwise(found)
+
+
 def display_width(text) -> Column:
     """1 for each wide character, 0.5 for each other one."""
-    return (F.length(text) + F.length(F.regexp_replace(text, f"[^{wide_class()}]", ""))) / 2.0
+    return (F.length(text) + wide_count(text)) / 2.0
 
 
 def width(text: str) -> float:
@@ -83,9 +90,19 @@ def full_width(text) -> Column:
     return text
 
 
+def _compatible(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for t in texts:
+        yield t.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+
+
+def compatible(text) -> Column:
+    """Compatibility form (NFKC), for which Spark has no function; plain ASCII stays without a call."""
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(F.pandas_udf(_compatible, "string")(text))
+
+
 def slugify(text, longest: int = 80) -> Column:
-    """Runs of punctuation, symbols, control characters and separators become one hyphen; trimmed, cut, or ``untitled``."""
-    dashed = F.regexp_replace(text, r"[\p{P}\p{S}\p{C}\p{Z}]+", "-")
+    """Compatibility form, in which runs of punctuation, symbols, control characters and separators become one hyphen; trimmed, cut, or ``untitled``."""
+    dashed = F.regexp_replace(compatible(text), r"[\p{P}\p{S}\p{C}\p{Z}]+", "-")
     cut = F.regexp_replace(F.substring(F.regexp_replace(dashed, "^-+|-+$", ""), 1, longest), "-+$", "")
     return F.coalesce(F.nullif(cut, F.lit("")), F.lit("untitled"))
 
@@ -125,14 +142,16 @@ def replace_terms(text, pairs: list[tuple[str, str]], passes: int = 3) -> tuple[
     Where right contains wrong, parts that are right already stay.
     """
     count = F.lit(0)
+    mark = "\ufdd0"  # no character, by Unicode's own rule; texts that hold it all the same keep it escaped meanwhile
+    text = F.replace(text, F.lit(mark), F.lit(mark + "0"))
     for _ in range(passes):
         for wrong, right in sorted(pairs, key=lambda p: -len(p[0])):
             if not wrong or wrong == right:
                 continue
-            bare = F.replace(text, F.lit(right), F.lit("\x00")) if wrong in right else text
+            bare = F.replace(text, F.lit(right), F.lit(mark + "1")) if wrong in right else text
             count = count + ((F.length(bare) - F.length(F.replace(bare, F.lit(wrong), F.lit("")))) / len(wrong)).cast("int")
-            text = F.replace(F.replace(bare, F.lit(wrong), F.lit(right)), F.lit("\x00"), F.lit(right)) if wrong in right else F.replace(text, F.lit(wrong), F.lit(right))
-    return text, count
+            text = F.replace(F.replace(bare, F.lit(wrong), F.lit(right)), F.lit(mark + "1"), F.lit(right)) if wrong in right else F.replace(text, F.lit(wrong), F.lit(right))
+    return F.replace(text, F.lit(mark + "0"), F.lit(mark)), count
 
 
 def occurrences(text, term) -> Column:
@@ -152,6 +171,21 @@ def srt_seconds(stamp) -> Column:
     return part(1) * 3600 + part(2) * 60 + part(3) + part(4) / 1000
 
 
+def utc_stamp(ts) -> Column:
+    """A time in ISO form with whole seconds and Z."""
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def valid_token(text) -> Column:
+    """Whether the text, without space around it, is 10 to 100 ASCII letters, digits, underscores and hyphens; false for null."""
+    return F.coalesce(F.trim(text).rlike(r"^[A-Za-z0-9_-]{10,100}\z"), F.lit(False))
+
+
+def numbered_line(number, seconds, text) -> Column:
+    """``number|m:ss|text`` with line breaks as spaces."""
+    return F.concat_ws("|", number.cast("string"), clock_text(seconds), F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" ")))
+
+
 def clock_seconds(text) -> Column:
     """``m:ss`` or ``ss(.f)`` to seconds."""
     parts = F.split(text, ":")
@@ -205,12 +239,13 @@ def _ratios(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]
 
 
 def _budgets(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    """Shares of the first text's length that the second deletes and inserts; a replacement counts its change of length."""
+    """Shares of the first folded text's length that the second deletes and inserts; a replacement counts its change of length."""
     for a, b in pairs:
         rows = []
         for x, y in zip(a, b):
+            x, y = fold(x or "")[0], fold(y or "")[0]
             lost = more = 0
-            for kind, i, j, k, m in SequenceMatcher(None, x or "", y or "", autojunk=False).get_opcodes():
+            for kind, i, j, k, m in SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
                 if kind != "equal":
                     lost, more = lost + max(0, (j - i) - (m - k)), more + max(0, (m - k) - (j - i))
             rows.append((lost / len(x), more / len(x)) if x else (0.0, 0.0))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.text import bigrams, cosine_distance
 
 K1, B, FUSE = 1.2, 0.75, 60
+#: Rows of a side up to which it is broadcast, and queries of a block; both are counted first.
+BROADCAST_ROWS, QUERY_BLOCK = 100_000, 1000
 
 
 def term_frequencies(docs: DataFrame, id_: str, text: str) -> DataFrame:
@@ -27,13 +31,15 @@ def bm25(docs: DataFrame, queries: DataFrame, id_: str = "doc_id", text: str = "
     wanted = queries.select("query_id", F.explode(F.array_distinct(terms_of(F.col("query")))).alias("term"))
     grams = docs.select(F.col(id_).alias("id"), terms_of(F.col(text)).alias("grams"))
     stats = grams.agg(F.count("*").alias("n"), F.avg(F.size("grams")).alias("mean"))
-    terms = wanted.select("term").distinct()
+    # the queries' words are counted before they are sent to every task; more than that many go by a shuffle
+    small = F.broadcast if wanted.count() <= BROADCAST_ROWS else (lambda df: df)
+    terms = small(wanted.select("term").distinct())
     found = grams.select("id", F.size("grams").alias("len"), F.explode("grams").alias("term")).join(terms, "term", "left_semi")
     tf = found.groupBy("id", "len", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = df.crossJoin(F.broadcast(stats)).select("term", "mean", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))
     weight = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("mean")))
-    scores = tf.join(idf, "term").join(wanted, "term").groupBy("query_id", "id").agg(F.round(F.sum(weight), 6).alias("score"))
+    scores = tf.join(small(idf.join(wanted, "term")), "term").groupBy("query_id", "id").agg(F.round(F.sum(weight), 6).alias("score"))
     return top_k(scores, "query_id", [F.desc("score"), F.col("id")], k)
 
 
@@ -44,11 +50,16 @@ def top_k(rows: DataFrame, by: str, order: list, k: int) -> DataFrame:
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, id, distance and rank of the k vectors (id, v) with the least cosine distance to each query (query_id, q)."""
-    # each query meets each vector of its dimension: the query set is stated, and small sets are broadcast
-    few = queries.limit(1001).count() <= 1000
-    met = vectors.join(F.broadcast(queries) if few else queries, F.size("v") == F.size("q"))
-    scored = met.select("query_id", "id", F.round(cosine_distance(F.col("q"), F.col("v")), 6).alias("distance"))
-    return top_k(scored, "query_id", [F.col("distance"), F.col("id")], k)
+    # each query meets each vector of its dimension: the query set is stated, and goes out in blocks of about a thousand
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+
+    def best(some: DataFrame) -> DataFrame:
+        met = vectors.join(F.broadcast(some), F.size("v") == F.size("q"))
+        scored = met.select("query_id", "id", F.round(cosine_distance(F.col("q"), F.col("v")), 6).alias("distance"))
+        return top_k(scored, "query_id", [F.col("distance"), F.col("id")], k)
+
+    return reduce(DataFrame.unionByName, (best(queries if blocks == 1 else queries.where(block == b)) for b in range(blocks)))
 
 
 def fuse(rankings: DataFrame, k: int = FUSE) -> DataFrame:

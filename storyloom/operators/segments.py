@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import SENTENCE_END, SOFT_BREAK, TURN, fold, width
+from ..functions.text import SOFT_BREAK, ascii_lower, display_width, fold, letters_and_digits, width
+from . import episodes
+from .episodes import Cue, Track
 
 CUE = "ep long, idx int, start double, end double, text string"
-Cue = tuple[float, float, str]
-FRAGMENT, EPS = 2.0, 1e-9
 
 
 # --- windows ---------------------------------------------------------------------------------------
@@ -44,7 +44,7 @@ def collapse_runs(rows: DataFrame, key: str, order: str, value: str, longest: in
 
 def collapse_repeats(text, longest: int = 6):
     """A character that repeats more than ``longest`` times in a row stays that often."""
-    return F.regexp_replace(text, rf"(.)\1{{{longest},}}", "".join(["$1"] * longest))
+    return F.regexp_replace(text, rf"(?s)(.)\1{{{longest},}}", "".join(["$1"] * longest))
 
 
 def _runs(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -107,152 +107,108 @@ def strip_leading(cues: DataFrame) -> DataFrame:
 
 def drop_phrases(words: DataFrame, phrases: list[str]) -> DataFrame:
     """Words of an episode that no occurrence of a phrase touches; phrases are compared without case, spaces and punctuation."""
-    wanted = [p for p in (fold(x)[0] for x in phrases) if p]
+    wanted = [fold(x)[0] for x in phrases]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
-        text, owner = [], []
-        for i, t in enumerate(pdf.text.fillna("")):
-            n = fold(t)[0]
-            text.append(n)
-            owner += [i] * len(n)
-        joined, doomed = "".join(text), set()
-        for p in wanted:
-            at = joined.find(p)
-            while at >= 0:
-                doomed.update(owner[at : at + len(p)])
-                at = joined.find(p, at + 1)
-        return pdf[[i not in doomed for i in range(len(pdf))]]
+        gone = episodes.touched(list(pdf.text.fillna("")), wanted)
+        return pdf[[i not in gone for i in range(len(pdf))]]
 
     return words.groupBy("ep").applyInPandas(run, words.schema)
 
 
-# --- folds -----------------------------------------------------------------------------------------
+def correct_words(words: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Words with wrong spellings overwritten in place, over the borders of words too; adds hits, the corrections that begin in a word. Times stay."""
 
-
-def _fold(rule: Callable[[list[Cue]], list[Cue]], cues: DataFrame) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("idx")
-        out = rule(list(zip(pdf.start, pdf.end, pdf.text.fillna(""))))
-        return pd.DataFrame([(pdf.ep.iloc[0], i + 1, s, e, t) for i, (s, e, t) in enumerate(out)], columns=["ep", "idx", "start", "end", "text"])
+        pdf = pdf.sort_values("pos")
+        texts, hits = episodes.corrected(list(pdf.text.fillna("")), pairs)
+        return pdf.assign(text=texts, hits=hits)
 
-    return cues.select("ep", "idx", "start", "end", "text").groupBy("ep").applyInPandas(run, CUE)
+    return words.groupBy("ep").applyInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in words.schema)}, hits long")
 
 
-def absorbed(cues: list[Cue], least: float = FRAGMENT, gap: float = 1.5) -> list[Cue]:
-    """A cue narrower than ``least`` opens the next one if it begins a sentence and the gap allows, else it ends the one before."""
-    out: list[Cue] = []
-    waiting: Cue | None = None
-    for i, (start, end, text) in enumerate(cues):
-        if waiting is not None:
-            start, text, waiting = waiting[0], waiting[2] + text, None
-        if width(text.strip()) < least:
-            after = cues[i + 1] if i + 1 < len(cues) else None
-            begins = not out or (out[-1][2].rstrip()[-1:] or " ") in SENTENCE_END
-            if after is not None and (not out or (begins and after[0] - end <= gap)):
-                waiting = (start, end, text)
-                continue
-            if out:
-                out[-1] = (out[-1][0], end, out[-1][2] + text)
-                continue
-        out.append((start, end, text))
-    return out if waiting is None else [*out, waiting]
+# --- lines ------------------------------------------------------------------------------------------
 
 
-def absorb_fragments(cues: DataFrame) -> DataFrame:
-    return _fold(absorbed, cues)
-
-
-def halved(cue: Cue, words: list[Cue], longest: float) -> list[Cue]:
-    """A cue longer than ``longest`` is cut at its widest pause between words, again and again; not where a part would be a fragment."""
-    start, end, text = cue
-    inside = [w for w in words if w[0] >= start and w[1] <= end]
-    if end - start <= longest or len(inside) < 2 or len(text.strip()) < 2:
-        return [cue]
-    at = max(range(len(inside) - 1), key=lambda i: (inside[i + 1][0] - inside[i][1], -i))
-    cut = max(1, min(len(text) - 1, sum(len(w[2]) for w in inside[: at + 1])))
-    left, right = text[:cut], text[cut:]
-    if min(width(left.strip()), width(right.strip())) < FRAGMENT:
-        return [cue]
-    return halved((start, inside[at][1], left), words, longest) + halved((inside[at + 1][0], end, right), words, longest)
-
-
-def stretched(cues: list[Cue], shortest: float, limit: float | None) -> list[Cue]:
-    """Short cues grow into the gap behind them, then take time of the next cue, then of the one before; neighbours keep ``shortest``."""
-    out = [list(c) for c in cues]
-    for i, c in enumerate(out):
-        if c[1] - c[0] >= shortest:
-            continue
-        goal = c[0] + shortest
-        room = out[i + 1][0] if i + 1 < len(out) else goal if limit is None else min(goal, limit)
-        c[1] = min(goal, max(c[1], room))
-        if goal - c[1] > EPS and i + 1 < len(out):
-            spare = min(goal - c[1], max(0.0, out[i + 1][1] - out[i + 1][0] - shortest))
-            if spare > 0:
-                c[1] += spare
-                out[i + 1][0] = c[1]
-        if goal - c[1] > EPS and i:
-            spare = min(goal - c[1], max(0.0, out[i - 1][1] - out[i - 1][0] - shortest))
-            if spare > 0:
-                c[0] -= spare
-                out[i - 1][1] = c[0]
-    return [tuple(c) for c in out]
+def split_at_pause(text, least: int = 200):
+    """left and right of the line break nearest to the middle, the first on a tie; right begins with the break. Null below ``least`` characters or without a break."""
+    sizes = F.transform(F.split(text, "\n"), lambda x: F.length(x))
+    ends = F.transform(F.sequence(F.lit(1), F.size(sizes) - 1), lambda i: F.aggregate(F.slice(sizes, F.lit(1), i), i - 1, lambda s, x: s + x))
+    nearest = F.array_min(F.transform(ends, lambda p: F.struct(F.abs(p - F.length(text) / 2).alias("far"), p.alias("at"))))["at"]
+    both = F.struct(F.substr(text, F.lit(1), nearest).alias("left"), F.substr(text, nearest + 1).alias("right"))
+    return F.when((F.length(text) >= least) & (F.size(sizes) > 1), both)
 
 
-def enforce_duration(cues: DataFrame, words: DataFrame, shortest: float = 0.5, longest: float = 12.0) -> DataFrame:
-    """Cuts long cues at pauses between the words, then stretches short ones."""
+def bare_text(text):
+    """Letters and digits, A-Z in lower case."""
+    return ascii_lower(letters_and_digits(text))
 
-    def run(cue_pdf: pd.DataFrame, word_pdf: pd.DataFrame) -> pd.DataFrame:
-        if cue_pdf.empty:
-            return pd.DataFrame(columns=["ep", "idx", "start", "end", "text"])
-        cue_pdf, word_pdf = cue_pdf.sort_values("idx"), word_pdf.sort_values("pos")
-        words_ = list(zip(word_pdf.start, word_pdf.end, word_pdf.text.fillna("")))
-        cut = [part for c in zip(cue_pdf.start, cue_pdf.end, cue_pdf.text.fillna("")) for part in halved(c, words_, longest)]
-        out = stretched(cut, shortest, None)
-        return pd.DataFrame([(cue_pdf.ep.iloc[0], i + 1, *c) for i, c in enumerate(out)], columns=["ep", "idx", "start", "end", "text"])
 
-    return cues.select("ep", "idx", "start", "end", "text").groupBy("ep").cogroup(words.select("ep", "pos", "start", "end", "text").groupBy("ep")).applyInPandas(run, CUE)
+def strip_echo(lines, before, after):
+    """Lines (an array) without the first ones that ``before`` holds and the last ones that ``after`` holds, by letters and digits."""
+    own = lambda side: F.transform(lines, lambda x: F.contains(bare_text(F.coalesce(side, F.lit(""))), bare_text(x)))
+    # places of the first line that stays from either end, 0 if none does
+    head, tail = F.array_position(own(before), False), F.array_position(F.reverse(own(after)), False)
+    kept = F.size(lines) - tail - head + 2
+    return F.when((head == 0) | (tail == 0) | (kept < 1), F.array().cast("array<string>")).otherwise(F.slice(lines, head.cast("int"), F.greatest(kept, F.lit(1)).cast("int")))
+
+
+def dedupe_lines(rows: DataFrame, keys: list[str], text: str, least: int = 8) -> DataFrame:
+    """keys, pos and line of each row's lines; of lines with equal letters and digits (``least`` or more) the first stays, blank ones go."""
+    each = rows.select(*keys, F.posexplode(F.split(text, "\n")).alias("pos", "line")).withColumn("_bare", bare_text(F.col("line")))
+    nth = F.row_number().over(W.partitionBy(*keys, "_bare").orderBy("pos"))
+    return each.where(F.trim("line") != "").withColumn("_n", nth).where((F.col("_n") == 1) | (F.length("_bare") < least)).drop("_bare", "_n")
+
+
+# --- grouped passes -----------------------------------------------------------------------------------
+
 
+def _frame(ep, cues: list[Cue]) -> pd.DataFrame:
+    return pd.DataFrame([(ep, i + 1, *c) for i, c in enumerate(cues)], columns=["ep", "idx", "start", "end", "text"])
 
-def readable(cues: list[Cue], shortest: float = 0.5) -> list[Cue]:
-    """A cue shorter than ``shortest`` joins the nearer neighbour, the one before on a tie; what it grew into is looked at again."""
-    out, i = list(cues), 0
-    while i < len(out) and len(out) > 1:
-        start, end, text = out[i]
-        if end - start >= shortest - EPS:
-            i += 1
-            continue
-        before = start - out[i - 1][1] if i else float("inf")
-        after = out[i + 1][0] - end if i + 1 < len(out) else float("inf")
-        at = i - 1 if before <= after else i
-        out[at : at + 2] = [(out[at][0], out[at + 1][1], out[at][2] + out[at + 1][2])]
-        i = at
-    return out
+
+def _pieces(pdf: pd.DataFrame, order: str) -> list[Cue]:
+    pdf = pdf.sort_values(order)
+    return list(zip(pdf.start, pdf.end, pdf.text.fillna("")))
+
+
+def _merged(rule: Callable[[Track], list[int]], cues: DataFrame) -> DataFrame:
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        track = Track(_pieces(pdf, "idx"))
+        return _frame(pdf.ep.iloc[0], track.cues(rule(track)))
+
+    return cues.select("ep", "idx", "start", "end", "text").groupBy("ep").applyInPandas(run, CUE)
+
+
+def absorb_fragments(cues: DataFrame) -> DataFrame:
+    """Cues narrower than 2 join the next one where that begins their sentence, else the one before."""
+    return _merged(episodes.without_fragments, cues)
 
 
 def merge_unreadable(cues: DataFrame) -> DataFrame:
-    return _fold(readable, cues)
-
-
-def joined_short(cues: list[Cue], soft: float = 16.0, gap: float = 0.4, most: float = 36.0, hard: float = 46.0, longest: float = 12.0) -> list[Cue]:
-    """Appends the next cue until a sentence ends, or a soft mark comes at width ``soft``; fragments ignore gap and width."""
-    out: list[Cue] = []
-    for start, end, text in cues:
-        if out:
-            s, e, t = out[-1]
-            last = t.rstrip()[-1:] or " "
-            stop = last in SENTENCE_END or (last in SOFT_BREAK and width(t) >= soft)
-            small = width(t.strip()) < FRAGMENT or width(text.strip()) < FRAGMENT
-            fits = width(t + text) <= (most if last in SENTENCE_END + SOFT_BREAK else hard) and start - e <= gap
-            if not stop and end - s <= longest and (small or fits):
-                out[-1] = (s, end, t + text)
-                continue
-        out.append((start, end, text))
-    return out
+    """Cues shorter than half a second join the nearer neighbour."""
+    return _merged(episodes.without_unreadable, cues)
 
 
 def merge_short(cues: DataFrame) -> DataFrame:
-    return _fold(joined_short, cues)
+    """Cues grow until a sentence ends, or a soft mark at width 16."""
+    return _merged(episodes.without_short, cues)
+
+
+def _held(cues: list[Cue], words: list[Cue], shortest: float, longest: float) -> list[Cue]:
+    track = Track(words)
+    return episodes.stretch_short([part for c in cues for part in episodes.split_long(c, track, longest)], shortest)
+
+
+def enforce_duration(cues: DataFrame, words: DataFrame, shortest: float = 0.5, longest: float = 12.0) -> DataFrame:
+    """Cuts long cues at pauses between the words, then stretches short ones."""
+
+    def run(cue_pdf: pd.DataFrame, word_pdf: pd.DataFrame) -> pd.DataFrame:
+        ep = (cue_pdf if len(cue_pdf) else word_pdf).ep.iloc[0]
+        return _frame(ep, _held(_pieces(cue_pdf, "idx"), _pieces(word_pdf, "pos"), shortest, longest))
+
+    return cues.select("ep", "idx", "start", "end", "text").groupBy("ep").cogroup(words.select("ep", "pos", "start", "end", "text").groupBy("ep")).applyInPandas(run, CUE)
 
 
 def segmented(words: list[Cue], most: float = 20.0, gap: float = 0.6) -> list[Cue]:
@@ -286,65 +242,41 @@ def raw_segments(words: DataFrame) -> DataFrame:
     return words.select("ep", "pos", "start", "end", "text").groupBy("ep").applyInPandas(run, CUE)
 
 
-def timed(words: list[Cue], text: str, most: float = 30.0, soft: float = 14.0, gap: float = 1.5) -> list[Cue]:
-    """Cues of a punctuated text with the times of the words that its characters come from, in order."""
-    spans = []
-    for start, end, word in words:
-        n = fold(word)[0]
-        step = (end - start) / max(1, len(n))
-        spans += [(start + k * step, start + (k + 1) * step) for k in range(len(n))]
-    out: list[Cue] = []
-    held, begun, ended, at = "", None, 0.0, 0
-
-    def close() -> None:
-        nonlocal held, begun
-        if held.strip() and begun is not None:
-            out.append((begun, ended, held.strip()))
-        held, begun = "", None
-
-    for c in text:
-        if c == TURN:
-            close()
-        elif c in SENTENCE_END + SOFT_BREAK:
-            if begun is not None:
-                held += c
-                if c in SENTENCE_END or width(held) >= soft:
-                    close()
-        elif fold(c)[0]:
-            if at >= len(spans):
-                break
-            start = max(spans[at][0], ended)
-            if begun is not None and start - ended > gap:
-                close()
-            begun = start if begun is None else begun
-            ended, held, at = spans[at][1], held + c, at + 1
-            if width(held) >= most:
-                close()
-    close()
-    return out
-
-
 def punctuated_cues(words: DataFrame, texts: DataFrame) -> DataFrame:
     """Cues of each episode's punctuated text (ep, text), timed by its words."""
 
     def run(word_pdf: pd.DataFrame, text_pdf: pd.DataFrame) -> pd.DataFrame:
         if word_pdf.empty or text_pdf.empty:
-            return pd.DataFrame(columns=["ep", "idx", "start", "end", "text"])
-        word_pdf = word_pdf.sort_values("pos")
-        out = timed(list(zip(word_pdf.start, word_pdf.end, word_pdf.text.fillna(""))), text_pdf.text.iloc[0] or "")
-        return pd.DataFrame([(word_pdf.ep.iloc[0], i + 1, *c) for i, c in enumerate(out)], columns=["ep", "idx", "start", "end", "text"])
+            return _frame(None, [])
+        return _frame(word_pdf.ep.iloc[0], episodes.punctuated(_pieces(word_pdf, "pos"), text_pdf.text.iloc[0] or ""))
 
     return words.select("ep", "pos", "start", "end", "text").groupBy("ep").cogroup(texts.groupBy("ep")).applyInPandas(run, CUE)
 
 
+def align_lines(words: DataFrame, lines: DataFrame) -> DataFrame:
+    """Cues of each episode's corrected lines (ep, pos, text), timed by its words; none for an episode that cannot be aligned as a whole."""
+
+    def run(word_pdf: pd.DataFrame, line_pdf: pd.DataFrame) -> pd.DataFrame:
+        if word_pdf.empty or line_pdf.empty:
+            return _frame(None, [])
+        return _frame(word_pdf.ep.iloc[0], episodes.aligned(_pieces(word_pdf, "pos"), list(line_pdf.sort_values("pos").text.fillna(""))) or [])
+
+    return words.select("ep", "pos", "start", "end", "text").groupBy("ep").cogroup(lines.select("ep", "pos", "text").groupBy("ep")).applyInPandas(run, CUE)
+
+
 def wrapped(text: str, most: float = 18.0, target: float = 20.0) -> str:
-    """A text wider than ``most`` is cut after the soft mark, else at the space, nearest its middle; again while a part is wider than ``target``."""
+    """A text wider than ``most`` is cut nearest its middle, again while a part is wider than ``target``.
+
+    Places are after soft marks; without any, at spaces; without these, between characters that are not both ASCII letters or digits.
+    """
     if width(text) <= most or "\n" in text:
         return text
-    marks = [i + 1 for i, c in enumerate(text[:-1]) if c in SOFT_BREAK] or [i for i, c in enumerate(text) if c == " " and 0 < i < len(text) - 1]
-    if not marks:
+    inner = range(1, len(text))
+    places = [i for i in inner if text[i - 1] in SOFT_BREAK] or [i for i in inner if text[i] == " " and i < len(text) - 1]
+    places = places or [i for i in inner if not (text[i - 1 : i + 1].isascii() and text[i - 1 : i + 1].isalnum())]
+    if not places:
         return text
-    at = min(marks, key=lambda i: abs(width(text[:i]) - width(text) / 2))
+    at = min(places, key=lambda i: abs(width(text[:i]) - width(text) / 2))
     return "\n".join(wrapped(x.strip(" "), target, target) if width(x) > target else x.strip(" ") for x in (text[:at], text[at:]))
 
 
@@ -357,29 +289,47 @@ def wrap_lines(cues: DataFrame) -> DataFrame:
 
 
 def chunks(words: DataFrame, size: int = 1500, hard: int = 3000, pause: float = 0.5) -> DataFrame:
-    """ep, chunk, text: words joined with a line break at each pause; a chunk closes at a pause from ``size`` characters, anywhere from ``hard``."""
+    """ep, chunk, text: words joined with a line break at each pause; a chunk closes at a pause from ``size`` characters of words, anywhere from ``hard``. Without space around it."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        out, held, last = [], "", None
-        for start, end, text in zip(pdf.start, pdf.end, pdf.text.fillna("")):
-            rest = last is not None and start - last >= pause
-            if held and (len(held) >= hard or (rest and len(held) >= size)):
-                out.append(held)
-                held = ""
-            elif rest and held:
-                held += "\n"
-            held, last = held + text, end
-        out += [held] if held else []
-        return pd.DataFrame([(pdf.ep.iloc[0], i, t) for i, t in enumerate(out)], columns=["ep", "chunk", "text"])
+        pieces = _pieces(pdf, "pos")
+        out, held, n = [], "", 0
+        for k, (start, _, text) in enumerate(pieces):
+            rest = k > 0 and start - pieces[k - 1][1] >= pause
+            if n >= hard or (rest and n >= size):
+                out.append(held.strip())
+                held, n = "", 0
+            held += "\n" + text if rest and n else text
+            n += len(text)
+        found = [t for t in [*out, held.strip()] if t]
+        return pd.DataFrame([(pdf.ep.iloc[0], i, t) for i, t in enumerate(found)], columns=["ep", "chunk", "text"])
 
     return words.select("ep", "pos", "start", "end", "text").groupBy("ep").applyInPandas(run, "ep long, chunk int, text string")
 
 
-def cue_pipeline(words: DataFrame) -> DataFrame:
-    """Words to cues: segments, fragments absorbed, durations held, unreadable ones merged, lines wrapped."""
-    cues = absorb_fragments(raw_segments(words))
-    return wrap_lines(merge_unreadable(enforce_duration(cues, words)))
+def _finished(cues: list[Cue], words: list[Cue]) -> list[Cue]:
+    track = Track(cues)
+    held = Track(_held(track.cues(episodes.without_fragments(track)), words, 0.5, 12.0))
+    return [(s, e, wrapped(t)) for s, e, t in held.cues(episodes.without_unreadable(held))]
+
+
+def cue_pipeline(words: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """Words to cues in one pass per episode: cut by pause and width, or by the punctuated text (ep, text) if there is one; fragments absorbed, durations held, unreadable ones merged, lines wrapped."""
+    own = words.select("ep", "pos", "start", "end", "text").groupBy("ep")
+    if texts is None:
+        def alone(pdf: pd.DataFrame) -> pd.DataFrame:
+            pieces = _pieces(pdf, "pos")
+            return _frame(pdf.ep.iloc[0], _finished(segmented(pieces), pieces))
+
+        return own.applyInPandas(alone, CUE)
+
+    def run(word_pdf: pd.DataFrame, text_pdf: pd.DataFrame) -> pd.DataFrame:
+        if word_pdf.empty or text_pdf.empty:
+            return _frame(None, [])
+        pieces = _pieces(word_pdf, "pos")
+        return _frame(word_pdf.ep.iloc[0], _finished(episodes.punctuated(pieces, text_pdf.text.iloc[0] or ""), pieces))
+
+    return own.cogroup(texts.select("ep", "text").groupBy("ep")).applyInPandas(run, CUE)
 
 
 def validate(cues: DataFrame, length: DataFrame) -> DataFrame:
@@ -388,8 +338,6 @@ def validate(cues: DataFrame, length: DataFrame) -> DataFrame:
     empty, interval, overlap (with the next), bounds (first start and last end only), line_width (> 20),
     duration (0.5 to 12), speed (> 9 a second over the whole text) and index (from 1 without gaps).
     """
-    from ..functions.text import display_width
-
     w = W.partitionBy("ep").orderBy("idx")
     rows = cues.join(length, "ep").withColumn("n", F.row_number().over(w)).withColumn("next", F.lead("start").over(w))
     rows = rows.withColumn("final", F.col("next").isNull())

@@ -80,3 +80,11 @@ def nearest_row(rows: DataFrame, at: DataFrame, key: str, start: str, end: str)
     order = F.struct(F.when((F.col(start) <= F.col("at")) & (F.col("at") < F.col(end)), 0).otherwise(1), d, F.col(start))
     kept = F.min_by(F.struct(*[c for c in rows.columns if c != key]), order)
     return rows.join(at, key).groupBy(key, "at").agg(kept.alias("row")).select(key, "at", "row.*")
+
+
+def one_by_fragment(rows: DataFrame, column: str, fragment: str) -> DataFrame:
+    """Rows of the one value of ``column`` that holds ``fragment``; none or several such values end the query with an error."""
+    found = rows.where(F.contains(F.col(column), F.lit(fragment)))
+    kinds = rows.agg(F.min(F.when(F.contains(F.col(column), F.lit(fragment)), F.col(column))).alias("lo"), F.max(F.when(F.contains(F.col(column), F.lit(fragment)), F.col(column))).alias("hi"))
+    only = kinds.select(F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.raise_error(F.lit(f"not one value with {fragment!r}"))).alias("_only"))
+    return found.join(F.broadcast(only), F.col(column) == F.col("_only")).drop("_only")

@@ -91,3 +91,52 @@ def token_cost(df: DataFrame, keys: list[str], prompt: str, answer: str, rates:
     """Cost of prompt and answer tokens at rates per million."""
     cost = F.sum(F.col(prompt) / 1e6 * rates[0] + F.col(answer) / 1e6 * rates[1])
     return df.groupBy(*keys).agg(F.round(cost, 6).alias("cost"))
+
+
+def refresh_status(old: DataFrame, new: DataFrame, key: str, idx: str, times: list[str], text: str) -> DataFrame:
+    """key and status of every episode of either table: new, gone, same, text (all rows and times are equal, some text is not) or times."""
+    a = old.select(key, idx, F.struct(*times).alias("_t"), F.col(text).alias("_x"), F.lit(1).alias("_a"))
+    b = new.select(key, idx, F.struct(*times).alias("_u"), F.col(text).alias("_y"), F.lit(1).alias("_b"))
+    both = a.join(b, [key, idx], "full")
+    status = both.groupBy(key).agg(
+        F.count("_a").alias("a"), F.count("_b").alias("b"),
+        F.bool_and(F.col("_t").eqNullSafe(F.col("_u")) & F.col("_a").eqNullSafe(F.col("_b"))).alias("timed"),
+        F.bool_and(F.col("_x").eqNullSafe(F.col("_y"))).alias("said"),
+    )
+    kind = F.when(F.col("a") == 0, "new").when(F.col("b") == 0, "gone").when(~F.col("timed"), "times").when(~F.col("said"), "text").otherwise("same")
+    return status.select(key, kind.alias("status"))
+
+
+def refresh_text(old: DataFrame, new: DataFrame, key: str, idx: str, times: list[str], text: str) -> DataFrame:
+    """``old`` with the new texts of episodes whose rows and times are all equal; other episodes stay for reprocessing."""
+    ready = refresh_status(old, new, key, idx, times, text).where("status = 'text'").select(key)
+    fresh = new.join(ready, key, "left_semi").select(key, idx, F.col(text).alias("_fresh"), F.lit(True).alias("_is"))
+    joined = old.join(fresh, [key, idx], "left")
+    return joined.withColumn(text, F.when(F.col("_is"), F.col("_fresh")).otherwise(F.col(text))).select(*old.columns)
+
+
+def set_where(df: DataFrame, column: str, condition, value) -> DataFrame:
+    """``df`` with ``column`` set to ``value`` where the condition holds."""
+    return df.withColumn(column, F.when(condition, value).otherwise(F.col(column)))
+
+
+def append_log(log: DataFrame, entries: DataFrame) -> DataFrame:
+    """``log`` and the new entries; columns go by name, and one that the entries lack is null."""
+    return log.unionByName(entries, allowMissingColumns=True)
+
+
+def manifest(stages: dict, **fields):
+    """A provenance record as JSON: digest by stage, and further fields, each in order of its name."""
+    keys = F.map_from_entries(F.array(*[F.struct(F.lit(k), v) for k, v in sorted(stages.items())]))
+    return F.to_json(F.struct(*[v.alias(k) for k, v in sorted({**fields, "stage_keys": keys}.items())]))
+
+
+def stage_done(record, stage: str, key):
+    """Whether a manifest has this key for the stage."""
+    return F.coalesce(F.from_json(record, "stage_keys map<string, string>")["stage_keys"][stage] == key, F.lit(False))
+
+
+def run_report(runs: DataFrame, key: str, status: str, cost: str) -> DataFrame:
+    """Per key and in total (key null): runs that went well (``ok``), that failed, that did not start, and their cost."""
+    one = lambda name: F.sum(F.when(F.col(status) == name, 1).otherwise(0)).alias(name)
+    return runs.rollup(key).agg(one("ok"), one("failed"), one("not_started"), F.round(F.sum(cost), 6).alias("cost"))

@@ -39,3 +39,25 @@ def hint_terms(terms: DataFrame, limit: int = 224) -> DataFrame:
     cost = wide * 2.0 + (F.length("correct") - wide + 1) / 3.0
     run = F.sum(cost).over(W.orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
     return terms.where("hint").withColumn("_run", run).where(F.col("_run") <= limit).drop("_run")
+
+
+def dropped_phrases(spark: SparkSession, path: str) -> DataFrame:
+    """pos and phrase of the ``hallucinations`` of a glossary file, in order."""
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        phrases = (yaml.safe_load(f) or {}).get("hallucinations") or []
+    return spark.createDataFrame([(i, str(p)) for i, p in enumerate(phrases)], "pos int, phrase string")
+
+
+def hint_pairs(terms: DataFrame) -> DataFrame:
+    """pos and hint, ``correct<-wrong/wrong`` with the first two wrong spellings, of the terms that have any."""
+    return terms.where(F.size("wrong") > 0).select("pos", F.concat("correct", F.lit("<-"), F.array_join(F.slice("wrong", 1, 2), "/")).alias("hint"))
+
+
+def phrases(lists: DataFrame, json: str, known: DataFrame | None = None) -> DataFrame:
+    """phrase, kind and source of the entries of JSON lists; blank phrases go, and of one phrase the greatest entry stays, before ``known`` ones."""
+    entry = F.from_json(json, "array<struct<phrase: string, kind: string, source: string>>")
+    each = lists.select(F.inline(entry)).where(F.trim("phrase") != "")
+    new = each.groupBy("phrase").agg(F.max(F.struct("kind", "source")).alias("e")).select("phrase", "e.kind", "e.source")
+    return new if known is None else new.unionByName(known.join(new.select("phrase"), "phrase", "left_anti").select("phrase", "kind", "source"))

@@ -4,7 +4,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from storyloom.operators import audit, search, segments, spans, store
+from storyloom.operators import audit, episodes, search, segments, spans, store
 from storyloom.sources import dimensions, pages, subtitles
 
 CUES = "ep long, idx int, start double, end double, text string"
@@ -18,32 +18,48 @@ def rows(df, *order):
 # --- folds -----------------------------------------------------------------------------------------
 
 
-def test_absorbed():
-    assert segments.absorbed([(0, 1, "這是一句。"), (1, 2, "紅"), (2.5, 4, "色蘋果來了")]) == [(0, 1, "這是一句。"), (1, 4, "紅色蘋果來了")]
-    assert segments.absorbed([(0, 1, "這是一句"), (1, 2, "紅"), (9, 10, "色蘋果來了")]) == [(0, 2, "這是一句紅"), (9, 10, "色蘋果來了")]
-    assert segments.absorbed([(0, 1, "紅")]) == [(0, 1, "紅")]
-    assert segments.absorbed([]) == []
+def merged(rule, cues):
+    track = episodes.Track(cues)
+    return track.cues(rule(track))
 
 
-def test_halved_at_the_widest_pause():
-    words = [(0, 1, "aaaa"), (1, 2, "bbbb"), (10, 11, "cccc"), (12, 14, "dddd")]
-    assert segments.halved((0, 14, "aaaabbbbccccdddd"), words, 12) == [(0, 2, "aaaabbbb"), (10, 14, "ccccdddd")]
-    assert segments.halved((0, 14, "I "), words, 12) == [(0, 14, "I ")]
+def test_fragments_are_absorbed():
+    rule = episodes.without_fragments
+    assert merged(rule, [(0, 1, "這是一句。"), (1, 2, "紅"), (2.5, 4, "色蘋果來了")]) == [(0, 1, "這是一句。"), (1, 4, "紅色蘋果來了")]
+    assert merged(rule, [(0, 1, "這是一句"), (1, 2, "紅"), (9, 10, "色蘋果來了")]) == [(0, 2, "這是一句紅"), (9, 10, "色蘋果來了")]
+    assert merged(rule, [(0, 1, "這是一句。"), (1, 2, "紅"), (9, 10, "色蘋果來了")]) == [(0, 2, "這是一句。紅"), (9, 10, "色蘋果來了")]
+    assert merged(rule, [(0, 1, "紅"), (9, 10, "色"), (10, 11, "好的")]) == [(0, 10, "紅色"), (10, 11, "好的")]
+    assert merged(rule, [(0, 1, "紅")]) == [(0, 1, "紅")]
+    assert merged(rule, []) == []
 
 
-def test_stretched_takes_time_without_overlap():
-    assert segments.stretched([(0, 0.2, "a"), (1, 3, "b")], 0.5, None)[0] == (0, 0.5, "a")
-    assert segments.stretched([(0, 0.2, "a"), (0.2, 3, "b")], 0.5, None) == [(0, 0.5, "a"), (0.5, 3, "b")]
-    assert segments.stretched([(0, 2, "a"), (2, 2.25, "b"), (2.25, 2.75, "c")], 0.5, None)[:2] == [(0, 1.75, "a"), (1.75, 2.25, "b")]
+def test_long_cues_are_cut_at_the_widest_pause():
+    words = episodes.Track([(0, 1, "aaaa"), (1, 2, "bbbb"), (10, 11, "cccc"), (12, 14, "dddd")])
+    assert episodes.split_long((0, 14, "aaaabbbbccccdddd"), words, 12) == [(0, 2, "aaaabbbb"), (10, 14, "ccccdddd")]
+    assert episodes.split_long((0, 14, "aaaabbbbccccdddd"), words, 3) == [(0, 2, "aaaabbbb"), (10, 11, "cccc"), (12, 14, "dddd")]
+    assert episodes.split_long((0, 14, "I "), words, 12) == [(0, 14, "I ")]
 
 
-def test_readable():
-    assert segments.readable([(0, 0.3, "啊"), (0.3, 0.6, "喔"), (5, 6, "好")]) == [(0, 0.6, "啊喔"), (5, 6, "好")]
-    assert segments.readable([(0, 0.1, "a")]) == [(0, 0.1, "a")]
+def test_short_cues_take_time_without_overlap():
+    stretched = episodes.stretch_short
+    assert stretched([(0, 0.2, "a"), (1, 3, "b")])[0] == (0, 0.5, "a")
+    assert stretched([(0, 0.2, "a"), (0.2, 3, "b")]) == [(0, 0.5, "a"), (0.5, 3, "b")]
+    assert stretched([(0, 2, "a"), (2, 2.25, "b"), (2.25, 2.75, "c")])[:2] == [(0, 1.75, "a"), (1.75, 2.25, "b")]
+    assert stretched([(0, 0.25, "a")], limit=0.375) == [(0, 0.375, "a")]
+    assert stretched([]) == []
 
 
-def test_joined_short():
-    assert segments.joined_short([(0, 1, "好的"), (1.1, 2, "走吧。"), (2.1, 3, "再見")]) == [(0, 2, "好的走吧。"), (2.1, 3, "再見")]
+def test_unreadable_cues_join_the_nearer_side():
+    rule = episodes.without_unreadable
+    assert merged(rule, [(0, 0.3, "啊"), (0.3, 0.6, "喔"), (5, 6, "好")]) == [(0, 0.6, "啊喔"), (5, 6, "好")]
+    assert merged(rule, [(0, 1, "a"), (2, 2.1, "b"), (3.1, 4, "c")]) == [(0, 2.1, "ab"), (3.1, 4, "c")]
+    assert merged(rule, [(0, 0.1, "a")]) == [(0, 0.1, "a")]
+
+
+def test_short_cues_grow():
+    rule = episodes.without_short
+    assert merged(rule, [(0, 1, "好的"), (1.1, 2, "走吧。"), (2.1, 3, "再見")]) == [(0, 2, "好的走吧。"), (2.1, 3, "再見")]
+    assert merged(rule, [(0, 1, "好的好的"), (2, 3, "再見再見")]) == [(0, 1, "好的好的"), (2, 3, "再見再見")]
 
 
 def test_segmented_keeps_ascii_words_whole():
@@ -52,16 +68,73 @@ def test_segmented_keeps_ascii_words_whole():
     assert [c[2] for c in segments.segmented([(0, 1, "a"), (1.7, 2, "b"), (2.1, 3, "c")])] == ["a", "bc"]
 
 
-def test_timed():
+def test_punctuated():
     words = [(0, 1, "你好"), (1, 2, "再見"), (5, 6, "走")]
-    assert segments.timed(words, "。你好。再見，走") == [(0, 1.0, "你好。"), (1.0, 2.0, "再見，"), (5.0, 6.0, "走")]
-    assert segments.timed(words, "你／好") == [(0, 0.5, "你"), (0.5, 1.0, "好")]
+    assert episodes.punctuated(words, "。你好。再見，走") == [(0, 1.0, "你好。"), (1.0, 2.0, "再見，"), (5.0, 6.0, "走")]
+    assert episodes.punctuated(words, "你／好") == [(0, 0.5, "你"), (0.5, 1.0, "好")]
+    # characters that the words lack or have in excess move nothing behind them
+    late = [(0.0, 1.5, "白玉米"), (6.5, 8.0, "青椒呢")]
+    assert episodes.punctuated(late, "白玉啊米。青椒呢？") == [(0.0, 1.5, "白玉啊米。"), (6.5, 8.0, "青椒呢？")]
+    assert episodes.punctuated(late, "白米。青椒呢？") == [(0.0, 1.5, "白米。"), (6.5, 8.0, "青椒呢？")]
+    assert episodes.punctuated([(0.0, 1.0, "紅色"), (1.0, 2.0, "蘋果"), (2.0, 3.0, "很好")], "紅色的蘋果很好。") == [(0.0, 3.0, "紅色的蘋果很好。")]
+    assert episodes.punctuated([(0.0, 1.0, "Go"), (1.0, 2.0, "on")], "Go on!") == [(0.0, 2.0, "Go on!")]
+    assert episodes.punctuated(words, "") == [] == episodes.punctuated([], "好")
+
+
+def test_aligned():
+    words = [(0.0, 2.0, "紅色蘋果"), (2.0, 4.0, "很好吃喔"), (4.0, 7.0, "Apple餅"), (7.0, 8.0, "再來一個")]
+    assert episodes.aligned(words, ["紅色蘋果很好", "吃喔Apple餅再來一個"]) == [(0.0, 3.0, "紅色蘋果很好"), (3.0, 8.0, "吃喔Apple餅再來一個")]
+    assert episodes.aligned(words, ["紅色頻果很好吃喔", "Apple餅，再來一個"]) == [(0.0, 4.0, "紅色頻果很好吃喔"), (4.0, 8.0, "Apple餅，再來一個")]
+    assert episodes.aligned(words, ["今天天氣真好嗎"]) is None and episodes.aligned([], ["紅"]) is None
+    assert episodes.aligned(words, []) is None and episodes.aligned(words, ["紅色蘋果很好吃喔", "。"]) is None
+
+
+@given(st.lists(st.tuples(st.text("abcd紅色", min_size=1, max_size=4), st.floats(0.05, 1), st.floats(0, 0.5)), min_size=1, max_size=12), st.data())
+def test_aligned_lines_keep_order_and_text(parts, data):
+    at, words = 0.0, []
+    for text, length, gap in parts:
+        words.append((at, at + length, text))
+        at += length + gap
+    joined = "".join(w[2] for w in words)
+    cuts = sorted(data.draw(st.sets(st.integers(1, max(1, len(joined) - 1)), max_size=3)) & set(range(1, len(joined))))
+    lines = [joined[a:b] for a, b in zip([0, *cuts], [*cuts, len(joined)])]
+    out = episodes.aligned(words, lines)
+    assert [c[2] for c in out] == lines and (out[0][0], out[-1][1]) == (0.0, words[-1][1])
+    assert all(c[0] < c[1] for c in out) and all(a[1] <= b[0] + 1e-9 for a, b in zip(out, out[1:]))
+
+
+def test_corrections_in_place(spark):
+    fixed = episodes.corrected(["快來", "喝", "，", "咖", "非吧 Coffe"], [("咖非", "咖啡"), ("COFFE", "茶茶茶茶茶"), ("喝", "喝茶")])
+    assert fixed == (["快來", "喝", "，", "咖", "啡吧 茶茶茶茶茶"], [0, 0, 0, 1, 1])
+    assert episodes.corrected(["咖，", "非"], [("咖非", "咖啡")])[0] == ["咖，", "啡"]
+    words = spark.createDataFrame([(1, 0, "咖", 0.0, 1.0), (1, 1, "非", 1.0, 2.0), (2, 0, None, 0.0, 1.0)], WORDS)
+    assert rows(segments.correct_words(words, [("咖非", "咖啡")]).select("ep", "pos", "text", "end", "hits"), "ep", "pos") == [(1, 0, "咖", 1.0, 1), (1, 1, "啡", 2.0, 0), (2, 0, "", 1.0, 0)]
+
+
+def test_widened():
+    assert episodes.widened("我要去喝咖非上班", "喝咖非", "非", "啡") == ("咖非上", "咖啡上")
+    assert episodes.widened("非常想喝咖非啊", "喝咖非", "非", "啡") == ("咖非啊", "咖啡啊")
+    assert episodes.widened("喝咖非館", "喝咖非館", "咖非館", "咖啡館") == ("咖非館", "咖啡館")
+    assert episodes.widened("非！", "非", "非", "啡") is None and episodes.widened("a", "b", "b", "c") is None
+
+
+def test_lines(spark):
+    text = "a" * 150 + "\n" + "b" * 40 + "\n" + "c" * 160
+    df = spark.createDataFrame([(1, text), (2, "a\nb"), (3, "a" * 300), (4, None), (5, "a" * 100 + "\n" + "b" * 100 + "\n" + "c" * 99)], "k int, t string")
+    got = rows(df.select("k", segments.split_at_pause(F.col("t")).alias("s")).select("k", "s.left", "s.right"), "k")
+    assert got == [(1, "a" * 150 + "\n" + "b" * 40, "\n" + "c" * 160), (2, None, None), (3, None, None), (4, None, None), (5, "a" * 100, "\n" + "b" * 100 + "\n" + "c" * 99)]
+    echo = spark.createDataFrame([(1, ["One two", "three", "four"], "x one, TWO y", "four"), (2, ["a", "b"], "", None), (3, ["a", "b"], "ab", "ab"), (4, ["a", "x", "b"], "a", "b"), (5, [], "", "")], "k int, l array<string>, p string, q string")
+    assert rows(echo.select("k", segments.strip_echo(F.col("l"), F.col("p"), F.col("q"))), "k") == [(1, ["three"]), (2, ["a", "b"]), (3, []), (4, ["x"]), (5, [])]
+    lines = spark.createDataFrame([(1, "yes\nthis is long\nyes\n \nThis is, long!\nthis is long too")], "k int, t string")
+    assert [r.line for r in segments.dedupe_lines(lines, ["k"], "t").orderBy("pos").collect()] == ["yes", "this is long", "yes", "this is long too"]
 
 
 def test_wrapped():
     assert segments.wrapped("短句") == "短句"
     cut = segments.wrapped("一二三四五六七八九，一二三四五六七八九")
     assert cut == "一二三四五六七八九，\n一二三四五六七八九"
+    assert segments.wrapped("一" * 22) == "一" * 11 + "\n" + "一" * 11
+    assert segments.wrapped("a" * 60) == "a" * 60
 
 
 @given(st.lists(st.tuples(st.floats(0.05, 3), st.floats(0, 2), st.text("好a。，", min_size=1, max_size=6)), max_size=12))
@@ -71,8 +144,8 @@ def test_folds_keep_text_and_order(parts):
         cues.append((at, at + length, text))
         at += length + gap
     joined = "".join(c[2] for c in cues)
-    for rule in (segments.absorbed, segments.readable, segments.joined_short, lambda c: segments.stretched(c, 0.5, None)):
-        out = rule(cues)
+    for rule in (episodes.without_fragments, episodes.without_unreadable, episodes.without_short, None):
+        out = merged(rule, cues) if rule else episodes.stretch_short(cues)
         assert "".join(c[2] for c in out) == joined
         assert all(a[1] <= b[0] + 1e-9 for a, b in zip(out, out[1:]))
 
