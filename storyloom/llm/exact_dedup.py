@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import forget, materialize
+from .scratch import forget, materialize, unused
 
 FIRST_DIGIT = 64
 WIDENING = 6
@@ -36,12 +36,13 @@ def radix_groups(docs: DataFrame, first: int = FIRST_DIGIT, widening: int = WIDE
     Counting a digit combines on the map side, and the join back has one row per group on its right,
     so that a group with a third of all rows is split by adaptive execution and never held in one task.
     """
+    return _groups(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")), first, widening).drop("row")
+
+
+def _groups(rows: DataFrame, first: int, widening: int) -> DataFrame:
+    """``radix_groups`` of rows with doc_id, text and a number row of their own, which stays."""
     text = F.encode(normalised(F.col("text")), "UTF-8")
-    state = docs.select(
-        F.col("doc_id"),
-        text.alias("rest"),
-        F.lit(0).cast("long").alias("grp"),
-    )
+    state = rows.select("doc_id", "row", text.alias("rest"), F.lit(0).cast("long").alias("grp"))
     width, level, done, owned = first, 0, [], []
     while True:
         digit = F.substring(F.col("rest"), 1, width)
@@ -54,7 +55,8 @@ def radix_groups(docs: DataFrame, first: int = FIRST_DIGIT, widening: int = WIDE
         split = materialize(
             known.select(
                 "doc_id",
-                *([F.sha2("rest", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("row")] if level == 0 else [F.col("text_sha256"), F.col("row")]),
+                "row",
+                F.sha2("rest", 256).alias("text_sha256") if level == 0 else F.col("text_sha256"),
                 F.when(open_, F.substring(F.col("rest"), width + 1, 2**31 - 1)).alias("rest"),
                 F.col("next").alias("grp"),
             ),
@@ -68,28 +70,29 @@ def radix_groups(docs: DataFrame, first: int = FIRST_DIGIT, widening: int = WIDE
             break
         width, level = min(width * widening, WIDEST), level + 1
     ended = reduce(DataFrame.unionByName, done)
-    alone = ended.where("grp is null").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
+    alone = ended.where("grp is null").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", "row")
     shared = ended.where("grp is not null")
     first_row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row")))
     # written, so that the join below has a plain exchange on either side and a large group is split
     heads = materialize(shared.groupBy("level", "grp").agg(F.count("*").alias("group_size"), first_row.alias("head")), "radix-heads")
     return alone.unionByName(
         shared.join(heads.hint("merge"), ["level", "grp"]).select(
-            "doc_id", F.col("head.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("head.row")).alias("kept"), "text_sha256"
+            "doc_id", F.col("head.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("head.row")).alias("kept"), "text_sha256", "row"
         )
     )
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text another kept row has; all columns stay, whole rows that repeat go.
+    """``docs`` without the rows whose text another kept row has; all columns stay, whatever their names, and whole rows that repeat go.
 
-    A row with a null doc_id stays only if no row with a doc_id has its text.
+    A row with a null doc_id stays only if no row with a doc_id has its text. Rows are numbered and written first, and
+    groups are told apart by their bytes, so that no digest decides which rows go. An empty table gives no rows.
     """
-    kept = radix_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    sha = F.sha2(F.encode(normalised(F.col("text")), "UTF-8"), 256)
-    names = docs.columns
-    match = docs.withColumn("_sha_of", sha).join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha_of") == F.col("_sha")), "left_semi")
-    return match.dropDuplicates(["doc_id", "_sha_of"]).select(*names)
+    (number,) = unused(docs, "row")
+    numbered = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "radix-rows")
+    groups = _groups(numbered.select("doc_id", "text", F.col(number).alias("row")), FIRST_DIGIT, WIDENING)
+    kept = groups.where("kept").select(F.col("row").alias(number))
+    return numbered.join(kept, number, "left_semi").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,6 +34,10 @@ from . import kernels
 from .scratch import materialize, new_path
 
 CHUNK_TOKENS = 1_000_000
+#: Tokens of the corpus for each part of the tables, and the most parts: beyond these a chunk's questions to a part would be
+#: a few pairs each, and parts grow with the corpus.
+PART_TOKENS = 300_000
+MOST_PARTS = 1200
 MAX_DISCOUNTED = 5
 #: A word with more than 1 / (HOT_PARTS * partitions) of all tokens is common enough to be dealt out by its followers.
 HOT_PARTS = 4
@@ -134,7 +138,7 @@ def _slices(part: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
 
 
 def chunks(docs: DataFrame, size: int = CHUNK_TOKENS) -> DataFrame:
-    """chunk and its packed documents. ``docs``: doc_id, text, held_out."""
+    """chunk, its tokens and its packed documents. ``docs``: doc_id, text, held_out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -143,7 +147,7 @@ def chunks(docs: DataFrame, size: int = CHUNK_TOKENS) -> DataFrame:
         def close() -> pa.RecordBatch:
             body = Chunk.build(*(np.concatenate(x) for x in zip(*held)))
             kernels.release()
-            return pa.record_batch([pa.array([number], pa.int64()), pa.array([body], pa.binary())], names=["chunk", "body"])
+            return pa.record_batch([pa.array([number], pa.int64()), pa.array([tokens], pa.int64()), pa.array([body], pa.binary())], names=["chunk", "tokens", "body"])
 
         for batch in batches:
             ids = batch.column(0)
@@ -160,11 +164,7 @@ def chunks(docs: DataFrame, size: int = CHUNK_TOKENS) -> DataFrame:
         if held:
             yield close()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "held_out").mapInArrow(run, "chunk long, body binary")
-
-
-def _one(table: pa.Table, name: str) -> bytes | None:
-    return table.column(name)[0].as_py() if table.num_rows else None
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "held_out").mapInArrow(run, "chunk long, tokens long, body binary")
 
 
 def _rows(rows: list[tuple], names: list[str]) -> pa.Table:
@@ -180,7 +180,7 @@ def unigram_counts(packed: DataFrame, parts: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for number, body in zip(batch.column(0).to_pylist(), batch.column("body")):
                 c = Chunk(unpack(body.as_py()))
                 rows = [(number, p, pack([_deltas(c.words[lo:hi]), c.train[lo:hi]])) for p, lo, hi in _slices(_deal(c.words, parts), parts)]
                 yield _rows(rows, ["chunk", "part", "body"]).combine_chunks().to_batches()[0]
@@ -372,11 +372,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
     unknown and has probability 1. An empty table gives no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"storyloom_chunks_{uuid.uuid4().hex}"
     # each chunk is one row, so that a bucketed table of them needs no shuffle and the joins below leave them in place
-    chunks(docs).write.format("parquet").bucketBy(parts, "chunk").option("path", new_path(spark, "katz-chunks")).saveAsTable(name)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks(docs).write.format("parquet").bucketBy(buckets, "chunk").option("path", new_path(spark, "katz-chunks")).saveAsTable(name)
     packed = spark.table(name)
+    # many more parts than tasks: each is built by itself and is small, and a task's share of them is even
+    tokens = packed.agg(F.sum("tokens")).first()[0] or 0
+    parts = max(8, min(MOST_PARTS, tokens // PART_TOKENS))
 
     answers = materialize(unigram_counts(packed, parts), "katz-unigrams")
     stats = [unpack(r.body) for r in answers.where(F.col("chunk") == STATS).select("body").collect()]  # a row per part

@@ -16,6 +16,7 @@ the model that executors receive. Every text is scored whole.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,9 +33,19 @@ MAX_FIT_ROWS = 2000
 INDEX_BITS = 18
 #: Of a hundred sampled rows, so many calibrate and are not counted.
 CALIBRATION = 20
+#: Rows from which a language has some set aside; with fewer, all are counted.
+ASIDE_FROM = 250
 REJECT_DEVIATIONS = 6.0
 SEGMENT = 1 << 18
-LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _letter_runs() -> re.Pattern:
+    """Runs of letters: word characters without digits, the low line, and numbers that are no digits (such as fractions)."""
+    numbers = [c for c in map(chr, range(0x80, 0x20000)) if unicodedata.category(c) in ("Nl", "No")]
+    return re.compile(rf"[^\W\d_{''.join(numbers)}]+")
+
+
+LETTERS = _letter_runs()
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -45,7 +56,10 @@ def prepare(text: str | None) -> np.ndarray:
 
 
 def grams(codes: np.ndarray, order: int) -> np.ndarray:
-    """The ``order`` characters up to and with each character from the second on, packed; the text's start is padded by its first space."""
+    """The ``order`` characters up to and with each character from the second on, packed; the text's start is padded by its first space.
+
+    A character beyond U+FFFF is folded to 16 bits, so that a rare one may count as another character.
+    """
     units = ((codes ^ (codes >> np.uint32(16))) & np.uint32(0xFFFF)).astype(np.uint64)
     padded = np.concatenate([np.full(order - 1, units[0] if len(units) else 0, np.uint64), units])
     n = len(units)
@@ -261,13 +275,12 @@ def _calibrate(model: Model, rows: list) -> None:
 def train(rows: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> Model:
     """Fits on rows (doc_id, lang, text); rows with a null lang are left out."""
     rows = rows.where("lang IS NOT NULL").select("doc_id", "lang", "text")
-    totals = rows.groupBy("lang").count().collect()  # a row per language
-    place = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1_000_000))
-    bound = F.lit(0)
-    for r in totals:
-        bound = F.when(F.col("lang") == r.lang, F.lit(min(1_000_000, int(1_000_000 * max_fit_rows / r["count"]) + 1))).otherwise(bound)
-    sample = rows.where(place < bound)
-    aside = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(100)) < CALIBRATION
+    share = F.least(F.lit(1_000_000), F.floor(F.lit(1_000_000.0) * max_fit_rows / F.count("*")) + 1)
+    bounds = rows.groupBy("lang").agg(share.alias("bound"), (F.count("*") >= ASIDE_FROM).alias("many"))  # a row per language
+    # by text too, so that rows that share a doc_id are not taken or left all together
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit("langid")), F.lit(1_000_000))
+    aside = F.col("many") & (F.pmod(F.xxhash64("doc_id", "text", F.lit("calibration")), F.lit(100)) < CALIBRATION)
+    sample = rows.join(F.broadcast(bounds), "lang").where(place < F.col("bound"))
     found: dict[str, list] = {}
     for batch in count_grams(sample.where(~aside)).toArrow().to_batches():  # the model's own size
         for lang in set(batch.column(0).to_pylist()):

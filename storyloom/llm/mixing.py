@@ -27,8 +27,6 @@ MAX_REPEATS = 2
 SEED = 17
 #: Hex digits of the seeded hash by which words are summed; a pattern's last bucket holds 1 / 16 ** DIGITS of it.
 DIGITS = 3
-#: Patterns (and so sources) that the driver takes; more is an error, not a cut.
-MAX_PATTERNS = 1_000_000
 
 
 def n_words(text) -> F.Column:
@@ -151,15 +149,18 @@ def mix(docs: DataFrame, targets: dict | None = None, share: float = SHARE, repe
     target is the sum over the document's sources. Repeated rows and rows that share a doc_id are taken
     together; documents without words and without sources have taken 0. In a pattern, the last document in
     seeded order is the one that brings the words nearest to the amount, so that the sum is off by less than
-    half of a document. An empty table gives no rows. Results depend on the seed and the rows alone.
+    half of a document. An empty table gives no rows. Results depend on the seed and the rows alone. Columns of the
+    input stay, except ones named target, source_size, taken or repeats, in whose place the results stand.
     """
     spark = docs.sparkSession
+    columns = docs.columns
     names = F.array_sort(F.array_distinct(F.coalesce("sources", F.array().cast("array<string>"))))
-    docs = docs.withColumn("pattern", F.to_json(F.struct(names.alias("s")), {"ignoreNullFields": "false"}))
-    slim = materialize(docs.select("pattern", "size", _seeded(seed).alias("h"), names.alias("s")), "mix-sizes")
-    summed = slim.groupBy("pattern").agg(F.sum("size").alias("words"), F.first("s").alias("s")).limit(MAX_PATTERNS + 1).collect()  # a row per pattern
-    if len(summed) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns; merge sources first")
+    # the input's columns travel as one, so that their names meet none of those below
+    docs = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"), "doc_id", "size", names.alias("s"))
+    docs = docs.withColumn("pattern", F.to_json(F.struct("s"), {"ignoreNullFields": "false"}))
+    slim = materialize(docs.select("pattern", "size", _seeded(seed).alias("h"), "s"), "mix-sizes")
+    # a row per pattern, which is the size of the network that the driver solves
+    summed = slim.groupBy("pattern").agg(F.sum("size").alias("words"), F.first("s").alias("s")).collect()
     sizes: dict = defaultdict(int)
     for row in summed:
         for s in row.s:
@@ -192,18 +193,21 @@ def mix(docs: DataFrame, targets: dict | None = None, share: float = SHARE, repe
     docs = docs.join(cut, docs.pattern == cut.p, "left")
     extra = (F.col("need") > 0) & ((F.col("b") < F.col("edge")) | ((F.col("b") == F.col("edge")) & F.coalesce(F.col("h") <= F.col("cut"), F.lit(False))))
     times = F.col("full") + F.when(extra, 1).otherwise(0)
-    return docs.withColumn("taken", F.col("size") * times).withColumn("repeats", F.when(F.col("size") > 0, times).otherwise(0)).drop("pattern", "full", "need", "h", "b", "edge", "room", "p", "cut")
+    made = {"target": F.col("target"), "source_size": F.col("source_size"), "taken": F.col("size") * times, "repeats": F.when(F.col("size") > 0, times).otherwise(0)}
+    own = [F.col("row")[c].alias(c) for c in columns if c.lower() not in made]
+    return docs.select(*own, *[v.alias(k) for k, v in made.items()])
 
 
 def repeat_rows(docs: DataFrame) -> DataFrame:
-    """``docs`` with each row as often as the mix of its source takes it; columns stay.
+    """``docs`` with each row as often as the mix of its source takes it; all columns stay, whatever their names.
 
-    A row without words is no part of any source's words and stays once.
+    A row without words is no part of any source's words and stays once. Repeated rows and rows with a null source or doc_id
+    are mixed like others. An empty table gives no rows.
     """
-    columns = docs.columns
-    mixed = mix(docs.withColumn("size", n_words(F.col("text"))).withColumn("sources", F.array("source")))
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), "doc_id", n_words(F.col("text")).alias("size"), F.array("source").alias("sources"))
     times = F.when(F.col("size") > 0, F.col("repeats")).otherwise(1)
-    return mixed.withColumn("_n", F.explode(F.sequence(F.lit(1), F.greatest(times, F.lit(1))))).where(times > 0).select(*columns)
+    mixed = mix(packed).select("whole", times.alias("times")).where("times > 0")
+    return mixed.select("whole", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("whole.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Features are hashed n-grams of the UTF-8 bytes with A-Z lower-cased. For all labelled training rows
 Spark counts in how many documents of either class each feature is. These counts give a log-count ratio
-per feature, and the features whose counts depend on the class (likelihood-ratio statistic) stay. A
+per feature, and the features whose counts depend on the class (likelihood-ratio statistic) stay, however many. A
 document's value of a feature is the ratio times the logarithm of one more than its occurrences. Logistic regression then weighs each feature, scaled by its ratio.
 Only its fit uses a sample: at most about ``max_fit_rows`` labelled rows, by a hash of doc_id.
 """
@@ -18,15 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels
+from .scratch import materialize
 
 ORDERS = (4, 5, 6)
 BITS = 18
 BLOCKS = 64
 LOTS = 512
 MAX_FIT_ROWS = 10_000
-MAX_FEATURES = 4096
-#: Likelihood-ratio statistic above which a feature's counts are taken to depend on the class.
+#: A feature stays if its likelihood-ratio statistic is above both: the first says that its counts depend on the class, the
+#: second, per labelled document, that knowing it tells something about the class. Neither depends on how many rows there are.
 EVIDENCE = 16.0
+EVIDENCE_PER_ROW = 0.003
 THRESHOLD = 0.7
 SMOOTHING = 1.0
 RIDGE = 3e-4
@@ -155,14 +157,15 @@ def _fit(rows: list[np.ndarray], labels: np.ndarray, n: int) -> tuple[np.ndarray
 
 
 def train(labelled: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> Model:
-    """Fits on rows (doc_id, text, toxic 0/1); rows with a null label are left out. No row of one class: the score is the share of that class."""
-    labelled = labelled.where("toxic IS NOT NULL").select("doc_id", "text", "toxic")
+    """Fits on rows (doc_id, text, toxic); a label above 0 is toxic, rows with a null label are left out. No row of one class: the score is the share of that class."""
+    labelled = labelled.where("toxic IS NOT NULL").select("doc_id", "text", (F.col("toxic") > 0).cast("int").alias("toxic"))
+    labelled = materialize(labelled, "toxicity-labelled")  # joined once, read twice
     rows, counts = class_counts(labelled)
     total = int(rows.sum())
     prior = float(np.log((rows[1] + 0.5) / (rows[0] + 0.5)))
     ratio, evidence = log_count_ratios(rows, counts)
-    chosen = np.argsort(-evidence, kind="stable")[:MAX_FEATURES]
-    chosen = chosen[evidence[chosen] > min(EVIDENCE, evidence.max(initial=0) / 2)]
+    least = min(max(EVIDENCE, EVIDENCE_PER_ROW * total), evidence.max(initial=0) / 2)
+    chosen = np.flatnonzero(evidence > least)
     weights = np.zeros(1 << BITS)
     if not rows.all() or not len(chosen):
         return Model(weights, prior)
@@ -221,7 +224,12 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows whose text scores at least ``threshold``; the score is made next to the row, without a join."""
+    """``docs`` without the rows whose text scores at least ``threshold``; all columns stay, whatever their names.
+
+    The score is made next to the row, without a join, so that rows with a null or repeated doc_id are judged by their own
+    text. Null and empty texts score as texts without features. Without labels of both classes every row has the same
+    score. An empty table gives no rows. Learns from labels as ``classify`` does.
+    """
     marks = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     model = train(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text").join(marks.hint("merge"), "doc_id"))
     shared = docs.sparkSession.sparkContext.broadcast(model)

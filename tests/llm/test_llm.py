@@ -81,6 +81,33 @@ def test_word_hashes_are_words(monkeypatch):
     assert len(set(seen.values())) == len(seen)
 
 
+# --- names -------------------------------------------------------------------------------------------
+
+CLASHES = """h b pattern p room target cut full need edge source_size size sources taken repeats _n _id _sha _sha_of row Whole times s kept_id
+first rest grp digit next level head upto w key hub rep side node component planes bands score toxic held_out col group_size keep_id kept text_sha256
+n shingles _row r v e size_ mid depth""".split()
+
+
+@pytest.mark.parametrize("stage", ["toxicity", "exact_dedup", "near_dedup", "source_mixing"])
+def test_stages_keep_clashing_columns(spark, edges, stage):
+    df, rows = edges
+    labels = spark.createDataFrame([(i, 1, i % 3) for i in range(8)], "doc_id long, quality int, toxic int")
+    act = {"toxicity": lambda d: toxicity.drop_toxic(d, labels), "exact_dedup": exact_dedup.drop_copies, "near_dedup": minhash.drop_near_copies, "source_mixing": mixing.repeat_rows}[stage]
+    plain = df.select("doc_id", "text", "lang", "source", "n_chars")
+    wide_ = plain.select("*", *[F.concat_ws("-", F.lit(c), "doc_id").alias(c) for c in CLASHES])
+    got = act(wide_)
+    assert got.columns == wide_.columns
+    found = got.collect()
+    assert all(r[c] == "-".join([c] + [str(r.doc_id)] * (r.doc_id is not None)) for r in found for c in CLASHES)
+    assert Counter(r[:5] for r in found) == Counter(tuple(r) for r in act(plain).collect())
+    assert act(wide_.limit(0)).count() == 0
+    texts = Counter((r.doc_id, r.text) for r in found)
+    if stage == "near_dedup":
+        assert Counter(r.doc_id for r in found)[3] == 1 and sum(i is None for i, _ in texts.elements()) == 1
+    if stage == "toxicity":
+        assert set(texts) <= {(i, t) for i, t, *_ in rows}
+
+
 # --- op1 ---------------------------------------------------------------------------------------------
 
 
@@ -208,6 +235,36 @@ def test_toxicity_learns_and_keeps_labels_apart(spark, empty):
     assert toxicity.classify(empty, labels).count() == 0
 
 
+def test_toxicity_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "STEPS", 3000)
+    rng, rows = random.Random(14), []
+    for i in range(160):
+        words_ = [rng.choice("lorem Ipsum dolor amet témpor 中文字 x".split()) for _ in range(rng.randint(0, 12))]
+        rows.append((i, " ".join(words_ + ["Rotten"] * (i % 4 == 0) * rng.randint(0, 2)), int(i % 4 == 0)))
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+
+    def grams(text):
+        data = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+        return Counter(int(toxicity._buckets(np.frombuffer(data[k : k + n], np.uint8).astype(np.uint64), n)[0]) for n in (4, 5, 6) for k in range(len(data) - n + 1))
+
+    found, n = [grams(t) for _, t, _ in rows], Counter(y for *_, y in rows)
+    ratio, kept = {}, []
+    for f in set().union(*found):
+        seen = [sum(f in g for g, (*_, y) in zip(found, rows) if y == c) for c in (0, 1)]
+        ratio[f] = math.log((seen[1] + 1) / (n[1] + 2)) - math.log((seen[0] + 1) / (n[0] + 2))
+        table = [(seen[c], n[c], sum(seen)) for c in (0, 1)] + [(n[c] - seen[c], n[c], len(rows) - sum(seen)) for c in (0, 1)]
+        if 2 * sum(x * math.log(x * len(rows) / (a * b)) for x, a, b in table if x) > 16:
+            kept.append(f)
+    assert set(np.flatnonzero(model.weights)) <= set(kept) and len(kept) > 5
+    x = np.array([[ratio[f] * math.log1p(g[f]) for f in kept] + [1.0] for g in found])
+    y, w, ridge = np.array([r[2] for r in rows]), np.zeros(len(kept) + 1), np.diag([toxicity.RIDGE] * len(kept) + [0.0])
+    for _ in range(60):  # Newton's steps to the one optimum
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x.T * (p * (1 - p))) @ x / len(y) + ridge + 1e-12 * np.eye(len(w)), x.T @ (p - y) / len(y) + ridge @ w)
+    got = model.score(pa.array([r[1] for r in rows]))
+    assert np.abs(got - 1 / (1 + np.exp(-x @ w))).max() < 0.02
+
+
 def test_toxicity_edges(spark, edges):
     df, rows = edges
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -343,6 +400,41 @@ def test_kneser_ney_is_normalised():
         assert math.isclose(np.exp(model.log_probs(grams, langid.ORDER)).sum() + np.exp(model.log_probs((context << np.uint64(16)) | np.array([0xFFFD], np.uint64), langid.ORDER)).sum(), 1, rel_tol=1e-5)
 
 
+def test_kneser_ney_against_brute_force():
+    texts = {"en": ["the cat sat on the mat", "a cat and a hat"], "de": ["der hund und die katze", "ein hut und der hund"]}
+    order, tables = langid.ORDER, {}
+    for lang, said in texts.items():
+        padded = [" " * (order - 1) + f" {t} " for t in said]
+        level = {order: Counter(p[k - order + 1 : k + 1] for p in padded for k in range(order, len(p)))}
+        for n in range(order - 1, 0, -1):  # in how many contexts a shorter one continues
+            level[n] = Counter(g[1:] for g in level[n + 1])
+        tables[lang] = level
+
+    def prob(lang, gram):
+        if not gram:
+            return 1 / (len(tables[lang][1]) + 1)
+        level = tables[lang][len(gram)]
+        n1, n2 = sum(v == 1 for v in level.values()), sum(v == 2 for v in level.values())
+        d = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+        own = {g: v for g, v in level.items() if g[:-1] == gram[:-1]}
+        if not own:
+            return prob(lang, gram[1:])
+        return max(0, own.get(gram, 0) - d * (gram in own)) / sum(own.values()) + d * len(own) / sum(own.values()) * prob(lang, gram[1:])
+
+    counts = {lang: np.unique(np.concatenate([langid.grams(langid.prepare(t), order) for t in said]), return_counts=True) for lang, said in texts.items()}
+    model = langid._tables(counts)
+    for text in ("the dog and the cat", "und die katze", "zzz"):
+        padded, got = " " * (order - 1) + f" {text} ", np.exp(model.log_probs(langid.grams(langid.prepare(text), order), order).astype(float))
+        want = [[prob(lang, padded[k - order + 1 : k + 1]) for lang in model.languages] for k in range(order, len(padded))]
+        assert np.allclose(got, want, rtol=1e-4)
+
+
+def test_numbers_are_no_letters(spark):
+    df = frame(spark, [(i, "the cat and the dog", "en", "s") for i in range(30)] + [(99, "² ½ Ⅷ", "en", "s"), (98, None, "en", "s"), (97, "½ the", "en", "s")])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(df).collect()}
+    assert got[99] == got[98] == ("und", 0.0) and got[97][0] == "en"
+
+
 # --- op8 ---------------------------------------------------------------------------------------------
 
 
@@ -469,7 +561,15 @@ def katz_brute(rows):
     total = sum(uni.values())
 
     def factors(c):
-        return katz.discounts(np.bincount([v for v in c.values() if v <= 6] + [0] * 0, minlength=7), sum(c.values()))
+        """Good-Turing factors of counts 0 to 5 and of higher ones, in Katz's form: fewer are discounted where these do not work."""
+        n, total = Counter(c.values()), sum(c.values())
+        for k in (5, 4, 3, 2, 1):
+            if all(n[r] for r in range(1, k + 2)):
+                share = (k + 1) * n[k + 1] / n[1]
+                d = [((r + 1) * n[r + 1] / (r * n[r]) - share) / (1 - share) if share < 1 else 2 for r in range(1, k + 1)]
+                if all(0 < x < 1 for x in d):
+                    return [1, *d, *[1] * (6 - k)]
+        return [1, 0.5, 1, 1, 1, 1, 1] if n[1] and total > n[1] else [total / (total + 1)] * 7
 
     du, db = factors(uni), factors(bi)
     p1 = {w: c * du[min(c, 6)] / total for w, c in uni.items()}
@@ -499,6 +599,7 @@ def katz_brute(rows):
 
 @pytest.mark.parametrize("chunk", [300, 1_000_000])
 def test_katz_against_brute_force(spark, corpus, chunk, monkeypatch):
+    monkeypatch.setattr(katz, "PART_TOKENS", 3 * chunk)
     monkeypatch.setattr(katz, "CHUNK_TOKENS", chunk)
     monkeypatch.setattr(katz.chunks, "__defaults__", (chunk,))
     df, texts = corpus
