@@ -36,7 +36,7 @@ from .scratch import materialize, new_path
 CHUNK_TOKENS = 1_000_000
 #: Tokens of the corpus for each part of the tables, and the most parts: beyond these a chunk's questions to a part would be
 #: a few pairs each, and parts grow with the corpus.
-PART_TOKENS = 300_000
+PART_TOKENS = 1_200_000
 MOST_PARTS = 1200
 MAX_DISCOUNTED = 5
 #: A word with more than 1 / (HOT_PARTS * partitions) of all tokens is common enough to be dealt out by its followers.
@@ -373,8 +373,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     name = f"storyloom_chunks_{uuid.uuid4().hex}"
-    # each chunk is one row, so that a bucketed table of them needs no shuffle and the joins below leave them in place
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # each chunk is one row, so that a bucketed table of them needs no shuffle and the joins below leave them in place;
+    # with more buckets, fewer of them hold many chunks
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks(docs).write.format("parquet").bucketBy(buckets, "chunk").option("path", new_path(spark, "katz-chunks")).saveAsTable(name)
     packed = spark.table(name)
     # many more parts than tasks: each is built by itself and is small, and a task's share of them is even
