@@ -11,6 +11,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -30,7 +31,6 @@ CACHED_PARTS = 400_000
 JOINED_PARTS = 5_000
 SPACES = frozenset(" \t\n\r")
 CACHED_CHARS = 64
-HAS_UNSURE = re.compile(f"[{''.join(sorted(UNSURE))}]").search
 #: Rows of a batch go on in groups of about so many bytes.
 OUT_BYTES = 8 << 20
 
@@ -48,34 +48,36 @@ class PartEncoder:
         self.encode, self.lengths = encode, lengths
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.added = {text: np.array([number], "<u4").tobytes() for text, number in (added or {}).items()}
+        self.kind = np.dtype("<u2" if max(len(lengths), *(added or {}).values(), 0) <= 1 << 16 else "<u4")
+        self.added = {text: np.array([number], self.kind).tobytes() for text, number in (added or {}).items()}
         longest_first = sorted(self.added, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
 
     def _plain(self, text: str) -> bytes:
-        return np.asarray(self.encode(text), dtype="<u4").tobytes()
+        return np.asarray(self.encode(text), dtype=self.kind).tobytes()
 
     def _joined(self, parts: list[str]) -> list[bytes]:
         out, at = [], 0
         while at < len(parts):
             some = parts[at : at + JOINED_PARTS]
-            ids = np.asarray(self.encode("".join(some)), dtype="<u4")
+            ids = np.asarray(self.encode("".join(some)), dtype=self.kind)
             ends = np.cumsum(np.fromiter((len(x.encode()) for x in some), np.int64, len(some)))
             told = np.cumsum(self.lengths[ids])
             cuts = np.searchsorted(told, ends)
             if not (len(told) and (told[np.minimum(cuts, len(told) - 1)] == ends).all()):
                 raise ValueError("ids do not end where parts do")
-            data, cuts = ids.tobytes(), ((cuts + 1) * 4).tolist()
+            data, cuts = ids.tobytes(), ((cuts + 1) * self.kind.itemsize).tolist()
             out += [data[i:j] for i, j in zip([0, *cuts], cuts)]
             at += len(some)
         return out
 
-    def _remember(self, parts: set[str]) -> set[str]:
-        """Sees to it that the newer generation has the ids of ``parts``; gives those that were not known."""
-        if len(self.cache) > CACHED_PARTS:
-            self.older, self.cache = self.cache, {}
+    def _unknown(self, split: list[list[str]]) -> set[str]:
+        """Parts that the newer generation lacks."""
+        return set(filterfalse(self.cache.__contains__, chain.from_iterable(split)))
+
+    def _remember(self, missing: set[str]) -> set[str]:
+        """Sees to it that the newer generation has the ids of ``missing``; gives those that the older one lacks too."""
         found, older = self.cache, self.older
-        missing = parts.difference(found)
         again = missing.intersection(older)
         found.update(zip(again, map(older.__getitem__, again)))
         new = missing.difference(again)
@@ -85,14 +87,16 @@ class PartEncoder:
         return new
 
     def _many(self, texts: list[str]) -> list[bytes]:
+        if len(self.cache) > CACHED_PARTS:
+            self.older, self.cache = self.cache, {}
         split = [PART.findall(x) for x in texts]
-        parts = set().union(*split)
-        # parts that end in an unsure character are never remembered, so that they are among those not known
-        unsure = {x for x in parts.difference(self.cache, self.older) if x[-1] in UNSURE} if any(map(HAS_UNSURE, texts)) else ()
+        missing = self._unknown(split)
+        # parts that end in an unsure character are never remembered, so that they are among these
+        unsure = {x for x in missing if x[-1] in UNSURE}
         if unsure:
             split = [x if unsure.isdisjoint(x) else _rejoined(x) for x in split]
-            parts = set().union(*split)
-        new = self._remember(parts)
+            missing = self._unknown(split)
+        new = self._remember(missing)
         found = self.cache
         out = [b"".join(map(found.__getitem__, x)) for x in split]
         for x in new:
@@ -101,15 +105,15 @@ class PartEncoder:
         return out
 
     def many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+        """Ids of each text as little-endian unsigned integers of ``kind``, the least that holds every id."""
         if self.special is None:
             return self._many(texts)
         cut = [self.special.split(x) if self.special.search(x) else [x] for x in texts]  # text, added token, text ...
         between = iter(self._many([y for x in cut for y in x[::2]]))
         return [b"".join(self.added[y] if k % 2 else next(between) for k, y in enumerate(x)) for x in cut]
 
-    def __call__(self, text: str) -> bytes:
-        return self.many([text])[0]
+    def __call__(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.many([text])[0], self.kind)
 
     def stream(self, rows: Iterator[tuple[int | None, str]]) -> Iterator[tuple[int | None, bytes]]:
         """Identifier and ids of each (identifier, text), in groups of about OUT_BYTES of text."""
@@ -190,7 +194,8 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = worker_encoder(part_encoder, shared.value, pattern)
-        yield from _batches(part.stream((i.as_py(), t) for b in batches for i, t in zip(b.column(0), kernels.strings(b.column(1)))), schema)
+        found = part.stream((i.as_py(), t) for b in batches for i, t in zip(b.column(0), kernels.strings(b.column(1))))
+        yield from _batches(((i, np.frombuffer(body, part.kind).astype("<u4").tobytes()) for i, body in found), schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, token_bytes binary")
 

@@ -156,10 +156,14 @@ class ShardWriter:
         return at, len(data)
 
     def add(self, key: bytes, ids: np.ndarray) -> None:
-        self.block.add(key, ids.astype("<u2" if self.width == 2 else "<u4").tobytes())
+        self.put(key, ids.astype("<u2" if self.width == 2 else "<u4").tobytes())
+
+    def put(self, key: bytes, value: bytes) -> None:
+        """Adds ids that are integers of the shard's width already."""
+        self.block.add(key, value)
         self.keys.append(_bloom_key(key))
         self.docs += 1
-        self.tokens += len(ids)
+        self.tokens += len(value) // self.width
         if self.block.size >= BLOCK_BYTES:
             self._flush()
 
@@ -274,11 +278,8 @@ def write_shards(docs: DataFrame, folder: str | None = None, vocabulary: str = V
                 name = f"shard-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.sst"
                 out_fs, out_at = arrow_fs.FileSystem.from_uri(folder)
                 out = out_fs.open_output_stream(f"{out_at}/{name}")
-                writer = ShardWriter(out, 2)
-            ids = np.append(np.frombuffer(body, "<u4"), np.uint32(end_id))
-            if ids.max() > 0xFFFF:
-                raise ValueError("a vocabulary of more than 65,536 ids needs wide values")
-            writer.add(key_of(doc_id), ids)
+                writer, end = ShardWriter(out, encode.kind.itemsize), np.array([end_id], encode.kind).tobytes()
+            writer.put(key_of(doc_id), body + end)
         if writer is not None:
             writer.close()
             out.close()
