@@ -2,7 +2,7 @@
 
 Long texts are split where white space follows something else: no match of the pattern crosses such a
 place, so that the parts are encoded separately with the same result. Parts that come again (most words
-do) are encoded once per Python worker, as long as they are remembered. Decoding gives raw bytes, since a token may end inside a character.
+do) are encoded once per task, or per Python worker where ``worker_encoder`` is used, as long as they are remembered. Decoding gives raw bytes, since a token may end inside a character.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ PART = re.compile(r"[ \t\n\r]*+[^\W_]++(?=[!-/:-@\[-`{-~])|[ \t\n\r]*+[^ \t\n\r]
 #: A part that ends in one of these is not a safe place to split: they may belong to a run of white space.
 UNSURE = frozenset("\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u200b\u2028\u2029\u202f\u205f\u3000\ufeff" + "".join(map(chr, range(0x2000, 0x200B))))
 #: Parts of a generation; two are kept.
-CACHED_PARTS = 400_000
+CACHED_PARTS = 300_000
 JOINED_PARTS = 5_000
 SPACES = frozenset(" \t\n\r")
 CACHED_CHARS = 64
@@ -193,9 +193,11 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokenizers
     schema = pa.schema([("doc_id", pa.int64()), ("token_bytes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = worker_encoder(part_encoder, shared.value, pattern)
+        part = part_encoder(shared.value, pattern)  # the task's own, so that a worker's later tasks have the memory
         found = part.stream((i.as_py(), t) for b in batches for i, t in zip(b.column(0), kernels.strings(b.column(1))))
         yield from _batches(((i, np.frombuffer(body, part.kind).astype("<u4").tobytes()) for i, body in found), schema)
+        del part, found
+        kernels.release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, token_bytes binary")
 
