@@ -105,6 +105,7 @@ def link_parts(runs: DataFrame, found: DataFrame) -> DataFrame:
 def threads(replies: DataFrame) -> DataFrame:
     """conv_id, turn, root_turn, reply_depth of every reply (conv_id, turn, parent_turn), by doubling the way to the root each round."""
     state = materialize(replies.select("conv_id", "turn", F.col("parent_turn").alias("root_turn"), F.lit(1).cast("long").alias("reply_depth")), "threads")
+    written = state
     while True:
         up = state.select("conv_id", F.col("turn").alias("root_turn"), F.col("root_turn").alias("next"), F.col("reply_depth").alias("more"))
         moved = materialize(
@@ -114,8 +115,8 @@ def threads(replies: DataFrame) -> DataFrame:
             "threads",
         )
         done = moved.where("moved").isEmpty()
-        forget(state)
-        state = moved.drop("moved")
+        forget(written)
+        written, state = moved, moved.drop("moved")
         if done:
             return state
 
