@@ -48,6 +48,7 @@ class PartEncoder:
         self.encode, self.lengths = encode, lengths
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.most = CACHED_PARTS
         self.kind = np.dtype("<u2" if max(len(lengths), *(added or {}).values(), 0) <= 1 << 16 else "<u4")
         self.added = {text: np.array([number], self.kind).tobytes() for text, number in (added or {}).items()}
         longest_first = sorted(self.added, key=len, reverse=True)
@@ -87,7 +88,7 @@ class PartEncoder:
         return new
 
     def _many(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHED_PARTS:
+        if len(self.cache) > self.most:
             self.older, self.cache = self.cache, {}
         split = [PART.findall(x) for x in texts]
         missing = self._unknown(split)
