@@ -72,9 +72,9 @@ def page(df: DataFrame, key: str, last, size: int) -> DataFrame:
     return (df if last is None else df.where(F.col(key) > last)).orderBy(key).limit(size)
 
 
-def lookup_lists(df: DataFrame, key: str, *value: str) -> DataFrame:
-    """key and its rows' values as a sorted array of structs."""
-    return df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*value))).alias("items"))
+def lookup_lists(df: DataFrame, key: str, *value: str, part) -> DataFrame:
+    """key, part and its rows' values as a sorted array of structs. ``part`` is a column, by ranges of the values, that bounds a list where a key is hot."""
+    return df.groupBy(key, part.alias("part")).agg(F.array_sort(F.collect_list(F.struct(*value))).alias("items"))
 
 
 def breaker(runs: DataFrame, key: str, order: str, failed: str, limit: int = 3) -> DataFrame:

@@ -438,6 +438,15 @@ def edit_budget(spark, d):
     return b.select("page_id", "b.deleted", "b.inserted")
 
 
+@query("turn_changes")
+def turn_changes(spark, d):
+    """Each whole turn beside the one before it in its conversation: similarity, and shares deleted and inserted."""
+    c = table(spark, d, "conversations").select("conv_id", "turn", "text")
+    near = c.withColumn("before", F.lag("text").over(W.partitionBy("conv_id").orderBy("turn"))).where("before IS NOT NULL")
+    b = near.select("conv_id", "turn", F.round(T.similarity_ratio("before", "text"), 6).alias("ratio"), T.edit_budget("before", "text").alias("b"))
+    return b.select("conv_id", "turn", "ratio", F.round("b.deleted", 6).alias("deleted"), F.round("b.inserted", 6).alias("inserted"))
+
+
 LEAKS_SQL = """
 WITH q AS (SELECT item_id, translate(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS q FROM benchmark),
 a AS (SELECT doc_id, translate(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS a FROM documents),
@@ -563,6 +572,21 @@ def homophone_groups(spark, d):
     return audit.minorities(audit.spellings(rows, T.sound_key, (1, 2)))
 
 
+@query("homophone_suspects", """
+WITH d AS (SELECT doc_id, regexp_split_to_array(trim(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS u FROM documents),
+w AS (SELECT doc_id, unnest(flatten(list_transform([3, 4, 5], lambda k: list_transform(range(1, greatest(len(u) - k + 2, 1)), lambda i: u[i:i + k - 1])))) AS r FROM d),
+c AS (SELECT array_to_string(list_transform(r, lambda x: regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '^zh', 'z'), '^ch', 'c'), '^sh', 's'), 'ing$', 'in'), 'eng$', 'en')), ' ') AS sound,
+  array_to_string(r, ' ') AS text, count(*) AS n FROM w GROUP BY 1, 2),
+t AS (SELECT sound, arg_max(text, (n, text)) AS major, max(n) AS major_n FROM c GROUP BY 1 HAVING count(*) > 1),
+m AS (SELECT text, n, major, major_n, round(major_n / (major_n + n), 3) AS score FROM c JOIN t USING (sound) WHERE major_n >= 10 AND n <= 3 AND major_n >= 10 * n AND text <> major),
+o AS (SELECT DISTINCT doc_id AS row_id, m.* FROM (SELECT doc_id, array_to_string(r, ' ') AS text FROM w) JOIN m USING (text))
+SELECT * FROM o a WHERE NOT EXISTS (SELECT 1 FROM o b WHERE a.row_id = b.row_id AND contains(b.text, a.text) AND len(b.text) > len(a.text))""")
+def homophone_suspects(spark, d):
+    """Runs of three to five words of all documents, by merged sounds."""
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("row_id"), F.split(F.trim(F.regexp_replace(T.ascii_lower(F.col("text")), WORD, " ")), " ").alias("units"))
+    return audit.homophone_suspects(rows, T.sound_key)
+
+
 @query("nested_drop", """
 WITH t AS (SELECT DISTINCT page_id AS k, unnest(regexp_extract_all(url, '[a-z]+', 0)) AS t FROM pages)
 SELECT k, t FROM t a WHERE NOT EXISTS (SELECT 1 FROM t b WHERE a.k = b.k AND contains(b.t, a.t) AND (len(b.t) > len(a.t)))""")
@@ -619,10 +643,11 @@ def keyset_page(spark, d):
     return store.page(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 500, 2000)
 
 
-@query("grouped_lookup", "SELECT source, count(*) AS n, md5(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS ids FROM documents GROUP BY 1")
+@query("grouped_lookup", "SELECT source, doc_id // 1000 AS part, count(*) AS n, md5(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS ids FROM documents GROUP BY 1, 2")
 def grouped_lookup(spark, d):
-    g = store.lookup_lists(table(spark, d, "documents"), "source", "doc_id")
-    return g.select("source", F.size("items").cast("long").alias("n"), F.md5(F.array_join(F.transform("items", lambda x: x["doc_id"].cast("string")), ",")).alias("ids"))
+    """Lists in parts of a thousand numbers, so that a hot source is no single list."""
+    g = store.lookup_lists(table(spark, d, "documents"), "source", "doc_id", part=F.floor(F.col("doc_id") / 1000))
+    return g.select("source", "part", F.size("items").cast("long").alias("n"), F.md5(F.array_join(F.transform("items", lambda x: x["doc_id"].cast("string")), ",")).alias("ids"))
 
 
 @query("failure_breaker", """

@@ -123,6 +123,15 @@ def test_text_queries_against_plain_python(spark, tables):
         want[page, round(SequenceMatcher(None, before[lang], url, autojunk=False).ratio(), 6) if lang in before else None] += 1
         before[lang] = url
     assert collected(spark, "sequence_ratio") == want
+    changes, last = Counter(), {}
+    for c, t, x in sorted(turns):
+        if c in last:
+            a, b = bare(last[c]), bare(x)
+            steps = [(j - i, n - m) for kind, i, j, m, n in SequenceMatcher(None, a, b, autojunk=False).get_opcodes() if kind != "equal"]
+            share = lambda k: round(sum(max(0, s[k] - s[1 - k]) for s in steps) / len(a), 6) if a else 0.0
+            changes[c, t, round(SequenceMatcher(None, last[c], x, autojunk=False).ratio(), 6), share(0), share(1)] += 1
+        last[c] = x
+    assert collected(spark, "turn_changes") == changes
     for r in catalogue.QUERIES["edit_budget"](spark, SF).collect():
         assert 0 <= r.deleted <= 1 and 0 <= r.inserted
 
@@ -184,6 +193,17 @@ def test_suspects(spark):
     assert audit.suspects(rows, refs, key, common=0).count() == 0
 
 
+def test_homophone_suspects(spark):
+    key = lambda u: F.regexp_replace(u, "^zh", "z")
+    said = [["lao", "zhi", "shuo", "xiong", "a"]] * 24 + [["lao", "zi", "shuo", "xiong", "a"], ["x", "lao", "zi", "shuo"], ["lao"], ["lao", "zi"], []]
+    rows = spark.createDataFrame(list(enumerate(said)), "row_id long, units array<string>")
+    got = sorted(tuple(r) for r in audit.homophone_suspects(rows, key).collect())
+    # of the first row's nested spellings the longest stays, the second row has the shortest alone
+    assert got == [(24, "lao zi shuo xiong a", 1, "lao zhi shuo xiong a", 24, 0.96), (25, "lao zi shuo", 2, "lao zhi shuo", 24, 0.923)]
+    short = spark.createDataFrame([(0, ["a"]), (1, ["a", "b"])], "row_id long, units array<string>")
+    assert {(r.text, r.n) for r in audit.spellings(short, key, (1, 2)).collect()} == {("a", 2), ("b", 1), ("a b", 1)}
+
+
 def test_apply_fixes(spark):
     rows = spark.createDataFrame([(1, "hello wrld, wrld"), (2, "keep"), (3, None)], "id long, text string")
     fixes = [(1, 0, "wrld", "world"), (1, 1, "hello", "hallo"), (1, 2, "hello", "entirely"), (1, 3, "wrld", "wrl,d"), (2, 0, "gone", "gane"), (2, 1, "keep", "keep"), (2, 2, "", "x"), (3, 0, "a", "b"), (9, 0, "a", "b")]
