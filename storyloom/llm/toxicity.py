@@ -178,7 +178,8 @@ def train(labelled: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> Model:
             found = [np.rec.fromarrays([b, n], dtype=_PAIRS).tobytes() for b, n in wanted_features(batch.column(0), wanted)]
             yield pa.record_batch([batch.column(1), pa.array(found, pa.binary())], names=["toxic", "found"])
 
-    sample = labelled if keep >= 1 else labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(keep * 1_000_000))
+    # by text too, so that rows that share a doc_id are not taken or left all together
+    sample = labelled if keep >= 1 else labelled.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(keep * 1_000_000))
     fitted = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "toxic int, found binary").collect()  # at most about max_fit_rows
     place = np.zeros(1 << BITS, np.int64)
     place[chosen] = np.arange(len(chosen))
