@@ -15,8 +15,6 @@ the model that executors receive. Every text is scored whole.
 
 from __future__ import annotations
 
-import re
-import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -39,20 +37,20 @@ REJECT_DEVIATIONS = 6.0
 SEGMENT = 1 << 18
 
 
-def _letter_runs() -> re.Pattern:
-    """Runs of letters: word characters without digits, the low line, and numbers that are no digits (such as fractions)."""
-    numbers = [c for c in map(chr, range(0x80, 0x20000)) if unicodedata.category(c) in ("Nl", "No")]
-    return re.compile(rf"[^\W\d_{''.join(numbers)}]+")
-
-
-LETTERS = _letter_runs()
+#: Whether a code point is a letter (no digit, fraction or letter-like numeral).
+LETTER = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def prepare(text: str | None) -> np.ndarray:
     """Code points of the letters in lower case, words apart by one space; empty if there is no letter."""
-    words = LETTERS.findall((text or "").lower())
-    return np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le"), np.uint32) if words else np.zeros(0, np.uint32)
+    codes = np.frombuffer((text or "").lower().encode("utf-32-le"), np.uint32)
+    letter = LETTER[codes]
+    if not letter.any():
+        return np.zeros(0, np.uint32)
+    # of what is no letter, only what comes after a letter stays, as a space
+    kept = np.append(letter, False) | np.append(False, letter)
+    return np.append(np.uint32(32), np.append(np.where(letter, codes, 32), 32)[kept]).astype(np.uint32)
 
 
 def grams(codes: np.ndarray, order: int) -> np.ndarray:
