@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, exact_dedup, katz, langid, minhash, mixing, pivot_topk, quotes, sstable, toxicity
+from . import byte_bpe, exact_dedup, katz, langid, minhash, mixing, page_text, pivot_topk, quotes, spellings, sstable, toxicity
 
 _MODULES = {
     "op1_quote_linking": quotes,
@@ -15,6 +15,8 @@ _MODULES = {
     "op8_pivot_topk": pivot_topk,
     "op9_minhash": minhash,
     "op10_katz": katz,
+    "op11_page_text": page_text,
+    "op12_spellings": spellings,
 }
 
 

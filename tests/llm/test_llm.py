@@ -55,7 +55,7 @@ def corpus(spark):
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations", "labels"):
+    for t in ("documents", "embeddings", "conversations", "labels", "pages"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = registry.queries()[name](spark, SF)
     rel = con.sql(registry.oracle_sql()[name])
