@@ -43,7 +43,7 @@ FEATURES = ("words", "density", "words_before", "density_before", "words_after",
 PLAIN, MAIN, EDGE = 0, 1, 2
 #: place of a block: in the main part, on a page without one, outside of the main part that its page has, in an edge part.
 IN_MAIN, NO_MAIN, OUTSIDE, IN_EDGE = 0.0, 1.0, 2.0, 3.0
-DEPTH, LEAF_ROWS = 5, 3
+DEPTH, LEAF_ROWS = 7, 3
 
 # Labelled pages, one a line. A text is ``+n`` (belongs to the article) or ``-n`` (does not): n words.
 EXAMPLES = """
@@ -73,6 +73,8 @@ EXAMPLES = """
 <nav><a>-1</a><a>-2</a></nav><article><h1>+3</h1><p>+20</p><p>+5</p></article>
 <div class="banner">-9</div><main><p>+17</p><p>+1</p></main>
 <article><h1>+1</h1><p>+4</p><p>+2</p></article>
+<header><h2>-2</h2><p>-50</p></header><article><h1>+4</h1><p>+66</p></article><aside><h3>-2</h3><p>-55</p></aside><footer><h4>-1</h4><p>-60</p></footer>
+<div><h2>-3</h2><p>-70</p></div><main><h2>+3</h2><p>+58</p></main><aside><h3>-1</h3><p>-80</p><h3>-2</h3><p>-49</p></aside>
 <header>-3</header><article><p>+52</p><p>+38</p><p>+2</p></article>
 <div id="content"><h1>+7</h1><p>+11</p></div>
 <form><p>-10</p><article><h1>+5</h1><p>+39</p><p>+1</p></article><p>-12</p></form>
