@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, exact_dedup, katz, langid, minhash, mixing, page_text, pivot_topk, quotes, spellings, sstable, toxicity
+from . import byte_bpe, exact_dedup, katz, langid, minhash, mixing, page_text, pivot_topk, quotes, spellings, sstable, token_alignment, toxicity
 
 _MODULES = {
     "op1_quote_linking": quotes,
@@ -17,6 +17,7 @@ _MODULES = {
     "op10_katz": katz,
     "op11_page_text": page_text,
     "op12_spellings": spellings,
+    "op13_token_alignment": token_alignment,
 }
 
 

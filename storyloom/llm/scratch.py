@@ -27,12 +27,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/storyloom/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back, so that later steps start from files."""
+def materialize(df: DataFrame, name: str, *folders: str) -> DataFrame:
+    """Writes ``df`` to the shared folder, with a folder for each value of ``folders``, and reads it back, so that later steps start from files."""
     spark = df.sparkSession
     path = new_path(spark, name)
     schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*folders).parquet(path)
     found = spark.read.schema(schema).parquet(path)
     found._written_at = path
     return found
