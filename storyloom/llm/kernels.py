@@ -20,11 +20,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BYTE_CODE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**64, 256, dtype=U64)
+_DRAWN = np.random.Generator(np.random.PCG64(20240229))
+_BYTE_CODE = _DRAWN.integers(1, 2**64, 256, dtype=U64)
 _BYTE_CODE_LOWER = _BYTE_CODE[_LOWER]
-_BASE = U64(0x9E3779B97F4A7C13)
-_POWERS = np.multiply.accumulate(np.concatenate([[U64(1)], np.full(_STEP - 1, _BASE)]))
-_FAR = (_POWERS[-1:] * _BASE)[0]
+#: A multiplier drawn for each place, not powers of one base: modulo 2^64 those cancel out on words of a known form, whatever the base.
+_PLACES = _DRAWN.integers(1, 2**64, _STEP, dtype=U64) | U64(1)
 
 
 def release() -> None:
@@ -71,11 +71,10 @@ def _hash_segment(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.
     codes = _BYTE_CODE_LOWER[data]
     codes[~solid] = 0
     if place.max(initial=0) < _STEP:
-        codes *= _POWERS[place]
+        codes *= _PLACES[place]
     else:
-        codes *= _POWERS[place & (_STEP - 1)]
-        far = np.multiply.accumulate(np.concatenate([[U64(1)], np.full(int(place.max()) // _STEP, _FAR)]))
-        codes *= far[place // _STEP]
+        codes *= _PLACES[place & (_STEP - 1)]
+        codes *= mix(np.arange(1, int(place.max()) // _STEP + 2, dtype=U64))[place // _STEP] | U64(1)
     return mix(np.add.reduceat(codes, starts)), starts
 
 
