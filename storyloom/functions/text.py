@@ -273,6 +273,30 @@ def similarity_ratio(a, b) -> Column:
     return F.pandas_udf(_ratios, "double")(a, b)
 
 
+def _bounded(pairs: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """Ratio of pairs that reach the least one, else null, and whether the bound by their characters' counts let them be matched."""
+    for a, b, least in pairs:
+        rows = []
+        for x, y, low in zip(a, b, least):
+            matcher = None if x is None or y is None else SequenceMatcher(None, x, y, autojunk=False)
+            matched = matcher is not None and matcher.quick_ratio() >= low
+            found = matcher.ratio() if matched else None
+            rows.append((found if matched and found >= low else None, matched))
+        yield pd.DataFrame(rows, columns=["ratio", "matched"]).astype({"ratio": "float64"})
+
+
+def similarity_at_least(a, b, least: float) -> Column:
+    """ratio: ``similarity_ratio`` where it is ``least`` or more, else null; matched: whether the strings were matched at all.
+
+    No ratio is above twice the shorter length over both lengths, which Spark compares first, nor above twice the number of
+    characters they have in common in any order, which is counted before they are matched.
+    """
+    lengths = F.length(a) + F.length(b)
+    fits = F.when(lengths == 0, True).otherwise(2 * F.least(F.length(a), F.length(b)) >= least * lengths)
+    other = F.when(fits, b)  # a null side is not looked at
+    return F.pandas_udf(_bounded, "struct<ratio double, matched boolean>")(a, other, F.lit(least))
+
+
 def edit_budget(a, b) -> Column:
     return F.pandas_udf(_budgets, "struct<deleted double, inserted double>")(a, b)
 

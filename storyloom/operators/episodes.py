@@ -45,6 +45,22 @@ class Track:
         return [(float(self.start[a]), float(self.end[b - 1]), "".join(self.text[a:b])) for a, b in zip(cuts, [*cuts[1:], len(self)])]
 
 
+def by_width(track: Track, most: float = 20.0, gap: float = 0.6) -> list[int]:
+    """Cuts before the words at which a cue would be wider than ``most`` or that start more than ``gap`` after the word before.
+
+    Neighbouring words that meet in ASCII letters or digits are parts of one. A cut inside such a run is moved to its
+    first word, unless the cue begins with the run.
+    """
+    glued = [False] + [(x[-1:] + y[:1]).isascii() and x[-1:].isalnum() and y[:1].isalnum() for x, y in zip(track.text, track.text[1:])]
+    opens = np.maximum.accumulate(np.where(glued[: len(track)], 0, np.arange(len(track)))) if len(track) else np.zeros(0, int)
+    late = np.append(False, track.start[1:] - track.end[:-1] > gap)
+    cuts = [0][: len(track)]
+    for k in range(1, len(track)):
+        if late[k] or track.wide(cuts[-1], k + 1) > most:
+            cuts.append(int(opens[k]) if opens[k] > cuts[-1] else k)
+    return cuts
+
+
 def without_fragments(track: Track, least: float = FRAGMENT, gap: float = 1.5) -> list[int]:
     """Cuts without those around runs narrower than ``least``.
 

@@ -8,7 +8,7 @@ Words: ep, pos, text, start, end. Cues: ep, idx, start, end, text (times in seco
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -58,20 +58,15 @@ def _runs(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 
 def _shortened(rows: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    """Texts without the content characters past the limit of a run, of which ``carry`` came before, and how many went."""
+    """Texts without the content characters past the limit of a run, of which ``carry`` came before the first one, and how many went."""
     for texts, carries, longest in rows:
         out = []
-        for t, run, most in zip(texts.fillna(""), carries, longest):
-            kept, last, gone = [], None, 0
-            for c in t:
-                if fold(c)[0]:
-                    run = run + 1 if last in (None, c) else 1
-                    last = c
-                    if run > most:
-                        gone += 1
-                        continue
-                kept.append(c)
-            out.append(("".join(kept), gone))
+        for t, before, most in zip(texts.fillna(""), carries, longest):
+            gone: set[int] = set()
+            for _, run in groupby((i for i, c in enumerate(t) if fold(c)[0]), key=t.__getitem__):
+                gone.update(islice(run, max(0, most - before), None))
+                before = 0
+            out.append(("".join(c for i, c in enumerate(t) if i not in gone), len(gone)))
         yield pd.DataFrame(out, columns=["text", "dropped"])
 
 
@@ -212,23 +207,9 @@ def enforce_duration(cues: DataFrame, words: DataFrame, shortest: float = 0.5, l
 
 
 def segmented(words: list[Cue], most: float = 20.0, gap: float = 0.6) -> list[Cue]:
-    """A new cue where the width would pass ``most`` or a pause is longer than ``gap``; a run of ASCII letters and digits moves on as a whole."""
-    out: list[list[Cue]] = [[]]
-    for w in words:
-        now = out[-1]
-        if now and w[0] - now[-1][1] > gap:
-            out.append([w])
-        elif now and width("".join(x[2] for x in [*now, w])) > most:
-            back = len(now)
-            while back and now[back - 1][2][-1:].isascii() and now[back - 1][2][-1:].isalnum() and (now[back] if back < len(now) else w)[2][:1].isascii() and (now[back] if back < len(now) else w)[2][:1].isalnum():
-                back -= 1
-            moved = now[back:] if back else []
-            if moved:
-                del now[back:]
-            out.append([*moved, w])
-        else:
-            now.append(w)
-    return [(c[0][0], c[-1][1], "".join(x[2] for x in c).strip()) for c in out if c and "".join(x[2] for x in c).strip()]
+    """Cues of ``episodes.by_width`` without space around them; those of space alone go."""
+    track = Track(words)
+    return [(start, end, text.strip()) for start, end, text in track.cues(episodes.by_width(track, most, gap)) if text.strip()]
 
 
 def raw_segments(words: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from storyloom.functions import text as T
 from storyloom.operators import audit, episodes, search, segments, spans, store
 from storyloom.sources import dimensions, pages, subtitles
 
@@ -66,6 +67,36 @@ def test_segmented_keeps_ascii_words_whole():
     words = [(0.0, 0.1, "中" * 19), (0.1, 0.2, "ab"), (0.2, 0.3, "cd")]
     assert [c[2] for c in segments.segmented(words)] == ["中" * 19, "abcd"]
     assert [c[2] for c in segments.segmented([(0, 1, "a"), (1.7, 2, "b"), (2.1, 3, "c")])] == ["a", "bc"]
+    assert [c[2] for c in segments.segmented([(0, 1, "a "), (1, 2, "pro"), (3, 4, "mpt")])] == ["a", "prompt"]
+    assert segments.segmented([]) == [] and segments.segmented([(0, 1, " ")]) == []
+
+
+def test_votes_by_either_plan(spark, monkeypatch):
+    rnd = random.Random(3)
+    rows_ = [(i, [rnd.choice("abcdefgh") for _ in range(rnd.choice([0, 3, 40, 300]))]) for i in range(30)] + [(30, None)]
+    refs_ = [(i, [rnd.choice("abcdefghxyz") for _ in range(rnd.choice([2, 4, 5, 9]))]) for i in range(12)]
+    docs, refs = spark.createDataFrame(rows_, "row_id long, units array<string>"), spark.createDataFrame(refs_, "ref_id long, units array<string>")
+    want = set()
+    for i, u in rows_:
+        for j, r in refs_:
+            for at in range(len(u or []) - len(r) + 1):
+                n = sum(x == y for x, y in zip(u[at:], r))
+                if len(r) >= 4 and 2 * n >= len(r):
+                    want.add((i, j, at, n, n / len(r)))
+    for limit, block in ((100_000, 2048), (0, 7)):
+        monkeypatch.setattr(audit, "BROADCAST_ROWS", limit)
+        monkeypatch.setattr(audit, "BLOCK_UNITS", block)
+        got = [tuple(r) for r in audit.votes(docs, refs).select("row_id", "ref_id", "at", "votes", "share").collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_similarity_with_a_bound(spark):
+    rnd = random.Random(8)
+    pairs = [("".join(rnd.choice("abc") for _ in range(rnd.randint(0, 12))), "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 12)))) for _ in range(300)] + [(None, "a"), ("a", None), ("", "")]
+    df = spark.createDataFrame(pairs, "a string, b string").select(T.similarity_ratio("a", "b").alias("full"), T.similarity_at_least("a", "b", 0.7).alias("s"))
+    found = df.select("full", "s.ratio", "s.matched").collect()
+    assert all(r.ratio == (r.full if r.full is not None and r.full >= 0.7 else None) for r in found)
+    assert 0 < sum(r.matched for r in found) < len(found) / 2
 
 
 def test_punctuated():
