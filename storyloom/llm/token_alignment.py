@@ -20,6 +20,7 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ MODEL_B = public_tokenizers.path("piece_bpe_32k.model")
 PIECE = re.compile(r"[ \t\n]*+[^ \t\n]++|[ \t\n]++")
 REMEMBERED, JOINED, LONG = 300_000, 5_000, 64
 #: Characters of text and links that are worked on together, and links of a chunk, after which the next one begins.
-BATCH_CHARS, CHUNK_LINKS = 2 << 20, 8_000_000
+BATCH_CHARS, CHUNK_LINKS = 2 << 20, 2_000_000
 BLANK = "▁"
 
 
@@ -196,8 +197,8 @@ class _Chunk:
         self.counts: list[np.ndarray] = []
 
     def add(self, joint: Joint) -> None:
-        held = np.unique(joint.documents() << np.uint64(32) | joint.key)
-        key = held.astype(np.uint32)
+        held = np.sort(joint.documents() << np.uint64(32) | joint.key)
+        key = held[np.diff(held, prepend=~held[:1]) != 0].astype(np.uint32)
         a = (key >> np.uint32(16)).astype(np.int64)
         foretold = self.same[a] == (key & np.uint32(0xFFFF)).astype(np.int64)
         self.vector += np.bincount(a[foretold], minlength=len(self.vector))
@@ -228,7 +229,7 @@ def _batches(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY_A, model: str = MODEL_B) -> DataFrame:
     """Rows of three kinds, written to the shared folder in a folder of each.
 
-    ``doc``: chunk, doc_id, ids of both sides (two bytes each), n_groups and groups_sha256 of each row of ``docs``; ``pairs``
+    ``doc``: chunk, doc_id, ids of both sides (two bytes each, as a zstd frame), n_groups and groups_sha256 of each row of ``docs``; ``pairs``
     and ``same``: each chunk's distinct pairs (a * 65,536 + b) beside the map and ids of A of pairs of the map, with the
     chunk's number of documents that hold them. Both files are read on the driver and sent out; they have a fixed size.
     """
@@ -245,7 +246,8 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY_A, model: str = MODEL_B
             joint = Joint(ids, pair.lengths_a, pair.lengths_b)
             chunk.add(joint)
             shas = joint.digests(shown_a, shown_b)
-            yield _record([("doc", chunk.number, i, a, b, int(n), sha, None, None) for (i, _), (a, b), n, sha in zip(some, ids, joint.groups, shas)])
+            packed = zstandard.ZstdCompressor(level=1).compress
+            yield _record([("doc", chunk.number, i, packed(a), packed(b), int(n), sha, None, None) for (i, _), (a, b), n, sha in zip(some, ids, joint.groups, shas)])
             if chunk.links >= CHUNK_LINKS:
                 yield _record(chunk.rows())
                 chunk = _Chunk(chunk.number + 1, pair.same)
@@ -301,11 +303,11 @@ def counted(encoded: DataFrame, vocabulary: str = VOCABULARY_A, model: str = MOD
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         lengths_a, lengths_b, same, vector, best = shared.value
         keys, ns = told.column("key").to_numpy().astype(np.uint32), told.column("n").to_numpy()
-        order = np.argsort(keys)
+        order, plain = np.argsort(keys), zstandard.ZstdDecompressor().decompress
         keys, ns = np.append(keys[order], np.uint32(0xFFFFFFFF)), np.append(ns[order], 0)
         parts = []
         for some in docs.select(["a", "b"]).to_batches(max_chunksize=256):
-            joint = Joint(list(zip(*(c.to_pylist() for c in some.columns))), lengths_a, lengths_b)
+            joint = Joint(list(zip(*([plain(x) for x in c.to_pylist()] for c in some.columns))), lengths_a, lengths_b)
             a = (joint.key >> np.uint32(16)).astype(np.int64)
             foretold = same[a] == (joint.key & np.uint32(0xFFFF)).astype(np.int64)
             n = np.where(foretold, vector[a], 0)
