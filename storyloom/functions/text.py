@@ -186,6 +186,36 @@ def numbered_line(number, seconds, text) -> Column:
     return F.concat_ws("|", number.cast("string"), clock_text(seconds), F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" ")))
 
 
+def caption_lines(text) -> Column:
+    """Lines of a caption: in corner brackets, further lines set in by a full-width space; empty lines go. Null without any."""
+    lines = F.filter(F.split(text, "\n"), lambda x: x != "")
+    return F.when(F.size(lines) > 0, F.concat(F.lit("「"), F.array_join(lines, "\n　"), F.lit("」")))
+
+
+def source_line(speaker, show, season, episode, title, seconds) -> Column:
+    """Where a caption is from: speaker (if there is one), show, season, episode, title and time."""
+    who = F.when(F.coalesce(speaker, F.lit("")) == "", "").otherwise(F.concat(speaker, F.lit("｜")))
+    number = F.format_string("S%02d ep%03d", season, episode)
+    return F.concat(F.lit("—— "), who, F.lit("《"), show, F.lit("》"), number, F.lit("〈"), title, F.lit("〉"), clock_text(seconds))
+
+
+def frame_times(start, end, count: int = 6, step: float = 0.5, window: float = 3.0) -> Column:
+    """``count`` times, ``step`` apart, around the middle of start and end, as an array with hundredths of a second.
+
+    A span longer than ``count`` steps is divided evenly, and the middle of each part counts. Else all times lie within
+    ``window`` of the span and not below 0, closer together where they would not fit. One time alone is the middle.
+    """
+    hundredths = lambda x: F.floor(x * 100 + 0.5) / 100
+    if count == 1:
+        return F.array(hundredths((start + end) / 2))
+    lo, hi = F.greatest(start - window, F.lit(0.0)), end + window
+    close = F.least(F.lit(step), (hi - lo) / (count - 1))
+    first = F.least(F.greatest((start + end) / 2 - close * (count - 1) / 2, lo), hi - close * (count - 1))
+    every = F.sequence(F.lit(0), F.lit(count - 1))
+    long_ = F.transform(every, lambda i: hundredths(start + (i + 0.5) * (end - start) / count))
+    return F.when(end - start > count * step, long_).otherwise(F.transform(every, lambda i: hundredths(first + i * close)))
+
+
 def clock_seconds(text) -> Column:
     """``m:ss`` or ``ss(.f)`` to seconds."""
     parts = F.split(text, ":")

@@ -58,6 +58,42 @@ def overlaps(a: DataFrame, b: DataFrame, key: str, bucket: float) -> DataFrame:
     return met.where(F.col("_b") == cut(F.greatest("a0", "b0"))).drop("_b")
 
 
+def merged(intervals: DataFrame, key: str, start: str, end: str, gap: float = 0.0) -> DataFrame:
+    """key, start and end of the unions of closed intervals that touch, or lie at most ``gap`` apart.
+
+    An interval opens a union if it starts beyond the latest end before it, by order of start. Empty ones (end before start) are left out.
+    """
+    w = W.partitionBy(key).orderBy(start, end)
+    real = intervals.where(F.col(start) <= F.col(end)).select(key, F.col(start).alias("start"), F.col(end).alias("end"))
+    latest = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
+    opened = real.withColumn("_o", F.when(F.col("start") <= latest + gap, 0).otherwise(1))
+    run = opened.withColumn("_r", F.sum("_o").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    return run.groupBy(key, "_r").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_r")
+
+
+def covered(a: DataFrame, b: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """key, a_seconds, b_seconds and both_seconds: how long either side's intervals are, each moment once, and where both are.
+
+    The starts and ends of both sides' unions are swept in order: between two of them a side is on or off. A key's
+    events are as many as its unions on both sides, twice.
+    """
+    sides = [merged(df, key, start, end).select(key, F.inline(F.array(F.struct(F.col("start").alias("at"), F.lit(one).alias("a"), F.lit(two).alias("b")), F.struct(F.col("end").alias("at"), F.lit(-one).alias("a"), F.lit(-two).alias("b"))))) for df, one, two in ((a, 1, 0), (b, 0, 1))]
+    events = sides[0].unionByName(sides[1]).groupBy(key, "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    w = W.partitionBy(key).orderBy("at")
+    on = events.select(key, F.sum("a").over(w).alias("a"), F.sum("b").over(w).alias("b"), (F.lead("at").over(w) - F.col("at")).alias("t"))
+    long_ = lambda c, name: F.coalesce(F.sum(F.when(c, F.col("t"))), F.lit(0.0)).alias(name)
+    return on.groupBy(key).agg(long_(F.col("a") > 0, "a_seconds"), long_(F.col("b") > 0, "b_seconds"), long_((F.col("a") > 0) & (F.col("b") > 0), "both_seconds"))
+
+
+def met_either_way(a: DataFrame, b: DataFrame, key: str, bucket: float) -> DataFrame:
+    """key, a_n, a_met, b_n and b_met: the intervals of either side (``overlaps`` has their columns) and how many of them meet one of the other."""
+    pairs = overlaps(a, b, key, bucket)
+    number = lambda df, cols, name: df.select(key, *cols).distinct().groupBy(key).agg(F.count("*").alias(name))
+    out = number(a, ["a0", "a1"], "a_n").join(number(b, ["b0", "b1"], "b_n"), key, "full")
+    out = out.join(number(pairs, ["a0", "a1"], "a_met"), key, "left").join(number(pairs, ["b0", "b1"], "b_met"), key, "left")
+    return out.select(key, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("a_n", "a_met", "b_n", "b_met")])
+
+
 def match_across(rows: DataFrame, needle: str, key: str, idx: str, text: str) -> DataFrame:
     """Rows that overlap the first occurrence of ``needle`` in the joined letters and digits of all rows of a key.
 

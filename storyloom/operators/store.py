@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .spans import span_text
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], version: str) -> DataFrame:
     """Rows of both tables, of each key the one with the highest version; on a tie the new one. One shuffle by key, combined before it."""
@@ -36,10 +38,21 @@ def changed(now: DataFrame, known: DataFrame, key: str, digest: str) -> DataFram
     return now.join(old, key, "left").where(~F.col(digest).eqNullSafe(F.col("_d"))).drop("_d")
 
 
-def pending(items: DataFrame, done: DataFrame, key: str, n: int = 0) -> DataFrame:
-    """Items without a finished counterpart, by name; the first n, or all for 0."""
-    left = items.join(done.select(key), key, "left_anti").orderBy(key)
-    return left.limit(n) if n else left
+def pending(items: DataFrame, done: DataFrame, key: str, n: int = 0, cached: DataFrame | None = None) -> DataFrame:
+    """Items without a finished counterpart, by name: the first n in order of the name, or all for 0.
+
+    ``cached`` (key and others) has what earlier stages left for some of them; its columns go along, null where there is
+    nothing. A name comes once there.
+    """
+    left = items.join(done.select(key), key, "left_anti")
+    left = left.orderBy(key).limit(n) if n else left
+    return left if cached is None else left.join(cached, key, "left")
+
+
+def reused(items: DataFrame, cache: DataFrame, key: str, stage: str) -> DataFrame:
+    """``items`` (key, stage: the key that the stage would have now) with the cached columns of those whose stage key is equal, and fresh, whether there are none."""
+    known = cache.withColumn("_hit", F.lit(True))
+    return items.join(known, [key, stage], "left").withColumn("fresh", F.col("_hit").isNull()).drop("_hit")
 
 
 def doc_digest(model: str, text):
@@ -58,12 +71,13 @@ def retired(files: DataFrame, name: str, pattern: str, keep: int) -> DataFrame:
     return dated.join(F.broadcast(newest), name, "left_anti")
 
 
-def dump(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> dict[str, int]:
-    """Writes each table as Parquet and returns the rows written, counted from the files."""
+def dump(tables: dict[str, DataFrame], path: str) -> dict[str, int]:
+    """Writes each table as Parquet and returns the rows written, which are counted as they are written."""
     out = {}
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-        out[name] = spark.read.parquet(f"{path}/{name}").count()
+        seen = Observation(f"dump {name}")
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/{name}")
+        out[name] = seen.get["n"]
     return out
 
 
@@ -87,6 +101,12 @@ def breaker(runs: DataFrame, key: str, order: str, failed: str, limit: int = 3)
     return rows.withColumn("_stop", stop).where(F.col("_stop").isNull() | (F.col(order) <= F.col("_stop"))).drop("_s", "_n", "_stop")
 
 
+def within_budget(runs: DataFrame, key: str, order: str, seconds: str, budget: float) -> DataFrame:
+    """``runs`` with started: whether a run still begins inside the budget, that is, whether the ones before it took less than ``budget`` seconds together."""
+    before = F.sum(seconds).over(W.partitionBy(key).orderBy(order).rowsBetween(W.unboundedPreceding, -1))
+    return runs.withColumn("started", F.coalesce(before, F.lit(0.0)) < budget)
+
+
 def token_cost(df: DataFrame, keys: list[str], prompt: str, answer: str, rates: tuple[float, float] = (0.14, 0.28)) -> DataFrame:
     """Cost of prompt and answer tokens at rates per million."""
     cost = F.sum(F.col(prompt) / 1e6 * rates[0] + F.col(answer) / 1e6 * rates[1])
@@ -115,6 +135,18 @@ def refresh_text(old: DataFrame, new: DataFrame, key: str, idx: str, times: list
     return joined.withColumn(text, F.when(F.col("_is"), F.col("_fresh")).otherwise(F.col(text))).select(*old.columns)
 
 
+def refresh_quotes(quotes: DataFrame, old: DataFrame, new: DataFrame, key: str, idx: str, times: list[str], text: str) -> DataFrame:
+    """``quotes`` (key, lo, hi, text and others) with the texts of refreshed episodes cut anew from their rows lo to hi.
+
+    A quote keeps everything else, as its rows and times are what they were. Quotes of other episodes stay as they are.
+    """
+    ready = refresh_status(old, new, key, idx, times, text).where("status = 'text'").select(key)
+    ranges = quotes.join(ready, key, "left_semi").select(key, "lo", "hi").distinct()
+    fresh = span_text(ranges, new, key, idx, text).select(key, "lo", "hi", F.col("text").alias("_fresh"))
+    joined = quotes.join(fresh, [key, "lo", "hi"], "left")
+    return joined.withColumn("text", F.coalesce("_fresh", "text")).select(*quotes.columns)
+
+
 def set_where(df: DataFrame, column: str, condition, value) -> DataFrame:
     """``df`` with ``column`` set to ``value`` where the condition holds."""
     return df.withColumn(column, F.when(condition, value).otherwise(F.col(column)))

@@ -11,7 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import audit, search, segments, spans, store
+from ..functions.shared import new_folder
+from ..operators import audit, search, segments, spans, store, versions
 from ..sources import dimensions, pages, subtitles
 
 QUERIES: dict = {}
@@ -705,13 +706,14 @@ def chunk_plan(spark, d):
 
 
 @query("frame_times", f"""
-WITH {WORDS_SQL} SELECT ep, pos, list_transform(range(6), lambda i: CASE WHEN "end" - start > 3.0 THEN floor((start + ("end" - start) * (i + 0.5::DOUBLE) / 6) * 100 + 0.5::DOUBLE) / 100 ELSE floor(greatest((start + "end") / 2 + (i - 2.5::DOUBLE) * 0.5::DOUBLE, 0) * 100 + 0.5::DOUBLE) / 100 END) AS times FROM words""")
+WITH {WORDS_SQL}, x AS (SELECT ep, pos, start AS s, start + ("end" - start) / 3 AS e FROM words),
+f AS (SELECT *, greatest(s - 0.5::DOUBLE, 0.0::DOUBLE) AS lo, e + 0.5::DOUBLE AS hi FROM x), c AS (SELECT *, least(0.4::DOUBLE, (hi - lo) / 5) AS c FROM f),
+g AS (SELECT *, least(greatest((s + e) / 2 - c * 5 / 2, lo), hi - c * 5) AS first FROM c)
+SELECT ep, pos, list_transform(range(6), lambda i: CASE WHEN e - s > 6 * 0.4::DOUBLE THEN floor((s + (i + 0.5::DOUBLE) * (e - s) / 6) * 100 + 0.5::DOUBLE) / 100 ELSE floor((first + i * c) * 100 + 0.5::DOUBLE) / 100 END) AS times FROM g""")
 def frame_times(spark, d):
-    """Six times half a second apart around a word's middle, or the middles of six parts of a long one."""
-    long_ = F.col("end") - F.col("start") > 3.0
-    cut = lambda x: F.floor(x * 100 + 0.5) / 100
-    at = lambda i: F.when(long_, cut(F.col("start") + (F.col("end") - F.col("start")) * (i + 0.5) / 6)).otherwise(cut(F.greatest((F.col("start") + F.col("end")) / 2 + (i - 2.5) * 0.5, F.lit(0.0))))
-    return words(spark, d).select("ep", "pos", F.transform(F.sequence(F.lit(0), F.lit(5)), at).alias("times"))
+    """Six times in or around a third of each word, inside half a second of it."""
+    w = words(spark, d).withColumn("end", F.col("start") + (F.col("end") - F.col("start")) / 3)
+    return w.select("ep", "pos", T.frame_times(F.col("start"), F.col("end"), 6, 0.4, 0.5).alias("times"))
 
 
 @query("offset_merge", f"""WITH {WORDS_SQL} SELECT ep, pos, round_even(start + ep * 1000.0, 3) AS start FROM words""")
@@ -938,3 +940,168 @@ def answer_schema(spark, d):
     """Answers as JSON by their schema, with a closed list and bounds."""
     e = table(spark, d, "events").select("event_id", "event_type", F.from_json("props", "k int")["k"].alias("k"))
     return e.select("event_id", "k", (F.col("event_type").isin("click", "view", "purchase") & F.coalesce(F.col("k").between(1, 50), F.lit(False))).alias("ok"))
+
+
+# --- tables replaced together, intervals of two sides, runs -------------------------------------------------
+
+
+@query("replace_library", """
+WITH t AS (SELECT conv_id AS ep, turn AS idx, text, role FROM conversations),
+n AS (SELECT ep, idx, CASE WHEN ep % 3 = 0 THEN 'new: ' || text ELSE text END AS text FROM t WHERE NOT (ep % 3 = 0 AND role = 'user') AND ep % 7 <> 3),
+e AS (SELECT ep, count(*) AS turns FROM t WHERE ep % 7 <> 3 GROUP BY 1)
+SELECT ep, turns, count(idx) AS n, md5(coalesce(string_agg(text, chr(10) ORDER BY idx), '')) AS digest FROM e LEFT JOIN n USING (ep) GROUP BY 1, 2""")
+def replace_library(spark, d):
+    """Conversations and their turns as two tables; every third one is replaced in both, every seventh deleted from both, and both are read again."""
+    c = table(spark, d, "conversations").select(F.col("conv_id").alias("ep"), F.col("turn").alias("idx"), "text", "role")
+    eps = c.groupBy("ep").agg(F.count("*").alias("turns"))
+    root = new_folder(spark, "library")
+    versions.replace(spark, root, {"episodes": eps, "turns": c.drop("role")}, "ep")
+    new = c.where("ep % 3 = 0 AND role <> 'user'").select("ep", "idx", F.concat(F.lit("new: "), "text").alias("text"))
+    versions.replace(spark, root, {"episodes": eps.where("ep % 3 = 0"), "turns": new}, "ep")
+    now = versions.replace(spark, root, {}, "ep", keys=eps.where("ep % 7 = 3"))
+    lists = now.table("turns").groupBy("ep").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("idx", "text"))).alias("x"))
+    joined = now.table("episodes").join(lists, "ep", "left")
+    digest = F.md5(F.coalesce(F.array_join(F.transform("x", lambda x: x["text"]), "\n"), F.lit("")))
+    return joined.select("ep", "turns", F.coalesce("n", F.lit(0)).cast("long").alias("n"), digest.alias("digest"))
+
+
+@query("refresh_quotes", f"""{REFRESH_SQL}, q AS (SELECT ep, idx AS lo, idx + 1 AS hi, 'q' || idx AS tag FROM cues WHERE idx % 2 = 0),
+p AS (SELECT q.ep, lo, hi, tag, string_agg(CASE WHEN status = 'text' THEN translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') ELSE text END, chr(10) ORDER BY idx) AS text
+  FROM q JOIN cues c ON q.ep = c.ep AND idx BETWEEN lo AND hi JOIN s ON s.ep = q.ep GROUP BY ALL)
+SELECT ep, lo, hi, tag, md5(text) AS digest FROM p""")
+def refresh_quotes(spark, d):
+    """Quotes of two cues keep what is known of them; those of refreshed episodes are cut anew."""
+    c = cues(spark, d)
+    ranges = c.where("idx % 2 = 0").select("ep", F.col("idx").alias("lo"), (F.col("idx") + 1).alias("hi"), F.concat(F.lit("q"), "idx").alias("tag"))
+    quotes = ranges.join(spans.span_text(ranges.select("ep", "lo", "hi"), c, "ep", "idx", "text"), ["ep", "lo", "hi"])
+    done = store.refresh_quotes(quotes.select("ep", "lo", "hi", "tag", "text"), c, _revised(c), "ep", "idx", ["start", "end"], "text")
+    return done.select("ep", "lo", "hi", "tag", F.md5("text").alias("digest"))
+
+
+TWO_SIDES_SQL = f"""{WORDS_SQL}, a AS (SELECT ep, start AS s, "end" AS e FROM words WHERE text IN ('click', 'error')), b AS (SELECT ep, start AS s, start + ("end" - start) * 3 AS e FROM words WHERE text NOT IN ('click', 'error'))"""
+
+
+def two_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    w, one = words(spark, d).select("ep", "start", "end", "text"), F.col("text").isin("click", "error")
+    return w.where(one).drop("text"), w.where(~one).select("ep", "start", (F.col("start") + (F.col("end") - F.col("start")) * 3).alias("end"))
+
+
+@query("span_coverage", f"""
+WITH {TWO_SIDES_SQL}, u AS (SELECT 'a' AS side, * FROM a UNION ALL SELECT 'b', * FROM b),
+o AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY side, ep ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS o FROM u),
+m AS (SELECT side, ep, min(s) AS s, max(e) AS e FROM (SELECT *, sum(o) OVER (PARTITION BY side, ep ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS r FROM o) GROUP BY side, ep, r),
+w AS (SELECT x.ep, sum(least(x.e, y.e) - greatest(x.s, y.s)) AS t FROM m x JOIN m y ON x.ep = y.ep AND x.side = 'a' AND y.side = 'b' AND x.s < y.e AND y.s < x.e GROUP BY 1)
+SELECT ep, round(coalesce(sum(CASE WHEN side = 'a' THEN e - s END), 0), 3)::DOUBLE AS a_seconds, round(coalesce(sum(CASE WHEN side = 'b' THEN e - s END), 0), 3)::DOUBLE AS b_seconds, round(coalesce(any_value(t), 0), 3)::DOUBLE AS both_seconds
+FROM m LEFT JOIN w USING (ep) GROUP BY ep""")
+def span_coverage(spark, d):
+    """How long two kinds of words last, each moment once, and how long both do."""
+    a, b = two_sides(spark, d)
+    return spans.covered(a, b, "ep", "start", "end").select("ep", *[F.round(c, 3).alias(c) for c in ("a_seconds", "b_seconds", "both_seconds")])
+
+
+@query("spans_met", f"""
+WITH {TWO_SIDES_SQL}, x AS (SELECT DISTINCT * FROM a), y AS (SELECT DISTINCT * FROM b),
+p AS (SELECT ep, count(*) AS n, count(*) FILTER (EXISTS (SELECT 1 FROM y WHERE y.ep = x.ep AND y.s <= x.e AND x.s <= y.e)) AS met FROM x GROUP BY 1),
+q AS (SELECT ep, count(*) AS n, count(*) FILTER (EXISTS (SELECT 1 FROM x WHERE y.ep = x.ep AND y.s <= x.e AND x.s <= y.e)) AS met FROM y GROUP BY 1)
+SELECT ep, coalesce(p.n, 0) AS a_n, coalesce(p.met, 0) AS a_met, coalesce(q.n, 0) AS b_n, coalesce(q.met, 0) AS b_met FROM p FULL JOIN q USING (ep)""")
+def spans_met(spark, d):
+    """How many intervals of either side meet one of the other."""
+    a, b = two_sides(spark, d)
+    named = lambda df, x: df.select("ep", F.col("start").alias(f"{x}0"), F.col("end").alias(f"{x}1"))
+    return spans.met_either_way(named(a, "a"), named(b, "b"), "ep", 30.0)
+
+
+@query("run_budget", """
+SELECT user_id, event_id, coalesce(sum(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 1500 AS started FROM events""")
+def run_budget(spark, d):
+    """Which of a user's events begin within 1,500 seconds of work."""
+    return store.within_budget(table(spark, d, "events").select("user_id", "event_id", "value"), "user_id", "event_id", "value", 1500.0).select("user_id", "event_id", "started")
+
+
+@query("pending_cached", """
+SELECT d.doc_id, CASE WHEN d.doc_id % 2 = 0 THEN md5(text) END AS digest FROM documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM labels)""")
+def pending_cached(spark, d):
+    """Documents that have no label, with what an earlier stage left for the even ones."""
+    docs = table(spark, d, "documents")
+    return store.pending(docs.select("doc_id"), table(spark, d, "labels"), "doc_id", cached=docs.where("doc_id % 2 = 0").select("doc_id", F.md5("text").alias("digest")))
+
+
+@query("reused_stage", """
+SELECT conv_id * 1000 + turn AS id, role <> 'user' AS fresh, CASE WHEN role = 'user' THEN md5(text) END AS digest FROM conversations""")
+def reused_stage(spark, d):
+    """Results of a stage under the key of its inputs; those of other turns than users' were made from another text."""
+    c = table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "role", "text")
+    key = store.stage_key(F.col("id"), F.col("text"))
+    old = c.select("id", store.stage_key(F.col("id"), F.when(F.col("role") == "user", F.col("text")).otherwise("x").alias("text")).alias("key"), F.md5("text").alias("digest"))
+    return store.reused(c.select("id", key.alias("key")), old, "id", "key").select("id", "fresh", "digest")
+
+
+# --- small rules ---------------------------------------------------------------------------------------------
+
+
+@query("caption_lines", """
+WITH l AS (SELECT conv_id, turn, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS l FROM conversations)
+SELECT conv_id, turn, CASE WHEN len(l) > 0 THEN md5('「' || array_to_string(l, chr(10) || '　') || '」') END AS digest FROM l""")
+def caption_lines(spark, d):
+    return table(spark, d, "conversations").select("conv_id", "turn", F.md5(T.caption_lines(F.col("text"))).alias("digest"))
+
+
+@query("source_lines", """
+SELECT conv_id, turn, '—— ' || CASE WHEN role = 'user' THEN '' ELSE role || '｜' END || '《Show》' || printf('S%02d ep%03d', conv_id % 9, conv_id) || '〈' || left(text, 5) || '〉' || (turn * 95 // 60) || ':' || lpad((turn * 95 % 60)::VARCHAR, 2, '0') AS line FROM conversations""")
+def source_lines(spark, d):
+    who = F.when(F.col("role") != "user", F.col("role"))
+    line = T.source_line(who, F.lit("Show"), F.col("conv_id") % 9, F.col("conv_id"), F.substring("text", 1, 5), F.col("turn") * 95)
+    return table(spark, d, "conversations").select("conv_id", "turn", line.alias("line"))
+
+
+@query("strip_leading", f"""
+WITH {CUES_SQL}, b AS (SELECT ep, idx, start, "end", regexp_replace(CASE WHEN idx % 2 = 0 THEN '，！ ' || text WHEN idx % 3 = 0 THEN '?!' ELSE text END, '^[，,、；;：:。！？!?]+\\s*', '') AS text FROM cues)
+SELECT ep, row_number() OVER (PARTITION BY ep ORDER BY start, "end", idx)::INT AS idx, start, md5(text) AS digest FROM b WHERE trim(text) <> ''""")
+def strip_leading(spark, d):
+    """Cues of which every second begins with marks and some are marks alone."""
+    marked = F.when(F.col("idx") % 2 == 0, F.concat(F.lit("，！ "), "text")).when(F.col("idx") % 3 == 0, F.lit("?!")).otherwise(F.col("text"))
+    return segments.strip_leading(cues(spark, d).withColumn("text", marked)).select("ep", "idx", "start", F.md5("text").alias("digest"))
+
+
+VARIANTS_SQL = "translate(text, 'aeiou', '她牠得妳哪')"
+
+
+@query("canonical_variants", f"SELECT doc_id, md5(translate({VARIANTS_SQL}, '她牠得妳哪', '他他的你那')) AS digest FROM documents")
+def canonical_variants(spark, d):
+    """Texts whose vowels are written as Han variants, each as the first of its set."""
+    return table(spark, d, "documents").select("doc_id", F.md5(T.canonical_variants(F.translate("text", "aeiou", "她牠得妳哪"))).alias("digest"))
+
+
+@query("close_syllables", """
+WITH w AS (SELECT event_id, event_type AS a, lead(event_type) OVER (ORDER BY event_id) AS b FROM events), i AS (SELECT *, '^(zh|ch|sh|[bpmfdtnlgkhjqxrzcsyw])?' AS first FROM w)
+SELECT event_id, a = b OR regexp_extract(a, first) = regexp_extract(b, first) OR regexp_replace(a, first, '') = regexp_replace(b, first, '') AS close FROM i WHERE b IS NOT NULL""".replace("OVER (ORDER BY event_id)", "OVER (PARTITION BY user_id ORDER BY event_id)"))
+def close_syllables(spark, d):
+    """Whether a user's events and the next ones have the same beginning or the same rest."""
+    e = table(spark, d, "events").withColumn("b", F.lead("event_type").over(W.partitionBy("user_id").orderBy("event_id"))).where("b IS NOT NULL")
+    return e.select("event_id", T.close_syllables(F.col("event_type"), F.col("b")).alias("close"))
+
+
+@query("quoted_fragment", """
+WITH f AS (SELECT conv_id, turn, text, split_part(text, ' ', 2) AS q, CASE WHEN turn % 3 = 0 THEN 'unheard of' ELSE split_part(text, ' ', 3) END AS s FROM conversations)
+SELECT conv_id, turn, md5(CASE WHEN q <> '' AND NOT regexp_matches(q, '[「」『』"“”]') AND q <> s THEN q WHEN contains(text, s) THEN NULL ELSE text END) AS digest FROM f""")
+def quoted_fragment(spark, d):
+    """What a remark on a turn quotes from it: here its second word, in corner brackets."""
+    c = table(spark, d, "conversations").withColumn("q", F.split_part("text", F.lit(" "), F.lit(2)))
+    c = c.withColumn("detail", F.concat(F.lit("should be 「"), "q", F.lit("」"))).withColumn("s", F.when(F.col("turn") % 3 == 0, "unheard of").otherwise(F.split_part("text", F.lit(" "), F.lit(3))))
+    return c.select("conv_id", "turn", F.md5(audit.quoted_fragment("text", "detail", "s")).alias("digest"))
+
+
+@query("preflight", """
+SELECT doc_id, lang <> 'de' AND n_chars * 4000000 <= 8 * 1024 * 1024 * 1024::BIGINT AS ok FROM documents""")
+def preflight(spark, d):
+    """Documents as files of some megabytes a character, German ones as no videos."""
+    files = table(spark, d, "documents").select("doc_id", F.when(F.col("lang") == "de", "audio/mp3").otherwise("video/mp4").alias("mimeType"), (F.col("n_chars") * 4000000).alias("size"))
+    return pages.preflight(files).select("doc_id", "ok")
+
+
+@query("episode_names", """
+SELECT conv_id, turn, CASE WHEN turn % 4 <> 3 THEN conv_id % 9 + 1 END::INT AS season, CASE WHEN turn % 4 <> 3 THEN conv_id + 1 END::INT AS episode, CASE WHEN turn % 4 <> 3 THEN role || '／' || turn END AS title FROM conversations""")
+def episode_names(spark, d):
+    """Names of files by season, episode and title; those of another form have none."""
+    name = F.concat(F.lit("Show_S"), F.col("conv_id") % 9 + 1, F.when(F.col("turn") % 4 == 3, "_e").otherwise("_ep"), F.col("conv_id") + 1, F.lit("_("), "role", F.lit("_"), "turn", F.lit(").srt"))
+    return table(spark, d, "conversations").select("conv_id", "turn", *pages.episode_name(name))

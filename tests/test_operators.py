@@ -307,7 +307,7 @@ def test_partitions_and_dump(spark, tmp_path):
     store.write_partitions(df, f"{tmp_path}/t", "stem")
     store.write_partitions(df.where("stem = 'a'").withColumn("v", F.lit(9)), f"{tmp_path}/t", "stem")
     assert rows(spark.read.parquet(f"{tmp_path}/t").select("v", "stem"), "stem") == [(9, "a"), (2, "b")]
-    assert store.dump(spark, {"x": df}, f"{tmp_path}/dump") == {"x": 2}
+    assert store.dump({"x": df}, f"{tmp_path}/dump") == {"x": 2}
 
 
 def test_breaker_and_retention(spark):
