@@ -312,7 +312,7 @@ def _bounded(pairs: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterato
             matched = matcher is not None and matcher.quick_ratio() >= low
             found = matcher.ratio() if matched else None
             rows.append((found if matched and found >= low else None, matched))
-        yield pd.DataFrame(rows, columns=["ratio", "matched"]).astype({"ratio": "float64"})
+        yield pd.DataFrame(rows, columns=["ratio", "matched"]).astype({"ratio": "Float64"})
 
 
 def similarity_at_least(a, b, least: float) -> Column:
@@ -321,6 +321,7 @@ def similarity_at_least(a, b, least: float) -> Column:
     No ratio is above twice the shorter length over both lengths, which Spark compares first, nor above twice the number of
     characters they have in common in any order, which is counted before they are matched.
     """
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
     lengths = F.length(a) + F.length(b)
     fits = F.when(lengths == 0, True).otherwise(2 * F.least(F.length(a), F.length(b)) >= least * lengths)
     other = F.when(fits, b)  # a null side is not looked at

@@ -12,6 +12,7 @@ from itertools import accumulate
 
 import numpy as np
 
+from ..functions.patterns import Patterns
 from ..functions.text import SENTENCE_END, SOFT_BREAK, TURN, fold, width
 
 Cue = tuple[float, float, str]
@@ -275,35 +276,36 @@ def aligned(words: list[Cue], lines: list[str], anchor: int = 4) -> list[Cue] |
     return out
 
 
-def corrected(texts: list[str], pairs: list[tuple[str, str]]) -> tuple[list[str], list[int]]:
+def corrected(texts: list[str], pairs: list[tuple[str, str]], known: Patterns) -> tuple[list[str], list[int]]:
     """Texts in which each wrong spelling is overwritten character by character, over the borders of texts too, and how many begin in each.
 
-    Spellings are found without case, spaces and punctuation, which stay where they are. Only pairs of one length are used.
+    ``pairs`` have a folded wrong spelling each (``known`` is an automaton over them) and a right one of its length. They are
+    found in the texts as they came, without case, spaces and punctuation, which stay where they are; where two overlap, the
+    later pair's characters stand. A spelling one of whose folded characters comes from the same place as another is left.
     """
     chars, hits = [list(t) for t in texts], [0] * len(texts)
-    for wrong, right in pairs:
-        wanted = fold(wrong)[0]
-        if not wanted or len(wanted) != len(right):
-            continue
-        folded = [fold("".join(x)) for x in chars]
-        spots = [(w, at) for w, (_, places) in enumerate(folded) for at in places]
-        joined, k = "".join(n for n, _ in folded), 0
-        while (k := joined.find(wanted, k)) >= 0:
+    folded = [fold(t) for t in texts]
+    joined = "".join(n for n, _ in folded)
+    spots = [(w, at) for w, (_, places) in enumerate(folded) for at in places]
+    for i in known.present(joined):
+        wanted, right = pairs[i]
+        k = joined.find(wanted)
+        while k >= 0:
             own = spots[k : k + len(wanted)]
-            if len(set(own)) == len(own) and any(chars[w][at] != c for (w, at), c in zip(own, right)):
+            if len(set(own)) == len(own):
                 hits[own[0][0]] += 1
                 for (w, at), c in zip(own, right):
                     chars[w][at] = c
-            k += len(wanted)
+            k = joined.find(wanted, k + len(wanted))
     return ["".join(x) for x in chars], hits
 
 
-def touched(texts: list[str], phrases: list[str]) -> set[int]:
-    """Numbers of the texts that an occurrence of a folded phrase touches; occurrences of one phrase do not overlap."""
+def touched(texts: list[str], known: Patterns) -> set[int]:
+    """Numbers of the texts that an occurrence of a folded phrase of ``known`` touches; occurrences of one phrase do not overlap."""
     bare = [fold(t)[0] for t in texts]
     owner, joined, out = np.repeat(np.arange(len(texts)), [len(x) for x in bare]), "".join(bare), set()
-    for phrase in phrases:
-        at = joined.find(phrase) if phrase else -1
+    for phrase in (known.terms[i] for i in known.present(joined)):
+        at = joined.find(phrase)
         while at >= 0:
             out.update(owner[at : at + len(phrase)].tolist())
             at = joined.find(phrase, at + len(phrase))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.patterns import Patterns
 from ..functions.text import SOFT_BREAK, ascii_lower, display_width, fold, letters_and_digits, width
 from . import episodes
 from .episodes import Cue, Track
@@ -101,28 +102,50 @@ def strip_leading(cues: DataFrame) -> DataFrame:
 
 
 def drop_phrases(words: DataFrame, phrases: list[str]) -> DataFrame:
-    """Words of an episode that no occurrence of a phrase touches; phrases are compared without case, spaces and punctuation."""
-    wanted = [fold(x)[0] for x in phrases]
+    """Words of an episode that no occurrence of a phrase touches; phrases are compared without case, spaces and punctuation.
+
+    All phrases are looked for in one pass over an episode; the list, a configuration, is sent out once.
+    """
+    shared = words.sparkSession.sparkContext.broadcast([fold(x)[0] for x in phrases])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
-        gone = episodes.touched(list(pdf.text.fillna("")), wanted)
+        gone = episodes.touched(list(pdf.text.fillna("")), _patterns(shared))
         return pdf[[i not in gone for i in range(len(pdf))]]
 
     return words.groupBy("ep").applyInPandas(run, words.schema)
 
 
 def correct_words(words: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Words with wrong spellings overwritten in place, over the borders of words too; adds hits, the corrections that begin in a word. Times stay."""
+    """Words with wrong spellings overwritten in place, over the borders of words too; adds hits, the corrections that begin in a word. Times stay.
+
+    Only pairs (wrong, right) whose right spelling is as long as the folded wrong one are used. All are looked for in one pass
+    over an episode; the list, a configuration, is sent out once.
+    """
+    fit = [(n, right) for n, right in ((fold(wrong)[0], right) for wrong, right in pairs) if n and len(n) == len(right)]
+    shared = words.sparkSession.sparkContext.broadcast([n for n, _ in fit])
+    rights = words.sparkSession.sparkContext.broadcast(fit)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
-        texts, hits = episodes.corrected(list(pdf.text.fillna("")), pairs)
+        texts, hits = episodes.corrected(list(pdf.text.fillna("")), rights.value, _patterns(shared))
         return pdf.assign(text=texts, hits=hits)
 
     return words.groupBy("ep").applyInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in words.schema)}, hits long")
 
 
+_KNOWN: dict[tuple[str, ...], Patterns] = {}
+
+
+def _patterns(shared) -> Patterns:
+    """The automaton of a list that was sent out, kept for a worker's next episodes."""
+    key = tuple(shared.value)
+    if key not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[key] = Patterns(list(key))
+    return _KNOWN[key]
+
+
 # --- lines ------------------------------------------------------------------------------------------
 
 

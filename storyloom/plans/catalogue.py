@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import patterns
 from ..functions import text as T
 from ..functions.shared import new_folder
 from ..operators import audit, search, segments, spans, store, versions
@@ -433,6 +434,20 @@ def glossary_replace(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(text).alias("digest"), n.alias("n"))
 
 
+@query("glossary_many", """
+WITH RECURSIVE w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[a-z]{3,}')) AS w FROM benchmark),
+t AS (SELECT row_number() OVER (ORDER BY len(w) DESC, w) AS i, w, reverse(w) AS r FROM w WHERE w <> reverse(w)), n AS (SELECT count(*) AS n FROM t),
+rec(doc_id, k, text, n) AS (SELECT doc_id, 0, text, 0 FROM documents UNION ALL
+  SELECT doc_id, k + 1, replace(rec.text, w, r), rec.n + (len(rec.text) - len(replace(rec.text, w, ''))) // len(w) FROM rec JOIN t ON i = k + 1)
+SELECT doc_id, md5(text) AS digest, rec.n::BIGINT AS n FROM rec, n WHERE k = n.n""")
+def glossary_many(spark, d):
+    """Every word of the benchmark turned round in all documents, one pass."""
+    lists = table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]{3,}"), F.lit(0))).alias("w")).distinct()
+    terms = [r.w for r in lists.orderBy("w").collect()]  # a glossary, which is a configuration
+    out = patterns.replace_glossary(table(spark, d, "documents").select("doc_id", "text"), "text", [(w, w[::-1]) for w in terms], passes=1)
+    return out.select("doc_id", F.md5("text").alias("digest"), F.col("replaced").alias("n"))
+
+
 @query("full_width_marks")
 def full_width_marks(spark, d):
     """Look-behind, which the oracle's engine has not; covered by tests."""
