@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from storyloom.functions import text as T
+from storyloom.functions.patterns import Patterns
 from storyloom.operators import audit, episodes, search, segments, spans, store
 from storyloom.sources import dimensions, pages, subtitles
 
@@ -135,9 +136,13 @@ def test_aligned_lines_keep_order_and_text(parts, data):
 
 
 def test_corrections_in_place(spark):
-    fixed = episodes.corrected(["快來", "喝", "，", "咖", "非吧 Coffe"], [("咖非", "咖啡"), ("COFFE", "茶茶茶茶茶"), ("喝", "喝茶")])
+    def corrected(texts, pairs):
+        fit = [(n, right) for n, right in ((T.fold(w)[0], right) for w, right in pairs) if len(n) == len(right)]
+        return episodes.corrected(texts, fit, Patterns([n for n, _ in fit]))
+
+    fixed = corrected(["快來", "喝", "，", "咖", "非吧 Coffe"], [("咖非", "咖啡"), ("COFFE", "茶茶茶茶茶"), ("喝", "喝茶")])
     assert fixed == (["快來", "喝", "，", "咖", "啡吧 茶茶茶茶茶"], [0, 0, 0, 1, 1])
-    assert episodes.corrected(["咖，", "非"], [("咖非", "咖啡")])[0] == ["咖，", "啡"]
+    assert corrected(["咖，", "非"], [("咖非", "咖啡")])[0] == ["咖，", "啡"]
     words = spark.createDataFrame([(1, 0, "咖", 0.0, 1.0), (1, 1, "非", 1.0, 2.0), (2, 0, None, 0.0, 1.0)], WORDS)
     assert rows(segments.correct_words(words, [("咖非", "咖啡")]).select("ep", "pos", "text", "end", "hits"), "ep", "pos") == [(1, 0, "咖", 1.0, 1), (1, 1, "啡", 2.0, 0), (2, 0, "", 1.0, 0)]
 
