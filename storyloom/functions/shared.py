@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,6 +23,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/storyloom/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, for steps that use it several times; an executor that is lost takes nothing of it along."""
+    path = new_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Files:
     """Files of one store by Hadoop's own client, which reaches every store that Spark reads."""
 
