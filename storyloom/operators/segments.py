@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from itertools import groupby, islice
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -311,6 +312,42 @@ def chunks(words: DataFrame, size: int = 1500, hard: int = 3000, pause: float =
     return words.select("ep", "pos", "start", "end", "text").groupBy("ep").applyInPandas(run, "ep long, chunk int, text string")
 
 
+def polish_windows(words: DataFrame, size: int = 1800) -> DataFrame:
+    """``words`` with window, from 0: windows follow each other without overlap, and one closes with the word that brings its characters to ``size``."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos")
+        upto = np.cumsum(pdf.text.fillna("").str.len().to_numpy())
+        opens, at = np.zeros(len(pdf), bool), 0
+        while at < len(pdf):
+            opens[at] = True
+            at = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size)) + 1
+        return pdf.assign(window=(np.cumsum(opens) - 1).astype("int32"))
+
+    return words.groupBy("ep").applyInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in words.schema)}, window int")
+
+
+def stitched(words: DataFrame, answers: DataFrame) -> DataFrame:
+    """Cues of the words (with window) of each episode: the corrected lines of the answers (ep, window, pos, text) where a window has some that can be aligned with it, else cues by pause and width.
+
+    Windows stand for themselves, so that an episode is no larger than its largest window here; one whose answer was refused has
+    no lines. Cues are numbered through the episode, in order of windows.
+    """
+
+    def run(word_pdf: pd.DataFrame, line_pdf: pd.DataFrame) -> pd.DataFrame:
+        if word_pdf.empty:
+            return _frame(None, []).assign(window=0)
+        pieces = _pieces(word_pdf, "pos")
+        lines = list(line_pdf.sort_values("pos").text.fillna(""))
+        found = episodes.aligned(pieces, lines) if lines else None
+        return _frame(word_pdf.ep.iloc[0], segmented(pieces) if found is None else found).assign(window=word_pdf.window.iloc[0])
+
+    own = words.select("ep", "window", "pos", "start", "end", "text").groupBy("ep", "window")
+    cues = own.cogroup(answers.select("ep", "window", "pos", "text").groupBy("ep", "window")).applyInPandas(run, f"{CUE}, window int")
+    number = F.row_number().over(W.partitionBy("ep").orderBy("window", "idx"))
+    return cues.select("ep", number.alias("idx"), "start", "end", "text")
+
+
 def _finished(cues: list[Cue], words: list[Cue]) -> list[Cue]:
     track = Track(cues)
     held = Track(_held(track.cues(episodes.without_fragments(track)), words, 0.5, 12.0))

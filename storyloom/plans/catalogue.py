@@ -404,6 +404,40 @@ def width_segments(spark, d):
     return segments.raw_segments(spaced(spark, d))
 
 
+WINDOWS_SQL = f"""{SPACED_SQL},
+wr(ep, pos, win, n) AS (SELECT ep, pos, 0, len(text) FROM t WHERE pos = 1 UNION ALL
+  SELECT t.ep, t.pos, CASE WHEN n >= 120 THEN win + 1 ELSE win END, CASE WHEN n >= 120 THEN len(t.text) ELSE n + len(t.text) END FROM wr JOIN t ON t.ep = wr.ep AND t.pos = wr.pos + 1),
+x AS (SELECT t.*, win, row_number() OVER (PARTITION BY t.ep, win ORDER BY t.pos) AS k FROM t JOIN wr ON t.ep = wr.ep AND t.pos = wr.pos)"""
+
+
+@query("polish_windows", f"WITH {WINDOWS_SQL} SELECT ep, win AS \"window\", count(*) AS n, string_agg(text, '' ORDER BY pos) AS text FROM x GROUP BY 1, 2")
+def polish_windows(spark, d):
+    """Words in windows of 120 characters."""
+    w = segments.polish_windows(spaced(spark, d), 120)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "")
+    return w.groupBy("ep", "window").agg(F.count("*").alias("n"), joined.alias("text"))
+
+
+@query("stitched_cues", f"""
+WITH {WINDOWS_SQL},
+g AS (SELECT *, text NOT LIKE '% ' AS open, sum(len(text) / 2) OVER w AS upto, start - lag("end") OVER w > 0.6 AS late FROM x WHERE win % 2 = 1 WINDOW w AS (PARTITION BY ep, win ORDER BY k)),
+p AS (SELECT *, coalesce(max(CASE WHEN NOT glued THEN k END) OVER (PARTITION BY ep, win ORDER BY k), 1) AS run FROM (SELECT *, coalesce(lag(open) OVER (PARTITION BY ep, win ORDER BY k), false) AS glued FROM g)),
+rec(ep, win, k, a) AS (SELECT ep, win, 1::BIGINT, 1::BIGINT FROM p WHERE k = 1 UNION ALL
+  SELECT p.ep, p.win, p.k, CASE WHEN p.late OR p.upto - o.upto + len(o.text) / 2 > 20 THEN CASE WHEN p.run > a THEN p.run ELSE p.k END ELSE a END
+  FROM rec JOIN p ON p.ep = rec.ep AND p.win = rec.win AND p.k = rec.k + 1 JOIN p o ON o.ep = rec.ep AND o.win = rec.win AND o.k = a),
+c AS (SELECT ep, win, a, lead(a, 1, 1000000000) OVER (PARTITION BY ep, win ORDER BY a) AS b FROM (SELECT DISTINCT ep, win, a FROM rec)
+  UNION ALL SELECT DISTINCT ep, win, (k - 1) // 5 * 5 + 1, (k - 1) // 5 * 5 + 6 FROM x WHERE win % 2 = 0),
+j AS (SELECT c.ep, c.win, a, min(start) AS start, arg_max("end", k) AS "end", string_agg(text, '' ORDER BY k) AS text FROM c JOIN x ON x.ep = c.ep AND x.win = c.win AND k >= a AND k < b GROUP BY 1, 2, 3)
+SELECT ep, row_number() OVER (PARTITION BY ep ORDER BY win, a)::INT AS idx, round(start, 5) AS start, round("end", 5) AS "end", CASE WHEN win % 2 = 1 THEN trim(text) ELSE text END AS text FROM j""")
+def stitched_cues(spark, d):
+    """Every second window came back in lines of five words, the others were refused."""
+    w = segments.polish_windows(spaced(spark, d), 120)
+    k = F.row_number().over(W.partitionBy("ep", "window").orderBy("pos"))
+    each = w.where("window % 2 = 0").select("ep", "window", F.floor((k - 1) / 5).cast("int").alias("line"), F.struct("pos", "text").alias("x"))
+    lines = each.groupBy("ep", "window", F.col("line").alias("pos")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["text"]), "").alias("text"))
+    return segments.stitched(w, lines).select("ep", "idx", F.round("start", 5).alias("start"), F.round("end", 5).alias("end"), "text")
+
+
 @query("merge_short_cues")
 def merge_short_cues(spark, d):
     return segments.merge_short(segments.raw_segments(words(spark, d)))
