@@ -21,6 +21,8 @@ from ..functions.text import SOFT_BREAK, ascii_lower, display_width, fold, lette
 from . import episodes
 from .episodes import Cue, Track
 
+#: Words of a part of an episode, and a pause beyond every limit of the rules.
+PART_WORDS, PART_PAUSE = 5000, 2.0
 CUE = "ep long, idx int, start double, end double, text string"
 
 
@@ -354,15 +356,41 @@ def _finished(cues: list[Cue], words: list[Cue]) -> list[Cue]:
     return [(s, e, wrapped(t)) for s, e, t in held.cues(episodes.without_unreadable(held))]
 
 
-def cue_pipeline(words: DataFrame, texts: DataFrame | None = None) -> DataFrame:
-    """Words to cues in one pass per episode: cut by pause and width, or by the punctuated text (ep, text) if there is one; fragments absorbed, durations held, unreadable ones merged, lines wrapped."""
-    own = words.select("ep", "pos", "start", "end", "text").groupBy("ep")
+def episode_parts(words: DataFrame, size: int) -> DataFrame:
+    """``words`` with part: runs of about ``size`` words that begin where no rule of cue_pipeline looks to the other side.
+
+    Such a place has a pause longer than every rule's limit before it, by the latest end so far; nothing that comes later starts
+    or ends earlier than its word; the words on both sides are no fragments, do not make up one word, and the one after
+    it is long enough to be read. Then the cue before it and the one that begins there are neither merged nor given time from
+    each other. A part is longer than ``size`` only where there is no such place.
+    """
+    w = W.partitionBy("ep").orderBy("pos")
+    before, after = w.rowsBetween(W.unboundedPreceding, -1), w.rowsBetween(0, W.unboundedFollowing)
+    bare = lambda c: display_width(F.trim(F.coalesce(c, F.lit("")))) >= episodes.FRAGMENT
+    last = F.lag("text").over(w)
+    glued = last.rlike(r"[A-Za-z0-9]\z") & F.col("text").rlike(r"\A[A-Za-z0-9]")
+    apart = (F.col("start") - F.max("end").over(before) > PART_PAUSE) & (F.min("start").over(after) == F.col("start")) & (F.min("end").over(after) == F.col("end"))
+    safe = F.coalesce(apart & ~glued & bare(last) & bare(F.col("text")) & (F.col("end") - F.col("start") >= 0.5), F.lit(False))
+    marked = words.withColumns({"_safe": safe, "_n": F.row_number().over(w)})
+    opens = F.when(F.col("_safe"), F.floor(F.col("_n") / size)).otherwise(0)
+    # of the safe places inside one stretch of ``size`` words the first one opens a part
+    return marked.withColumn("part", F.max(opens).over(w).cast("int")).drop("_safe", "_n")
+
+
+def cue_pipeline(words: DataFrame, texts: DataFrame | None = None, part_words: int = PART_WORDS) -> DataFrame:
+    """Words to cues: cut by pause and width, or by the punctuated text (ep, text) if there is one; fragments absorbed, durations held, unreadable ones merged, lines wrapped.
+
+    An episode goes through in parts of about ``part_words`` words, with the cues of the whole; with a text it is one part.
+    """
+    own = words.select("ep", "pos", "start", "end", "text")
     if texts is None:
         def alone(pdf: pd.DataFrame) -> pd.DataFrame:
             pieces = _pieces(pdf, "pos")
-            return _frame(pdf.ep.iloc[0], _finished(segmented(pieces), pieces))
+            return _frame(pdf.ep.iloc[0], _finished(segmented(pieces), pieces)).assign(part=pdf.part.iloc[0])
 
-        return own.applyInPandas(alone, CUE)
+        cues = episode_parts(own, part_words).groupBy("ep", "part").applyInPandas(alone, f"{CUE}, part int")
+        number = F.row_number().over(W.partitionBy("ep").orderBy("part", "idx"))
+        return cues.select("ep", number.alias("idx"), "start", "end", "text")
 
     def run(word_pdf: pd.DataFrame, text_pdf: pd.DataFrame) -> pd.DataFrame:
         if word_pdf.empty or text_pdf.empty:
@@ -370,7 +398,7 @@ def cue_pipeline(words: DataFrame, texts: DataFrame | None = None) -> DataFrame:
         pieces = _pieces(word_pdf, "pos")
         return _frame(word_pdf.ep.iloc[0], _finished(episodes.punctuated(pieces, text_pdf.text.iloc[0] or ""), pieces))
 
-    return own.cogroup(texts.select("ep", "text").groupBy("ep")).applyInPandas(run, CUE)
+    return own.groupBy("ep").cogroup(texts.select("ep", "text").groupBy("ep")).applyInPandas(run, CUE)
 
 
 def validate(cues: DataFrame, length: DataFrame) -> DataFrame:

@@ -541,13 +541,14 @@ l AS (SELECT DISTINCT doc_id, item_id FROM aw JOIN qw USING (w))"""
 @query("leak_ngrams", f"{LEAKS_SQL} SELECT doc_id, item_id FROM l")
 def leak_ngrams(spark, d):
     """Pairs of a document and a benchmark item of which it holds 12 letters or digits in a row."""
-    return leak_pairs(spark, d).select("doc_id", F.explode("items").alias("item_id"))
+    return audit.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"), 12)
 
 
 @query("leak_pairs", f"{LEAKS_SQL} SELECT doc_id, coalesce((SELECT list(item_id ORDER BY item_id) FROM l WHERE l.doc_id = d.doc_id), []) AS items FROM documents d")
 def leak_pairs(spark, d):
     """Each document with all benchmark items of which it holds 12 letters or digits in a row."""
-    return table(spark, d, "documents").select("doc_id", T.leaked(F.col("text"), table(spark, d, "benchmark"), "item_id", "text", 12).alias("items"))
+    lists = leak_ngrams(spark, d).groupBy("doc_id").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
+    return table(spark, d, "documents").select("doc_id").join(lists, "doc_id", "left").select("doc_id", F.coalesce("items", F.array().cast("array<bigint>")).alias("items"))
 
 
 @query("clock_text", f"""WITH {WORDS_SQL} SELECT ep, pos, floor(floor(start) / 60)::BIGINT || ':' || lpad((floor(start)::BIGINT % 60)::VARCHAR, 2, '0') AS clock FROM words""")

@@ -91,6 +91,37 @@ def test_votes_by_either_plan(spark, monkeypatch):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_parts_of_an_episode_give_the_cues_of_the_whole(spark):
+    rnd, rows_ = random.Random(31), []
+    for ep in range(4):
+        at = 0.0
+        for k in range(1500):
+            at += rnd.choice([0, 0, 0, 0.05, 0.3, 0.5, 0.7, 1.0, 1.6, 2.5, 4.0])
+            long_ = rnd.choice([0.05, 0.1, 0.3, 0.6, 1.0, 3.0])
+            rows_.append((ep, k, rnd.choice(["中", "一二", "三四五", "ab", "c ", "word ", "。", "好。", "，", " ", None]), round(at, 3), round(at + long_, 3)))
+            at += long_ * rnd.choice([1, 1, 1, 1, 0.9])
+    df = spark.createDataFrame(rows_, WORDS).repartition(3)
+    parts = segments.episode_parts(df, 100).groupBy("ep", "part").count().collect()
+    assert len(parts) > 20 and max(r["count"] for r in parts) < 1000
+    whole = rows(segments.cue_pipeline(df, part_words=10**9), "ep", "idx")
+    assert rows(segments.cue_pipeline(df, part_words=100), "ep", "idx") == whole and len(whole) > 500
+    assert rows(segments.cue_pipeline(df, part_words=1), "ep", "idx") == whole
+
+
+def test_leaks_by_either_plan(spark, monkeypatch):
+    rnd = random.Random(6)
+    said = lambda n: "".join(rnd.choice("abC, é1") for _ in range(n))
+    docs, asked = [(i, said(rnd.choice([0, 5, 90]))) for i in range(40)] + [(40, None)], [(i, said(rnd.choice([2, 9, 30]))) for i in range(9)] + [(9, None)]
+    bare = lambda t: "".join(c for c in (t or "").lower() if c.isalnum())
+    want = {(d, q) for d, a in docs for q, t in asked if any(bare(t)[k : k + 4] in bare(a) for k in range(len(bare(t)) - 3))}
+    a, q = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(asked, "item_id long, text string")
+    for limit, block in ((100_000, 512), (0, 7)):
+        monkeypatch.setattr(audit, "BROADCAST_ROWS", limit)
+        monkeypatch.setattr(audit, "BLOCK_CHARS", block)
+        got = [tuple(r) for r in audit.leaks(a, q, 4).collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
 def test_similarity_with_a_bound(spark):
     rnd = random.Random(8)
     pairs = [("".join(rnd.choice("abc") for _ in range(rnd.randint(0, 12))), "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 12)))) for _ in range(300)] + [(None, "a"), ("a", None), ("", "")]
