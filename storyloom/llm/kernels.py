@@ -74,7 +74,7 @@ def _hash_segment(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.
         codes *= _PLACES[place]
     else:
         codes *= _PLACES[place & (_STEP - 1)]
-        codes *= mix(np.arange(1, int(place.max()) // _STEP + 2, dtype=U64))[place // _STEP] | U64(1)
+        codes *= mix(np.arange(int(place.max()) // _STEP + 1, dtype=U64))[place // _STEP] | U64(1)  # 1 for the first block
     return mix(np.add.reduceat(codes, starts)), starts
 
 

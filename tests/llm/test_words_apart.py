@@ -23,6 +23,12 @@ def test_words_of_opposite_letters_have_other_hashes():
         assert a != b, n
 
 
+def test_a_word_has_one_hash_beside_long_ones():
+    for long_ in ("", "x" * 4095, "x" * 4097, "é" * 5000, "x" * 20_000):
+        hashes = list(kernels.word_hashes(pa.array([f"one {long_} two", "two", "one"])))[0][2]
+        assert hashes[0] == hashes[-1] and hashes[-3] == hashes[-2]
+
+
 def test_operators_keep_such_words_apart(spark):
     a, b = thue_morse(2048)
     df = spark.createDataFrame([(1, f"x {a} y"), (2, f"x {b} y"), (3, f"x {a} y")], "doc_id long, text string")
