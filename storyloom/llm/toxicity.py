@@ -1,6 +1,6 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Features are hashed n-grams of the UTF-8 bytes with A-Z lower-cased. For all labelled training rows
+Features are hashed n-grams of code points with A-Z lower-cased. For all labelled training rows
 Spark counts in how many documents of either class each feature is. These counts give a log-count ratio
 per feature, and the features whose counts depend on the class (likelihood-ratio statistic) stay, however many. A
 document's value of a feature is the ratio times the logarithm of one more than its occurrences. Logistic regression then weighs each feature, scaled by its ratio.
@@ -25,35 +25,35 @@ BITS = 18
 BLOCKS = 64
 LOTS = 512
 MAX_FIT_ROWS = 10_000
-#: A feature stays if its likelihood-ratio statistic is above both: the first says that its counts depend on the class, the
-#: second, per labelled document, that knowing it tells something about the class. Neither depends on how many rows there are.
+#: A feature stays if its likelihood-ratio statistic is above this, the same at every number of rows: its counts then depend on
+#: the class. Where the strongest feature of a small table has less than twice as much, half of that is asked for.
 EVIDENCE = 16.0
-EVIDENCE_PER_ROW = 0.003
 THRESHOLD = 0.7
 SMOOTHING = 1.0
 RIDGE = 3e-4
 STEPS = 400
 WINDOW = 1 << 20
+FIT_SLICE = 1 << 21
 
 _PAIRS = np.dtype([("f", np.int32), ("v", np.float32)])
-_LOWER = np.arange(256, dtype=np.uint64)
-_LOWER[65:91] += 32
-_SALT = {4: 0x9E3779B97F4A7C15, 5: 0xC2B2AE3D27D4EB4F, 6: 0x165667B19E3779F9}
-
-
-def _buckets(data: np.ndarray, order: int) -> np.ndarray:
-    """Feature number of the n-gram at each byte."""
-    n = len(data) - order + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
-    code = np.zeros(n, np.uint64)
-    for k in range(order):
-        code <<= np.uint64(8)
-        code |= data[k : k + n]
-    code *= np.uint64(_SALT[order] | 1)
-    code ^= code >> np.uint64(29)
-    code *= np.uint64(0xBF58476D1CE4E5B9)
-    return (code >> np.uint64(64 - BITS)).astype(np.int64)
+_START, _FACTOR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _code_points(data: np.ndarray) -> np.ndarray:
+    """Code points of UTF-8 bytes, A-Z lower-cased."""
+    codes = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.uint64)
+    codes[(codes >= 65) & (codes <= 90)] += np.uint64(32)
+    return codes
+
+
+def _buckets(codes: np.ndarray, before: int = 0) -> Iterator[np.ndarray]:
+    """Feature numbers of the n-grams of each order, without those that lie in the first ``before`` code points alone."""
+    h = np.full(len(codes), _START)
+    for k in range(min(max(ORDERS), len(codes))):
+        h = (h[: len(codes) - k] ^ codes[k:]) * _FACTOR
+        h ^= h >> np.uint64(29)
+        if k + 1 in ORDERS:
+            yield (kernels.mix(h[max(0, before - k) :]) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def wanted_features(column: pa.Array, wanted: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -68,12 +68,14 @@ def document_features(column: pa.Array, wanted: np.ndarray | None = None) -> Ite
     data, offsets = kernels.utf8(column)
     mark = np.empty(1 << BITS, np.int64)
     for lo, hi in zip(offsets[:-1], offsets[1:]):
-        found = []
-        for at in range(lo, max(hi, lo + 1), WINDOW):  # long texts go through in overlapping windows
-            text = _LOWER[data[at : min(hi, at + WINDOW + max(ORDERS) - 1)]]
-            for order in ORDERS:
-                b = _buckets(text, order)
-                found.append(b if wanted is None else b[wanted[b]])
+        found, tail, at = [np.zeros(0, np.int64)], np.zeros(0, np.uint64), lo
+        while at < hi:  # long texts go through in windows that begin with the last code points of the one before
+            end = min(hi, at + WINDOW)
+            while end < hi and data[end] & 0xC0 == 0x80:
+                end += 1
+            codes = np.concatenate([tail, _code_points(data[at:end])])
+            found += [b if wanted is None else b[wanted[b]] for b in _buckets(codes, len(tail))]
+            tail, at = codes[-(max(ORDERS) - 1) :], end
         b = np.concatenate(found)
         if wanted is None:
             place = np.arange(len(b))
@@ -139,18 +141,30 @@ def log_count_ratios(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray,
 
 
 def _fit(rows: list[np.ndarray], labels: np.ndarray, n: int) -> tuple[np.ndarray, float]:
-    """Logistic regression with a ridge by accelerated gradient steps; rows: (feature, value) pairs of each document."""
-    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    pairs = np.concatenate([*rows, np.zeros(0, _PAIRS)])
-    col, val = pairs["f"].copy(), pairs["v"].copy()
-    rows = [None] * len(rows)
+    """Logistic regression with a ridge by accelerated gradient steps; rows: (feature, value) pairs of each document.
+
+    A step goes over the documents in slices of about ``FIT_SLICE`` pairs, so that beside the pairs themselves memory does not
+    depend on how many there are.
+    """
+    upto = np.cumsum([0] + [len(r) for r in rows])
+    cuts = np.unique(np.searchsorted(upto, [*range(0, int(upto[-1]), FIT_SLICE), int(upto[-1])])).tolist() if upto[-1] else [0]
+    slices = []
+    for lo, hi in zip(cuts, cuts[1:]):
+        pairs = np.concatenate(rows[lo:hi])
+        slices.append((lo, hi, np.repeat(np.arange(hi - lo, dtype=np.int32), np.diff(upto[lo : hi + 1])), pairs["f"].copy(), pairs["v"].copy()))
+        rows[lo:hi] = [None] * (hi - lo)
+    norms = sum(float(val @ val) for *_, val in slices)
+    rate = 4 / (1 + norms / max(1, len(rows)) * 4)
     w, b, vw, vb = np.zeros(n), 0.0, np.zeros(n), 0.0
-    norms = np.bincount(doc, val * val, len(rows))
-    rate = 4 / (1 + (norms.mean() if len(rows) else 0) * 4)
     for step in range(STEPS):
-        z = np.bincount(doc, val * vw[col], len(rows)) + vb
+        z = np.full(len(rows), vb)
+        for lo, hi, doc, col, val in slices:
+            z[lo:hi] += np.bincount(doc, val * vw[col], hi - lo)
         g = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels) / max(1, len(rows))
-        nw, nb = vw - rate * (np.bincount(col, val * g[doc], n) + RIDGE * vw), vb - rate * g.sum()
+        slope = RIDGE * vw
+        for lo, hi, doc, col, val in slices:
+            slope += np.bincount(col, val * g[lo:hi][doc], n)
+        nw, nb = vw - rate * slope, vb - rate * g.sum()
         m = step / (step + 3)
         vw, vb, w, b = nw + m * (nw - w), nb + m * (nb - b), nw, nb
     return w, b
@@ -164,7 +178,7 @@ def train(labelled: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> Model:
     total = int(rows.sum())
     prior = float(np.log((rows[1] + 0.5) / (rows[0] + 0.5)))
     ratio, evidence = log_count_ratios(rows, counts)
-    least = min(max(EVIDENCE, EVIDENCE_PER_ROW * total), evidence.max(initial=0) / 2)
+    least = min(EVIDENCE, evidence.max(initial=0) / 2)
     chosen = np.flatnonzero(evidence > least)
     weights = np.zeros(1 << BITS)
     if not rows.all() or not len(chosen):
@@ -216,7 +230,9 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
     Labels of rows that are held out are never read. Labels of unknown documents and null labels have no
     effect, a document with several labels counts once as toxic if one says so. A null doc_id is scored and
-    not held out. No labels at all give every document the same score.
+    not held out. No labels at all give every document the same score. Rows with equal texts have equal scores, and
+    a repeated doc_id has a row for each of its rows. Long texts are read whole, in windows. An empty table gives no
+    rows; columns other than doc_id, text and toxic are not read, whatever their names.
     """
     marks = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     training = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text").join(marks.hint("merge"), "doc_id")  # one plan at every size

@@ -243,9 +243,9 @@ def test_toxicity_against_brute_force(spark, monkeypatch):
         rows.append((i, " ".join(words_ + ["Rotten"] * (i % 4 == 0) * rng.randint(0, 2)), int(i % 4 == 0)))
     model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
 
-    def grams(text):
-        data = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
-        return Counter(int(toxicity._buckets(np.frombuffer(data[k : k + n], np.uint8).astype(np.uint64), n)[0]) for n in (4, 5, 6) for k in range(len(data) - n + 1))
+    def grams(text):  # strings themselves, no hash
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        return Counter(low[k : k + n] for n in (4, 5, 6) for k in range(len(low) - n + 1))
 
     found, n = [grams(t) for _, t, _ in rows], Counter(y for *_, y in rows)
     ratio, kept = {}, []
@@ -255,7 +255,7 @@ def test_toxicity_against_brute_force(spark, monkeypatch):
         table = [(seen[c], n[c], sum(seen)) for c in (0, 1)] + [(n[c] - seen[c], n[c], len(rows) - sum(seen)) for c in (0, 1)]
         if 2 * sum(x * math.log(x * len(rows) / (a * b)) for x, a, b in table if x) > 16:
             kept.append(f)
-    assert set(np.flatnonzero(model.weights)) <= set(kept) and len(kept) > 5
+    assert 5 < np.count_nonzero(model.weights) <= len(kept)
     x = np.array([[ratio[f] * math.log1p(g[f]) for f in kept] + [1.0] for g in found])
     y, w, ridge = np.array([r[2] for r in rows]), np.zeros(len(kept) + 1), np.diag([toxicity.RIDGE] * len(kept) + [0.0])
     for _ in range(60):  # Newton's steps to the one optimum
@@ -269,6 +269,30 @@ def test_toxicity_edges(spark, edges):
     df, rows = edges
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.classify(df, none).count() == len(rows)
+    labels = spark.createDataFrame([(r[0], 1, k % 2) for k, r in enumerate(rows)], "doc_id long, quality int, toxic int")
+    got = toxicity.classify(df.withColumn("toxic", F.lit(7)).withColumn("score", F.lit(None)), labels).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == sorted((r[0] is None, r[0] or 0) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
+
+
+@pytest.mark.parametrize("window", [1, 2, 7, 1 << 20])
+def test_toxicity_windows(monkeypatch, window):
+    texts = pa.array(["Ab\u00e9\u4e2d\u6587\U0001f600 abc", "", None, "abc", "\u00e9" * 9, "a" * 40])
+    whole = [sorted(b) for b in toxicity.document_features(texts, np.ones(1 << toxicity.BITS, bool))]
+    monkeypatch.setattr(toxicity, "WINDOW", window)
+    assert [sorted(b) for b in toxicity.document_features(texts, np.ones(1 << toxicity.BITS, bool))] == whole
+    assert [len(b) for b in whole] == [sum(max(0, len(t or "") - n + 1) for n in (4, 5, 6)) for t in texts.to_pylist()]
+    assert [len(b) for b in toxicity.document_features(texts)][-1] == 3  # distinct
+
+
+def test_toxicity_fit_by_slices(monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [np.rec.fromarrays([np.arange(n, dtype=np.int32), rng.random(n).astype(np.float32)], dtype=toxicity._PAIRS) for n in [0, 3, 5, 0, 1, 8, 2, 0]]
+    labels = np.array([0, 1, 0, 1, 1, 0, 0, 1.0])
+    whole = toxicity._fit(list(rows), labels, 8)
+    monkeypatch.setattr(toxicity, "FIT_SLICE", 3)
+    sliced = toxicity._fit(list(rows), labels, 8)
+    assert np.allclose(whole[0], sliced[0]) and abs(whole[1] - sliced[1]) < 1e-9
 
 
 # --- op4 ---------------------------------------------------------------------------------------------
