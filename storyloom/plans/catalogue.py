@@ -14,7 +14,7 @@ from ..functions import patterns
 from ..functions import text as T
 from ..functions.shared import new_folder
 from ..operators import audit, index, search, segments, spans, store, versions
-from ..sources import dimensions, pages, subtitles
+from ..sources import dimensions, pages, srt, subtitles
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -373,6 +373,19 @@ def srt_round_trip(spark, d):
     return out.select("ep", "idx", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), "text")
 
 
+@query("srt_files", """
+WITH t AS (SELECT 'conv-' || conv_id AS stem, turn::INT AS idx, turn * 2.5 AS start, turn * 2.5 + 1.25 AS "end", regexp_replace(text, '[\\x20\\x09-\\x0D]+', ' ', 'g') AS text FROM conversations)
+SELECT stem, idx, start::DOUBLE AS start, "end"::DOUBLE AS "end", text FROM t WHERE starts_with(stem, 'conv-1')""")
+def srt_files(spark, d):
+    """Conversations as a folder of SRT files, of which those are read again whose name begins with conv-1; no other file is opened."""
+    c = table(spark, d, "conversations").where("turn IS NOT NULL AND conv_id IS NOT NULL")
+    text = F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")
+    cues = c.select(F.concat(F.lit("conv-"), "conv_id").alias("stem"), F.col("turn").alias("idx"), (F.col("turn") * 2.5).alias("start"), (F.col("turn") * 2.5 + 1.25).alias("end"), text.alias("text"))
+    folder = new_folder(spark, "srt")
+    srt.write_srt(cues, folder)
+    return srt.read(spark, folder, "conv-1")
+
+
 @query("words_from_json", f"WITH {WORDS_SQL} SELECT ep, (pos - 1)::INT AS pos, text, round(start, 3) AS start FROM words")
 def words_from_json(spark, d):
     """Word lists written as JSON, one per episode, and parsed again."""

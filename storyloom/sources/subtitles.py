@@ -23,7 +23,8 @@ def parse_srt(files: DataFrame, key: str, text: str) -> DataFrame:
 
 def read_srt(spark: SparkSession, path: str) -> DataFrame:
     """Cues of every file under ``path``, with the file's name as stem."""
-    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1).alias("stem"), "value")
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # Spark gives it as part of a URI
+    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1).alias("stem"), "value")
     return parse_srt(files, "stem", "value")
 
 
