@@ -151,19 +151,19 @@ def _fit(rows: list[np.ndarray], labels: np.ndarray, n: int) -> tuple[np.ndarray
     slices = []
     for lo, hi in zip(cuts, cuts[1:]):
         pairs = np.concatenate(rows[lo:hi])
-        slices.append((lo, hi, np.repeat(np.arange(hi - lo, dtype=np.int32), np.diff(upto[lo : hi + 1])), pairs["f"].copy(), pairs["v"].copy()))
+        slices.append((lo, hi, np.diff(upto[lo : hi + 1]), pairs["f"].copy(), pairs["v"].copy()))
         rows[lo:hi] = [None] * (hi - lo)
     norms = sum(float(val @ val) for *_, val in slices)
     rate = 4 / (1 + norms / max(1, len(rows)) * 4)
     w, b, vw, vb = np.zeros(n), 0.0, np.zeros(n), 0.0
     for step in range(STEPS):
         z = np.full(len(rows), vb)
-        for lo, hi, doc, col, val in slices:
-            z[lo:hi] += np.bincount(doc, val * vw[col], hi - lo)
+        for lo, hi, sizes, col, val in slices:
+            z[lo:hi] += np.bincount(np.repeat(np.arange(hi - lo), sizes), val * vw[col], hi - lo)
         g = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels) / max(1, len(rows))
         slope = RIDGE * vw
-        for lo, hi, doc, col, val in slices:
-            slope += np.bincount(col, val * g[lo:hi][doc], n)
+        for lo, hi, sizes, col, val in slices:
+            slope += np.bincount(col, val * np.repeat(g[lo:hi], sizes), n)
         nw, nb = vw - rate * slope, vb - rate * g.sum()
         m = step / (step + 3)
         vw, vb, w, b = nw + m * (nw - w), nb + m * (nb - b), nw, nb
@@ -194,17 +194,18 @@ def train(labelled: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> Model:
 
     # by text too, so that rows that share a doc_id are not taken or left all together
     sample = labelled if keep >= 1 else labelled.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(keep * 1_000_000))
-    fitted = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "toxic int, found binary").collect()  # at most about max_fit_rows
-    place = np.zeros(1 << BITS, np.int64)
+    found = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "toxic int, found binary")
+    # at most about max_fit_rows documents, from one partition after the other, so that the driver holds their pairs once
+    fitted = [(r.toxic, bytes(r.found)) for r in materialize(found, "toxicity-fit").toLocalIterator()]
+    fitted.sort()
+    labels = np.array([t for t, _ in fitted], float)
+    place = np.zeros(1 << BITS, np.int32)
     place[chosen] = np.arange(len(chosen))
-    fitted = sorted((r.toxic, bytes(r.found)) for r in fitted)
-    labels, pairs = np.array([t for t, _ in fitted], float), []
-    for _, body in fitted:
+    pairs = []
+    for i, (_, body) in enumerate(fitted):
         b = np.frombuffer(body, _PAIRS)
-        item = np.zeros(len(b), _PAIRS)
-        item["f"], item["v"] = place[b["f"]], ratio[b["f"]] * b["v"]
-        pairs.append(item)
-    del fitted
+        pairs.append(np.rec.fromarrays([place[b["f"]], (ratio[b["f"]] * b["v"]).astype(np.float32)], dtype=_PAIRS))
+        fitted[i] = None
     w, bias = _fit(pairs, labels, len(chosen))
     weights[chosen] = w * ratio[chosen]
     return Model(weights, bias)
