@@ -102,8 +102,15 @@ def breaker(runs: DataFrame, key: str, order: str, failed: str, limit: int = 3)
 
 
 def within_budget(runs: DataFrame, key: str, order: str, seconds: str, budget: float) -> DataFrame:
-    """``runs`` with started: whether a run still begins inside the budget, that is, whether the ones before it took less than ``budget`` seconds together."""
-    before = F.sum(seconds).over(W.partitionBy(key).orderBy(order).rowsBetween(W.unboundedPreceding, -1))
+    """``runs`` with started: whether a run still begins inside the budget, that is, whether the ones before it took less than ``budget`` seconds together.
+
+    Seconds are added as decimals of nine places, so that a sum that reaches the budget exactly is not below it by the
+    rounding of single additions; where one is no such decimal (not finite, or of over 20 digits), as they are.
+    """
+    w = W.partitionBy(key).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    exact = F.col(seconds).try_cast("decimal(29,9)")
+    rough = F.bool_or(exact.isNull() & F.col(seconds).isNotNull()).over(w)
+    before = F.when(rough, F.sum(seconds).over(w)).otherwise(F.sum(exact).over(w).cast("double"))
     return runs.withColumn("started", F.coalesce(before, F.lit(0.0)) < budget)
 
 
