@@ -684,7 +684,7 @@ SELECT sound, text, n, major, major_n, round(major_n / (major_n + n), 3) AS scor
 def homophone_groups(spark, d):
     """Words and pairs of words of all documents, by merged sounds."""
     rows = table(spark, d, "documents").select(F.split(F.trim(F.regexp_replace(T.ascii_lower(F.col("text")), WORD, " ")), " ").alias("units"))
-    return audit.minorities(audit.spellings(rows, T.sound_key, (1, 2)))
+    return audit.homophones(rows, T.sound_key, (1, 2))
 
 
 @query("homophone_suspects", """
