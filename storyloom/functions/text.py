@@ -29,6 +29,14 @@ def ascii_lower(text) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def one_upper(text) -> Column:
+    """Upper case of every letter that has one of a single character; sharp s has the capital one, and others stay (Spark's ``upper`` gives several)."""
+    long_ = [c for c in map(chr, range(0xDF, 0x10000)) if len(c.upper()) > 1]
+    short = "".join("\u1e9e" if c == "\xdf" else c.title() if len(c.title()) == 1 else c for c in long_)
+    each = F.transform(F.split(text, ""), lambda c: F.when(F.length(F.upper(c)) == 1, F.upper(c)).otherwise(F.translate(c, "".join(long_), short)))
+    return F.when(F.octet_length(text) == F.length(text), F.upper(text)).otherwise(F.array_join(each, ""))
+
+
 @lru_cache
 def wide_class() -> str:
     """Code points that are East Asian wide or full-width, as the inside of a regular-expression class."""

@@ -977,11 +977,11 @@ f AS (SELECT coalesce(c.ep, b.ep) AS ep, count(c.ep) AS na, count(b.ep) AS nb, b
 s AS (SELECT ep, CASE WHEN na = 0 THEN 'new' WHEN nb = 0 THEN 'gone' WHEN NOT timed THEN 'times' WHEN NOT said THEN 'text' ELSE 'same' END AS status FROM f)"""
 
 
-def _revised(c: DataFrame) -> DataFrame:
+def _revised(c: DataFrame, upper=lambda text: F.translate(text, T.LOWER, T.UPPER)) -> DataFrame:
     """cues with other texts in some episodes, another time in some, one episode and one cue missing."""
     c = c.where((F.col("ep") != 5) & ~((F.col("ep") == 6) & (F.col("idx") == 1)))
     c = store.set_where(c, "start", (F.col("ep") % 3 == 1) & (F.col("idx") == 1), F.col("start") + 1)
-    return store.set_where(c, "text", F.col("ep") % 2 == 1, F.translate("text", T.LOWER, T.UPPER))
+    return store.set_where(c, "text", F.col("ep") % 2 == 1, upper("text"))
 
 
 @query("refresh_status", f"{REFRESH_SQL} SELECT ep, status FROM s")
@@ -991,10 +991,13 @@ def refresh_status(spark, d):
     return store.refresh_status(c, _revised(c), "ep", "idx", ["start", "end"], "text")
 
 
-@query("refresh_text", f"{REFRESH_SQL} SELECT ep, idx, md5(CASE WHEN status = 'text' THEN translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') ELSE text END) AS digest FROM cues JOIN s USING (ep)")
+UPPER_SQL = REFRESH_SQL.replace("translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')", "upper(text)")
+
+
+@query("refresh_text", f"{UPPER_SQL} SELECT ep, idx, md5(CASE WHEN status = 'text' THEN upper(text) ELSE text END) AS digest FROM cues JOIN s USING (ep)")
 def refresh_text(spark, d):
     c = cues(spark, d)
-    return store.refresh_text(c, _revised(c), "ep", "idx", ["start", "end"], "text").select("ep", "idx", F.md5("text").alias("digest"))
+    return store.refresh_text(c, _revised(c, T.one_upper), "ep", "idx", ["start", "end"], "text").select("ep", "idx", F.md5("text").alias("digest"))
 
 
 @query("set_where", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE o_orderstatus END AS o_orderstatus FROM orders")

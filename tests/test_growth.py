@@ -2,10 +2,11 @@
 
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
 from storyloom.functions import patterns
-from storyloom.functions.text import sound_key, words
+from storyloom.functions.text import one_upper, sound_key, words
 from storyloom.operators import audit, search, store
 
 
@@ -81,3 +82,9 @@ def test_bm25_sends_on_the_best_of_a_task_alone(spark, monkeypatch):
     assert sent[0].count() < 4 * 3 * 7 * 3  # tasks, queries, k, and what lies close
     monkeypatch.setattr(search, "BROADCAST_ROWS", 0)
     assert got == sorted(map(tuple, search.bm25(docs, queries, k=7, terms_of=words).select("query_id", "id", "score", "rank").collect()))
+
+
+def test_refreshed_texts_have_every_letter_in_upper_case(spark):
+    texts = ["".join(map(chr, range(1, 0x180))), "Straße, déjà, ÿ ŉ ǰ ﬁ ᾳ ΐ", "αβγς жщ \U00010428 \U0001f600", "plain", ""]
+    got = {r[0]: r[1] for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", one_upper("t")).collect()}
+    assert [got[t] for t in texts] == [duckdb.execute("select upper(?::varchar)", [t]).fetchall()[0][0] for t in texts]
