@@ -88,13 +88,13 @@ def words(text) -> Column:
 def clean_spaces(text) -> Column:
     """White-space runs as one space, trimmed, and no space between two wide characters."""
     wide = wide_class()
-    return F.regexp_replace(F.trim(F.regexp_replace(text, r"\s+", " ")), f"(?<=[{wide}]) (?=[{wide}])", "")
+    return F.regexp_replace(F.trim(F.regexp_replace(text, r"\s+", " ")), f" (?<=[{wide}] )(?=[{wide}])", "")  # a space is looked for first
 
 
 def full_width(text) -> Column:
     """``,?!;:`` right after a Han character become full-width."""
     for half, full in FULL_WIDTH.items():
-        text = F.regexp_replace(text, rf"(?<=[\x{{3400}}-\x{{9FFF}}])\Q{half}\E", full)
+        text = F.regexp_replace(text, rf"\Q{half}\E(?<=[\x{{3400}}-\x{{9FFF}}]\Q{half}\E)", full)
     return text
 
 

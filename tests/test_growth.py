@@ -6,7 +6,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from storyloom.functions import patterns
-from storyloom.functions.text import one_upper, sound_key, words
+from storyloom.functions.text import clean_spaces, full_width, one_upper, sound_key, words
 from storyloom.operators import audit, search, store
 
 
@@ -88,3 +88,11 @@ def test_refreshed_texts_have_every_letter_in_upper_case(spark):
     texts = ["".join(map(chr, range(1, 0x180))), "Straße, déjà, ÿ ŉ ǰ ﬁ ᾳ ΐ", "αβγς жщ \U00010428 \U0001f600", "plain", ""]
     got = {r[0]: r[1] for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", one_upper("t")).collect()}
     assert [got[t] for t in texts] == [duckdb.execute("select upper(?::varchar)", [t]).fetchall()[0][0] for t in texts]
+
+
+def test_wide_neighbours_are_looked_at_beside_spaces_and_marks_alone(spark):
+    """Patterns begin with the rare character, not with what stands before it at every place."""
+    texts = ["字 字 字,a 字， b ,字 ,字?!", "ー 界 x 界 ， 한 :字:", " , a, 字", ""]
+    want = ["字字字，a 字， b ,字 ,字？!", "ー界 x 界，한 :字：", ", a, 字", ""]
+    got = {r[0]: r[1] for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", full_width(clean_spaces("t"))).collect()}
+    assert [got[t] for t in texts] == want
