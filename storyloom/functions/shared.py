@@ -30,6 +30,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt out evenly by ``keys`` for a step that takes much time a row: rows of few bytes would else be put into few tasks."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
+
+
 class Files:
     """Files of one store by Hadoop's own client, which reaches every store that Spark reads."""
 

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import matching
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Punctuation and spelling variants that the rules below name.
@@ -65,6 +67,8 @@ def display_width(text) -> Column:
 
 def width(text: str) -> float:
     """``display_width`` of a Python string."""
+    if text.isascii():
+        return len(text) / 2
     return sum(1.0 if unicodedata.east_asian_width(c) in "WF" else 0.5 for c in text)
 
 
@@ -253,7 +257,7 @@ def leak(query, answer, chars: int = 4) -> Column:
 def _ratios(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Twice the matched characters over all characters, matched in the Ratcliff-Obershelp way without a popularity rule; null if one is null."""
     for a, b in pairs:
-        yield pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b)], dtype="float64")
+        yield pd.Series([None if x is None or y is None else matching.ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 def _budgets(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -261,24 +265,29 @@ def _budgets(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFr
     for a, b in pairs:
         rows = []
         for x, y in zip(a, b):
-            x, y = fold(x or "")[0], fold(y or "")[0]
+            x, y = "".join(map(_content, x or "")), "".join(map(_content, y or ""))
             lost = more = 0
-            for kind, i, j, k, m in SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
+            for kind, i, j, k, m in matching.steps(x, y):
                 if kind != "equal":
                     lost, more = lost + max(0, (j - i) - (m - k)), more + max(0, (m - k) - (j - i))
             rows.append((lost / len(x), more / len(x)) if x else (0.0, 0.0))
         yield pd.DataFrame(rows, columns=["deleted", "inserted"])
 
 
+def _content_of(c: str, variants: dict[int, str]) -> str:
+    return "".join(d for d in unicodedata.normalize("NFKC", c).translate(variants).casefold() if not d.isspace() and unicodedata.category(d)[0] not in "PZ")
+
+
+@lru_cache(1 << 16)
+def _content(c: str) -> str:
+    """What ``fold`` makes of a character without variants."""
+    return _content_of(c, {})
+
+
 def fold(text: str, variants: dict[int, str] | None = None) -> tuple[str, list[int]]:
     """Compatibility form, variants folded, case folded, without punctuation, separators and spaces; and the place in ``text`` of each character."""
-    out, at = [], []
-    for i, c in enumerate(text):
-        for d in unicodedata.normalize("NFKC", c).translate(variants or {}).casefold():
-            if not d.isspace() and unicodedata.category(d)[0] not in "PZ":
-                out.append(d)
-                at.append(i)
-    return "".join(out), at
+    parts = [_content_of(c, variants) for c in text] if variants else list(map(_content, text))
+    return "".join(parts), [i for i, x in enumerate(parts) for _ in x]
 
 
 def _folded(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -298,7 +307,7 @@ def _bounded(pairs: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterato
         for x, y, low in zip(a, b, least):
             matcher = None if x is None or y is None else SequenceMatcher(None, x, y, autojunk=False)
             matched = matcher is not None and matcher.quick_ratio() >= low
-            found = matcher.ratio() if matched else None
+            found = matching.ratio(x, y) if matched else None
             rows.append((found if matched and found >= low else None, matched))
         yield pd.DataFrame(rows, columns=["ratio", "matched"]).astype({"ratio": "Float64"})
 

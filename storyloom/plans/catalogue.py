@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns
 from ..functions import text as T
-from ..functions.shared import new_folder
+from ..functions.shared import new_folder, spread
 from ..operators import audit, index, search, segments, spans, store, versions
 from ..sources import dimensions, pages, srt, subtitles
 
@@ -557,6 +557,7 @@ def turn_changes(spark, d):
     """Each whole turn beside the one before it in its conversation: similarity, and shares deleted and inserted."""
     c = table(spark, d, "conversations").select("conv_id", "turn", "text")
     near = c.withColumn("before", F.lag("text").over(W.partitionBy("conv_id").orderBy("turn"))).where("before IS NOT NULL")
+    near = spread(near, "conv_id", "turn")
     b = near.select("conv_id", "turn", F.round(T.similarity_ratio("before", "text"), 6).alias("ratio"), T.edit_budget("before", "text").alias("b"))
     return b.select("conv_id", "turn", "ratio", F.round("b.deleted", 6).alias("deleted"), F.round("b.inserted", 6).alias("inserted"))
 
