@@ -12,11 +12,14 @@ from itertools import groupby, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.patterns import Patterns
+from ..functions.shared import spread
 from ..functions.text import SOFT_BREAK, ascii_lower, display_width, fold, letters_and_digits, width
 from . import episodes
 from .episodes import Cue, Track
@@ -116,7 +119,7 @@ def drop_phrases(words: DataFrame, phrases: list[str]) -> DataFrame:
         gone = episodes.touched(list(pdf.text.fillna("")), _patterns(shared))
         return pdf[[i not in gone for i in range(len(pdf))]]
 
-    return words.groupBy("ep").applyInPandas(run, words.schema)
+    return _each(words, "ep").applyInPandas(run, words.schema)
 
 
 def correct_words(words: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -134,7 +137,7 @@ def correct_words(words: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
         texts, hits = episodes.corrected(list(pdf.text.fillna("")), rights.value, _patterns(shared))
         return pdf.assign(text=texts, hits=hits)
 
-    return words.groupBy("ep").applyInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in words.schema)}, hits long")
+    return _each(words, "ep").applyInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in words.schema)}, hits long")
 
 
 _KNOWN: dict[tuple[str, ...], Patterns] = {}
@@ -185,6 +188,11 @@ def dedupe_lines(rows: DataFrame, keys: list[str], text: str, least: int = 8) ->
 # --- grouped passes -----------------------------------------------------------------------------------
 
 
+def _each(rows: DataFrame, *keys: str):
+    """Groups of rows, dealt out evenly over tasks however few bytes they have."""
+    return spread(rows, *keys).groupBy(*keys)
+
+
 def _frame(ep, cues: list[Cue]) -> pd.DataFrame:
     return pd.DataFrame([(ep, i + 1, *c) for i, c in enumerate(cues)], columns=["ep", "idx", "start", "end", "text"])
 
@@ -199,7 +207,7 @@ def _merged(rule: Callable[[Track], list[int]], cues: DataFrame) -> DataFrame:
         track = Track(_pieces(pdf, "idx"))
         return _frame(pdf.ep.iloc[0], track.cues(rule(track)))
 
-    return cues.select("ep", "idx", "start", "end", "text").groupBy("ep").applyInPandas(run, CUE)
+    return _each(cues.select("ep", "idx", "start", "end", "text"), "ep").applyInPandas(run, CUE)
 
 
 def absorb_fragments(cues: DataFrame) -> DataFrame:
@@ -229,7 +237,7 @@ def enforce_duration(cues: DataFrame, words: DataFrame, shortest: float = 0.5, l
         ep = (cue_pdf if len(cue_pdf) else word_pdf).ep.iloc[0]
         return _frame(ep, _held(_pieces(cue_pdf, "idx"), _pieces(word_pdf, "pos"), shortest, longest))
 
-    return cues.select("ep", "idx", "start", "end", "text").groupBy("ep").cogroup(words.select("ep", "pos", "start", "end", "text").groupBy("ep")).applyInPandas(run, CUE)
+    return _each(cues.select("ep", "idx", "start", "end", "text"), "ep").cogroup(_each(words.select("ep", "pos", "start", "end", "text"), "ep")).applyInPandas(run, CUE)
 
 
 def segmented(words: list[Cue], most: float = 20.0, gap: float = 0.6) -> list[Cue]:
@@ -246,7 +254,7 @@ def raw_segments(words: DataFrame) -> DataFrame:
         out = segmented(list(zip(pdf.start, pdf.end, pdf.text.fillna(""))))
         return pd.DataFrame([(pdf.ep.iloc[0], i + 1, *c) for i, c in enumerate(out)], columns=["ep", "idx", "start", "end", "text"])
 
-    return words.select("ep", "pos", "start", "end", "text").groupBy("ep").applyInPandas(run, CUE)
+    return _each(words.select("ep", "pos", "start", "end", "text"), "ep").applyInPandas(run, CUE)
 
 
 def punctuated_cues(words: DataFrame, texts: DataFrame) -> DataFrame:
@@ -257,18 +265,46 @@ def punctuated_cues(words: DataFrame, texts: DataFrame) -> DataFrame:
             return _frame(None, [])
         return _frame(word_pdf.ep.iloc[0], episodes.punctuated(_pieces(word_pdf, "pos"), text_pdf.text.iloc[0] or ""))
 
-    return words.select("ep", "pos", "start", "end", "text").groupBy("ep").cogroup(texts.groupBy("ep")).applyInPandas(run, CUE)
+    return _each(words.select("ep", "pos", "start", "end", "text"), "ep").cogroup(_each(texts, "ep")).applyInPandas(run, CUE)
 
 
-def align_lines(words: DataFrame, lines: DataFrame) -> DataFrame:
-    """Cues of each episode's corrected lines (ep, pos, text), timed by its words; none for an episode that cannot be aligned as a whole."""
+def _retimed(words: DataFrame, lines: DataFrame, keys: dict[str, str], rule: Callable[[list[Cue], list[str]], list[Cue]]) -> DataFrame:
+    """Cues that ``rule`` makes of the words and the lines (pos, text) of each key (names and types), in order; none where there are no words.
 
-    def run(word_pdf: pd.DataFrame, line_pdf: pd.DataFrame) -> pd.DataFrame:
-        if word_pdf.empty or line_pdf.empty:
-            return _frame(None, [])
-        return _frame(word_pdf.ep.iloc[0], episodes.aligned(_pieces(word_pdf, "pos"), list(line_pdf.sort_values("pos").text.fillna(""))) or [])
+    A key's words and lines are one row each, and a task goes through its rows in turn.
+    """
+    own = words.select(*keys, F.struct("pos", "start", "end", "text").alias("word"))
+    both = own.unionByName(lines.select(*keys, F.struct("pos", "text").alias("line")), allowMissingColumns=True)
+    ordered = lambda c: F.array_sort(F.collect_list(c)).alias(f"{c}s")
+    lists = _each(both, *keys).agg(ordered("word"), ordered("line")).where(F.size("words") > 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans, fields = [], []
+            for name in ("words", "lines"):
+                lists_ = batch.column(name)
+                ends = np.cumsum(pc.list_value_length(lists_).to_numpy(zero_copy_only=False)).tolist()
+                spans.append(list(zip([0, *ends], ends)))
+                flat = lists_.flatten()
+                fields.append({f: flat.field(f).to_pylist() for f in ("start", "end", "text") if flat.type.get_field_index(f) >= 0})
+            spoken = fields[0]
+            texts, corrected = ([t or "" for t in f["text"]] for f in fields)
+            out: list[tuple[int, int, float, float, str]] = []
+            for row, ((a, b), (m, n)) in enumerate(zip(*spans)):
+                found = rule(list(zip(spoken["start"][a:b], spoken["end"][a:b], texts[a:b])), corrected[m:n])
+                out += [(row, i + 1, *c) for i, c in enumerate(found)]
+            row, *columns = zip(*out) if out else [()] * 5
+            at = pa.array(row, pa.int64())
+            told = [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.float64(), pa.float64(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in keys), *told], [*keys, "idx", "start", "end", "text"])
+
+    cast = [F.col(k).cast(t).alias(k) for k, t in keys.items()]
+    return lists.select(*cast, "words", "lines").mapInArrow(run, ", ".join(f"{k} {t}" for k, t in keys.items()) + ", idx int, start double, end double, text string")
 
-    return words.select("ep", "pos", "start", "end", "text").groupBy("ep").cogroup(lines.select("ep", "pos", "text").groupBy("ep")).applyInPandas(run, CUE)
+
+def align_lines(words: DataFrame, lines: DataFrame) -> DataFrame:
+    """Cues of each episode's corrected lines (ep, pos, text), timed by its words; none for an episode that cannot be aligned as a whole."""
+    return _retimed(words, lines, {"ep": "long"}, lambda own, texts: episodes.aligned(own, texts) or [])
 
 
 def wrapped(text: str, most: float = 18.0, target: float = 20.0) -> str:
@@ -311,7 +347,7 @@ def chunks(words: DataFrame, size: int = 1500, hard: int = 3000, pause: float =
         found = [t for t in [*out, held.strip()] if t]
         return pd.DataFrame([(pdf.ep.iloc[0], i, t) for i, t in enumerate(found)], columns=["ep", "chunk", "text"])
 
-    return words.select("ep", "pos", "start", "end", "text").groupBy("ep").applyInPandas(run, "ep long, chunk int, text string")
+    return _each(words.select("ep", "pos", "start", "end", "text"), "ep").applyInPandas(run, "ep long, chunk int, text string")
 
 
 def polish_windows(words: DataFrame, size: int = 1800) -> DataFrame:
@@ -326,7 +362,7 @@ def polish_windows(words: DataFrame, size: int = 1800) -> DataFrame:
             at = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size)) + 1
         return pdf.assign(window=(np.cumsum(opens) - 1).astype("int32"))
 
-    return words.groupBy("ep").applyInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in words.schema)}, window int")
+    return _each(words, "ep").applyInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in words.schema)}, window int")
 
 
 def stitched(words: DataFrame, answers: DataFrame) -> DataFrame:
@@ -336,16 +372,11 @@ def stitched(words: DataFrame, answers: DataFrame) -> DataFrame:
     no lines. Cues are numbered through the episode, in order of windows.
     """
 
-    def run(word_pdf: pd.DataFrame, line_pdf: pd.DataFrame) -> pd.DataFrame:
-        if word_pdf.empty:
-            return _frame(None, []).assign(window=0)
-        pieces = _pieces(word_pdf, "pos")
-        lines = list(line_pdf.sort_values("pos").text.fillna(""))
-        found = episodes.aligned(pieces, lines) if lines else None
-        return _frame(word_pdf.ep.iloc[0], segmented(pieces) if found is None else found).assign(window=word_pdf.window.iloc[0])
+    def rule(own: list[Cue], lines: list[str]) -> list[Cue]:
+        found = episodes.aligned(own, lines) if lines else None
+        return segmented(own) if found is None else found
 
-    own = words.select("ep", "window", "pos", "start", "end", "text").groupBy("ep", "window")
-    cues = own.cogroup(answers.select("ep", "window", "pos", "text").groupBy("ep", "window")).applyInPandas(run, f"{CUE}, window int")
+    cues = _retimed(words, answers, {"ep": "long", "window": "int"}, rule)
     number = F.row_number().over(W.partitionBy("ep").orderBy("window", "idx"))
     return cues.select("ep", number.alias("idx"), "start", "end", "text")
 
@@ -388,7 +419,7 @@ def cue_pipeline(words: DataFrame, texts: DataFrame | None = None, part_words: i
             pieces = _pieces(pdf, "pos")
             return _frame(pdf.ep.iloc[0], _finished(segmented(pieces), pieces)).assign(part=pdf.part.iloc[0])
 
-        cues = episode_parts(own, part_words).groupBy("ep", "part").applyInPandas(alone, f"{CUE}, part int")
+        cues = _each(episode_parts(own, part_words), "ep", "part").applyInPandas(alone, f"{CUE}, part int")
         number = F.row_number().over(W.partitionBy("ep").orderBy("part", "idx"))
         return cues.select("ep", number.alias("idx"), "start", "end", "text")
 
@@ -398,7 +429,7 @@ def cue_pipeline(words: DataFrame, texts: DataFrame | None = None, part_words: i
         pieces = _pieces(word_pdf, "pos")
         return _frame(word_pdf.ep.iloc[0], _finished(episodes.punctuated(pieces, text_pdf.text.iloc[0] or ""), pieces))
 
-    return own.groupBy("ep").cogroup(texts.select("ep", "text").groupBy("ep")).applyInPandas(run, CUE)
+    return _each(own, "ep").cogroup(_each(texts.select("ep", "text"), "ep")).applyInPandas(run, CUE)
 
 
 def validate(cues: DataFrame, length: DataFrame) -> DataFrame:
