@@ -203,11 +203,11 @@ def _pieces(pdf: pd.DataFrame, order: str) -> list[Cue]:
 
 
 def _merged(rule: Callable[[Track], list[int]], cues: DataFrame) -> DataFrame:
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        track = Track(_pieces(pdf, "idx"))
-        return _frame(pdf.ep.iloc[0], track.cues(rule(track)))
+    def run(own: list[Cue], _: list[str]) -> list[Cue]:
+        track = Track(own)
+        return track.cues(rule(track))
 
-    return _each(cues.select("ep", "idx", "start", "end", "text"), "ep").applyInPandas(run, CUE)
+    return _retimed(cues, None, {"ep": "long"}, run, "idx")
 
 
 def absorb_fragments(cues: DataFrame) -> DataFrame:
@@ -249,12 +249,7 @@ def segmented(words: list[Cue], most: float = 20.0, gap: float = 0.6) -> list[Cu
 def raw_segments(words: DataFrame) -> DataFrame:
     """Cues from words by pause and width."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        out = segmented(list(zip(pdf.start, pdf.end, pdf.text.fillna(""))))
-        return pd.DataFrame([(pdf.ep.iloc[0], i + 1, *c) for i, c in enumerate(out)], columns=["ep", "idx", "start", "end", "text"])
-
-    return _each(words.select("ep", "pos", "start", "end", "text"), "ep").applyInPandas(run, CUE)
+    return _retimed(words, None, {"ep": "long"}, lambda own, _: segmented(own))
 
 
 def punctuated_cues(words: DataFrame, texts: DataFrame) -> DataFrame:
@@ -268,13 +263,14 @@ def punctuated_cues(words: DataFrame, texts: DataFrame) -> DataFrame:
     return _each(words.select("ep", "pos", "start", "end", "text"), "ep").cogroup(_each(texts, "ep")).applyInPandas(run, CUE)
 
 
-def _retimed(words: DataFrame, lines: DataFrame, keys: dict[str, str], rule: Callable[[list[Cue], list[str]], list[Cue]]) -> DataFrame:
-    """Cues that ``rule`` makes of the words and the lines (pos, text) of each key (names and types), in order; none where there are no words.
+def _retimed(words: DataFrame, lines: DataFrame | None, keys: dict[str, str], rule: Callable[[list[Cue], list[str]], list[Cue]], order: str = "pos") -> DataFrame:
+    """Cues that ``rule`` makes of the words (or cues) and the lines (pos, text) of each key (names and types), in order; none where there are no words.
 
     A key's words and lines are one row each, and a task goes through its rows in turn.
     """
-    own = words.select(*keys, F.struct("pos", "start", "end", "text").alias("word"))
-    both = own.unionByName(lines.select(*keys, F.struct("pos", "text").alias("line")), allowMissingColumns=True)
+    own = words.select(*keys, F.struct(order, "start", "end", "text").alias("word"))
+    line = F.struct("pos", "text").alias("line")
+    both = own.withColumn("line", F.lit(None).cast("struct<pos: int, text: string>")) if lines is None else own.unionByName(lines.select(*keys, line), allowMissingColumns=True)
     ordered = lambda c: F.array_sort(F.collect_list(c)).alias(f"{c}s")
     lists = _each(both, *keys).agg(ordered("word"), ordered("line")).where(F.size("words") > 0)
 
@@ -353,16 +349,26 @@ def chunks(words: DataFrame, size: int = 1500, hard: int = 3000, pause: float =
 def polish_windows(words: DataFrame, size: int = 1800) -> DataFrame:
     """``words`` with window, from 0: windows follow each other without overlap, and one closes with the word that brings its characters to ``size``."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        upto = np.cumsum(pdf.text.fillna("").str.len().to_numpy())
-        opens, at = np.zeros(len(pdf), bool), 0
-        while at < len(pdf):
-            opens[at] = True
-            at = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size)) + 1
-        return pdf.assign(window=(np.cumsum(opens) - 1).astype("int32"))
-
-    return _each(words, "ep").applyInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in words.schema)}, window int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, out = batch.column("words"), []
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).tolist()
+            sizes = pc.fill_null(pc.utf8_length(lists.flatten().field("text")), 0).to_numpy(zero_copy_only=False)
+            for a, b in zip([0, *ends], ends):
+                upto = np.cumsum(sizes[a:b])
+                opens, at = np.zeros(b - a, bool), 0
+                while at < b - a:
+                    opens[at] = True
+                    at = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size)) + 1
+                out.append(np.cumsum(opens) - 1)
+            windows = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(np.concatenate(out) if out else [], pa.int32()))
+            yield pa.RecordBatch.from_arrays([lists, windows], ["words", "windows"])
+
+    row = F.struct("pos", *[c for c in words.columns if c != "pos"])
+    lists = _each(words.select("ep", row.alias("word")), "ep").agg(F.array_sort(F.collect_list("word")).alias("words")).select("words")
+    told = lists.mapInArrow(run, f"words {lists.schema['words'].dataType.simpleString()}, windows array<int>")
+    each = told.select(F.explode(F.arrays_zip("words", "windows")).alias("x"))
+    return each.select(*[F.col("x.words")[c].alias(c) for c in words.columns], F.col("x.windows").alias("window"))
 
 
 def stitched(words: DataFrame, answers: DataFrame) -> DataFrame:
