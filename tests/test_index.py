@@ -76,3 +76,22 @@ def test_a_failed_update_leaves_the_index(spark, tmp_path, monkeypatch):
     assert ranked(index.search(spark, root, queries, terms_of=T.words)) == before and before[0][2] == 1
     index.update(spark, root, new, terms_of=T.words)
     assert [r[2] for r in ranked(index.search(spark, root, queries, terms_of=T.words))] == [3]
+
+
+def test_terms_are_counted_and_scored_where_their_range_is(spark, tmp_path, monkeypatch):
+    """No row per document and term goes through a shuffle, ids of any sign and size keep their range, and what a change takes away is left out."""
+    monkeypatch.setattr(index, "BUCKETS", 4)
+    ids = [-(1 << 62) - 1, -513, -512, -1, 0, 511, 512, (1 << 62) + 3]
+    docs = spark.createDataFrame([(i, f"red fox {'x ' * (k % 3)}") for k, i in enumerate(ids)] + [(7000, None)], "doc_id long, text string")
+    queries = spark.createDataFrame([("a", "fox x"), ("b", "red"), ("c", "zz")], "query_id string, query string")
+    root = f"file://{tmp_path}/index"
+    index.update(spark, root, docs.withColumn("text", index.F.concat("text", index.F.lit(" fox"))), terms_of=T.words)
+    assert index.update(spark, root, docs, terms_of=T.words) == len(ids)
+    got = index.search(spark, root, queries, 5, T.words)
+    assert ranked(got) == ranked(search.bm25(docs, queries, k=5, terms_of=T.words)) and len(got.collect()) == 10
+    postings, asked, few = index._found(spark, root, queries, T.words)
+    assert few and {f.name for f in postings.schema} == set(index.COLUMNS)
+    pairs = postings.join(asked, "term").select("query_id", "range").distinct()
+    assert index._scored(pairs, postings, asked, True, 1).count() <= 2 * len(ids)  # the best of tasks alone
+    monkeypatch.setattr(index, "BROADCAST_ROWS", 0)
+    assert ranked(index.search(spark, root, queries, 5, T.words)) == ranked(got)
