@@ -7,7 +7,7 @@ next to the rows. Candidates come in the order of their best bound, and a query
 below its k-th score. The pivots' own scores give each query a first k-th score.
 
 Rows go through as packed blocks. Blocks of queries meet every block of candidates; each such meeting
-gives at most k rows per query, of which the k best stay.
+gives at most k rows per query, of which the k best stay. A task takes a query's k-th score on to its next block.
 """
 
 from __future__ import annotations
@@ -53,13 +53,25 @@ def choose_pivots(rows: np.ndarray, n: int = PIVOTS) -> np.ndarray:
     return np.array(chosen)
 
 
+def pivot_sample(rows: DataFrame, n: int) -> list:
+    """The PIVOT_SAMPLE rows of the smallest hashes of vec_id, of ``n``; a task sends those below a hash that few rows are below, not as many rows as are wanted of all."""
+    share = 4 * PIVOT_SAMPLE / max(n, 1)
+    first = lambda df: df.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).collect()
+    found = first(rows.where(F.xxhash64("vec_id") < int(share * 2**64) - 2**63)) if share < 1 else []
+    return found if len(found) == PIVOT_SAMPLE else first(rows)  # a vec_id that repeats can leave too few
+
+
 def _distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     x, p = v.astype(float), pivots.astype(float)
     return np.sqrt(np.maximum(0, (x * x).sum(1)[:, None] + (p * p).sum(1)[None] - 2 * x @ p.T))
 
 
+def _most(v: np.ndarray) -> int:
+    return max(-int(v.min(initial=0)), int(v.max(initial=0)))
+
+
 def _narrow(v: np.ndarray) -> np.ndarray:
-    most = int(max(-v.min(initial=0), v.max(initial=0)))
+    most = _most(v)
     return v.astype(np.int16 if most < 1 << 15 else np.int32 if most < 1 << 31 else np.int64)
 
 
@@ -102,24 +114,34 @@ def blocks(rows: DataFrame, pivots: dict[int, np.ndarray], size: int, k: int) ->
     return rows.select("vec_id", "v").mapInArrow(run, "dim long, body binary")
 
 
+def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k highest scores in order with their ids, of equal ones those of the smaller ids."""
+    if len(scores) > k:
+        high = scores >= np.partition(scores, -k)[-k]
+        ids, scores = ids[high], scores[high]
+    order = np.lexsort((ids, -scores))[:k]
+    return ids[order], scores[order]
+
+
 def best_in_block(q_id: int, q: np.ndarray, dq: np.ndarray, kth: int, ids: np.ndarray, v: np.ndarray, dv: np.ndarray, norms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of up to k candidates: all that can be among the k best given that the k-th score is at least ``kth``."""
+    """Ids and scores of up to k candidates: all that can be among the k best given that the k-th score is at least ``kth``.
+
+    ``dv`` has a row per pivot. The STEP candidates of the best bounds are evaluated first, then those that the k-th score
+    so far leaves, all of the block at once if these are most of it. Rows of ``v`` and ``q`` are floats if products of them are exact.
+    """
     q2 = float((q.astype(float) ** 2).sum())
-    gap = np.abs(dv - dq).max(axis=1, initial=0)
+    gap, one = np.zeros(len(ids)), np.empty(len(ids))
+    for to_pivot, own in zip(dv, dq):
+        np.maximum(gap, np.abs(np.subtract(to_pivot, own, out=one), out=one), out=gap)
     bound = (q2 + norms - gap * gap) / 2
     bound += 1e-9 * (q2 + norms) + 1e-3  # rounding of distances
     live = np.flatnonzero((bound >= kth) & (ids != q_id))
-    live = live[np.argsort(-bound[live], kind="stable")]
-    best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = 0
-    while at < len(live) and (len(best) < k or bound[live[at]] >= best[-1]):
-        take = live[at : at + STEP]
-        scores = products(v[take], q)
-        best_ids, best = np.concatenate([best_ids, ids[take]]), np.concatenate([best, scores])
-        order = np.lexsort((best_ids, -best))[:k]
-        best_ids, best = best_ids[order], best[order]
-        at += STEP
-    return best_ids, best
+    if len(live) > STEP:
+        first = live[np.argpartition(bound[live], -STEP)[-STEP:]]
+        met = _best(ids[first], (v[first] @ q).astype(np.int64), k)
+        live = live[bound[live] >= (met[1][-1] if len(met[1]) == k else kth)]
+    scores = (v @ q)[live] if 2 * len(live) > len(ids) else v[live] @ q
+    return _best(ids[live], scores.astype(np.int64), k)
 
 
 def top_k(vectors: DataFrame, is_query, k: int = K, pivots: int = PIVOTS) -> DataFrame:
@@ -132,33 +154,42 @@ def top_k(vectors: DataFrame, is_query, k: int = K, pivots: int = PIVOTS) -> Dat
     """
     spark = vectors.sparkSession
     rows = materialize(quantised(vectors), "topk-vectors")
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).collect()  # PIVOT_SAMPLE rows
+    n = rows.count()
+    sample = pivot_sample(rows, n)
     table: dict[int, tuple] = {}
     for dim in {len(r.v) for r in sample}:
         own = [r for r in sample if len(r.v) == dim]
         v = np.array([r.v for r in own], np.int64)
         chosen = choose_pivots(v, pivots)
         table[dim] = (np.array([own[i].vec_id for i in chosen], np.int64), v[chosen])
-    lanes = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a lane has a block or two; queries are copied to each lane, and no join may broadcast these copies, as it takes them for small
+    lanes = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * -(-n // BLOCK) + rows.rdd.getNumPartitions()))
     candidates = blocks(rows, table, BLOCK, k).withColumn("lane", F.pmod(F.monotonically_increasing_id() % 1009 + F.spark_partition_id(), F.lit(lanes)))
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     asked = blocks(asked, table, QUERY_BLOCK, k).select("dim", F.col("body").alias("queries"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))).alias("lane"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reached: dict[int, int] = {}  # k-th score of a query in an earlier block
         for batch in batches:
             for dim, body, queries in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 ids, v, dv, _ = unpack(body.as_py())
-                v, dv = v.reshape(-1, dim), dv.reshape(len(ids), -1)
+                v, dv = v.reshape(-1, dim), np.ascontiguousarray(dv.reshape(len(ids), -1).T)
                 norms = (v.astype(float) ** 2).sum(1)
                 q_ids, q, dq, kth = unpack(queries.as_py())
                 q, dq = q.reshape(-1, dim), dq.reshape(len(q_ids), -1)
-                found = [best_in_block(*x, ids, v, dv, norms, k) for x in zip(q_ids, q, dq, kth)]
+                kind = float if _most(v) * _most(q) * dim < 2**53 else np.int64
+                v, q = v.astype(kind), q.astype(kind)
+                found = []
+                for i, *x, least in zip(q_ids.tolist(), q, dq, kth.tolist()):
+                    found.append(best_in_block(i, *x, max(least, reached.get(i, least)), ids, v, dv, norms, k))
+                    if len(found[-1][1]) == k:
+                        reached[i] = max(int(found[-1][1][-1]), reached.get(i, least))
                 yield pa.record_batch(
                     [pa.array(np.repeat(q_ids, [len(i) for i, _ in found])), pa.array(np.concatenate([i for i, _ in found])), pa.array(np.concatenate([s for _, s in found]))],
                     names=["query_id", "vec_id", "score"],
                 )
 
-    met = candidates.join(asked, ["dim", "lane"]).select("dim", "body", "queries").mapInArrow(run, "query_id long, vec_id long, score long")
+    met = candidates.join(asked.hint("merge"), ["dim", "lane"]).select("dim", "body", "queries").mapInArrow(run, "query_id long, vec_id long, score long")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

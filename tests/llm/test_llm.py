@@ -493,6 +493,18 @@ def test_topk_with_few_distinct_vectors(spark):
         assert got[q] == [(i, -s) for s, i in scores[:10]]
 
 
+def test_topk_broadcasts_no_copies_of_queries(spark, monkeypatch):
+    """The copies for the lanes are many times what the planner takes them for; the driver gets few rows more than the sample."""
+    rng = random.Random(9)
+    df = spark.createDataFrame([(i, [rng.random() for _ in range(8)]) for i in range(400)], "vec_id long, embedding array<float>")
+    plan = pivot_topk.top_k(df, F.col("vec_id") % 100 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    rows = pivot_topk.quantised(df.unionAll(df.where("vec_id < 9")))
+    for n in (5, 90):
+        monkeypatch.setattr(pivot_topk, "PIVOT_SAMPLE", n)
+        assert pivot_topk.pivot_sample(rows, 409) == rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n).collect()
+
+
 # --- op9 ---------------------------------------------------------------------------------------------
 
 
